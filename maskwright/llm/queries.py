@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup
+from . import langid, line_dedup, packing
 from .near_dup import near_duplicates
 
 
@@ -24,9 +24,26 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_sequences(_documents(spark, sf_dir), tokenizer_path())
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return langid.identify(docs, langid.train(langid.learnable(docs)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_near_dup": op2_near_dup,
     "op4_line_dedup": op4_line_dedup,
+    "op6_packing": op6_packing,
+    "op8_language_id": op8_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {
