@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, line_dedup, packing
+from . import langid, line_dedup, packing, secrets, url_lists
 from .near_dup import near_duplicates
 
 
@@ -24,6 +24,15 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    return url_lists.filter_captures(url_lists.capture_days(pages), url_lists.demo_entries(pages))
+
+
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_secrets(_documents(spark, sf_dir))
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -42,10 +51,14 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_near_dup": op2_near_dup,
     "op4_line_dedup": op4_line_dedup,
+    "op5_url_filter": op5_url_filter,
     "op6_packing": op6_packing,
+    "op7_secret_scan": op7_secret_scan,
     "op8_language_id": op8_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op4_line_dedup": line_dedup.ORACLE,
+    "op5_url_filter": url_lists.ORACLE,
+    "op7_secret_scan": secrets.ORACLE,
 }
