@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, line_dedup, packing, secrets, url_lists
+from . import langid, line_dedup, media, packing, secrets, url_lists, warc
 from .near_dup import near_duplicates
 
 
@@ -15,10 +15,18 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.media_features(media.store_texts(_documents(spark, sf_dir))).drop("tile_file", "tile_row")
+
+
 def op2_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_documents(spark, sf_dir))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.drop_repeated_lines(_documents(spark, sf_dir))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -49,7 +57,9 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_media": op1_media,
     "op2_near_dup": op2_near_dup,
+    "op3_warc": op3_warc,
     "op4_line_dedup": op4_line_dedup,
     "op5_url_filter": op5_url_filter,
     "op6_packing": op6_packing,
@@ -58,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_warc": warc.ORACLE,
     "op4_line_dedup": line_dedup.ORACLE,
     "op5_url_filter": url_lists.ORACLE,
     "op7_secret_scan": secrets.ORACLE,
