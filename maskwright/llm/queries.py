@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, line_dedup, media, packing, secrets, url_lists, warc
+from . import decontaminate, kneser_ney, langid, line_dedup, media, packing, secrets, url_lists, warc
 from .near_dup import near_duplicates
 
 
@@ -56,6 +56,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, langid.train(langid.learnable(docs)))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.score_quality(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -69,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_packing": op6_packing,
     "op7_secret_scan": op7_secret_scan,
     "op8_language_id": op8_language_id,
+    "op9_quality": op9_quality,
     "op10_decontaminate": op10_decontaminate,
 }
 
