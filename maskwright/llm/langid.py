@@ -198,3 +198,14 @@ def identify(docs: DataFrame, model: Prototypes, id_col: str = "doc_id", text_co
     """
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return narrow.mapInArrow(_predict(model), "doc_id long, held_out boolean, lang_pred string, score double")
+
+
+def accepted(docs: DataFrame, model: Prototypes, min_score: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose text has letters and is at least ``min_score`` like some language."""
+
+    @F.arrow_udf("boolean")
+    def passes(texts: pa.Array) -> pa.Array:
+        found = (model.predict(t.as_py()) for t in texts)
+        return pa.array([lang != UNKNOWN and score >= min_score for lang, score in found], pa.bool_())
+
+    return docs.where(passes(F.col(text_col)))

@@ -75,8 +75,8 @@ def _rewrite(min_chars: int):
                 n_dropped.append(len(lines) - len(stay))
                 kept.append(b"\n".join(stay).decode("utf-8", "surrogatepass"))
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64()), pa.array(kept, pa.string())],
-                ["doc_id", "n_lines", "n_dropped", "kept_text"],
+                [part.column(0), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64()), pa.array(kept, pa.string()), *part.columns[3:]],
+                ["doc_id", "n_lines", "n_dropped", "kept_text", *part.schema.names[3:]],
             )
 
     return run
@@ -141,6 +141,7 @@ def drop_repeated_lines(
     min_chars: int = 1,
     batches: int = 4,
     runs: LineRuns | None = None,
+    carry: list[str] | None = None,
 ) -> DataFrame:
     """``doc_id, n_lines, n_dropped, kept_text`` for every row of ``docs``.
 
@@ -149,8 +150,11 @@ def drop_repeated_lines(
     ``min_docs`` documents lose all their lines everywhere.  The table is
     ingested in ``batches`` runs; pass ``runs`` to go on from earlier corpora.
     Null and empty texts are one empty line, which has no key and stays.
-    Repeated ids count as documents of their own; extra columns are ignored.
+    Repeated ids count as documents of their own; extra columns are ignored but
+    for those named in ``carry``, which follow.
     """
+    extra = docs.select(carry or [])
+    rest = [F.col(c).alias(f"carried_{i}") for i, c in enumerate(extra.columns)]
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     runs = runs or LineRuns(docs.sparkSession)
     keys = materialise(line_key_table(narrow, min_chars=min_chars, batches=batches), "line-keys")
@@ -160,8 +164,12 @@ def drop_repeated_lines(
     drops = materialise(drops.withColumnRenamed("doc_id", "drop_id"), "line-drops")
     total = drops.agg(F.sum(F.size("drops") + 1)).first()[0] or 0
     drops = F.broadcast(drops) if total <= BROADCAST_KEYS else drops
-    joined = narrow.join(drops, narrow["doc_id"].eqNullSafe(drops["drop_id"]), "left").select("doc_id", "text", "drops")
-    return joined.mapInArrow(_rewrite(min_chars), "doc_id long, n_lines long, n_dropped long, kept_text string")
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *rest)
+    names = [f"carried_{i}" for i in range(len(extra.columns))]
+    joined = source.join(drops, source["doc_id"].eqNullSafe(drops["drop_id"]), "left").select("doc_id", "text", "drops", *names)
+    schema = "doc_id long, n_lines long, n_dropped long, kept_text string"
+    schema += "".join(f", {n} {f.dataType.simpleString()}" for n, f in zip(names, extra.schema))
+    return joined.mapInArrow(_rewrite(min_chars), schema).withColumnsRenamed(dict(zip(names, extra.columns)))
 
 
 #: DuckDB form of op4_line_dedup
