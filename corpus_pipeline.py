@@ -1,16 +1,81 @@
-"""Corpus preparation: five stages, each written and reread before the next."""
+"""Corpus preparation: five stages, each written and reread before the next.
+
+Every stage works on all rows the one before kept.  All but the last return
+the columns of ``documents``; the last returns the packed pieces.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from maskwright.llm import decontaminate, langid, line_dedup, near_dup, packing
+from maskwright.llm.queries import tokenizer_path
+from maskwright.llm.scratch import materialise
+from maskwright.session import ship
+
+#: texts nearer to no language than this cosine are rejected with those that have no letter
+MIN_LANGUAGE_SCORE = 0.02
+#: ids to drop are broadcast up to this many (8 bytes each), else joined by shuffle
+BROADCAST_IDS = 2_000_000
+
+
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    ids = materialise(ids.distinct(), "dropped")
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    return docs.join(ids, "doc_id", "left_anti").select(docs.columns)
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without letters, and those like no learnt language, go."""
+    ship(spark)
+    model = langid.train(langid.learnable(docs))
+    return langid.accepted(docs, model, MIN_LANGUAGE_SCORE)
+
+
+def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines of ten documents or more go; the documents stay, if need be empty."""
+    ship(spark)
+    carry = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
+    kept = line_dedup.drop_repeated_lines(docs, carry=carry)
+    return kept.withColumns({"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}).select(docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest id stays."""
+    ship(spark)
+    return _without(docs, near_dup.near_duplicates(docs).where("not kept").select("doc_id"))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a passage of a benchmark item go."""
+    ship(spark)
+    return _without(docs, decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id"))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What is left, in sequences of 4096 ids."""
+    ship(spark)
+    return packing.pack_sequences(docs, tokenizer_path())
+
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language_id", language_id),
+    ("line_dedup", line_dedup_stage),
+    ("near_dup", near_duplicates),
+    ("decontaminate", decontamination),
+    ("packing", packing_stage),
+]
 
-#: alignment, language vectors and bin packing have no SQL form; tests/llm holds run() against brute force
+#: vectors, minhashes, alignment and bin packing have no SQL form; tests/llm holds run() against brute force
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """All stages over ``documents``."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+    return docs
