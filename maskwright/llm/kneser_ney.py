@@ -37,6 +37,8 @@ PRIOR_WORDS = 20
 #: languages with fewer held-out trusted texts use the threshold of all
 LEAST_TEXTS = 30
 BLOOM_BITS = 26
+#: tasks that fill it; each sends at most 2 ** (BLOOM_BITS - 6) words, so this bounds what is shuffled
+BLOOM_TASKS = 512
 SHARD_ROWS = 1_000_000
 CHUNK_DOCS = 128
 BROADCAST_LABELS = 2_000_000
@@ -172,25 +174,25 @@ def train(texts: DataFrame, vocabulary: int = VOCABULARY) -> Trained:
     e = discounts({i: int((kinds == i).sum()) for i in (1, 2, 3, 4)})
     cut = np.where(kinds > 2, e[2], np.where(kinds == 2, e[1], np.where(kinds == 1, e[0], 0.0)))
     lower = (kinds - cut + cut.sum() / max(size - 1, 1)) / max(kinds.sum(), 1)
-    lower[UNKNOWN] /= max(types - len(top), 0) + 1  # shared by the unknown types, one more for all that was never met
+    spread = 1 / (max(types - len(top), 0) + 1)  # one of the unknown types, and one more for all that was never met
+    lower[UNKNOWN] *= spread
     lower = np.log(np.maximum(lower, 1e-300))
     shards = max(1, -(-total // SHARD_ROWS))
     bloom = np.zeros((1 << BLOOM_BITS) // 64, dtype=np.int64)
     if total:
-        for r in bigrams.select("k").coalesce(16).mapInArrow(_bloom_words, "at long, word long").groupBy("at").agg(F.bit_or("word").alias("word")).toArrow().to_batches():
+        for r in bigrams.select("k").coalesce(BLOOM_TASKS).mapInArrow(_bloom_words, "at long, word long").groupBy("at").agg(F.bit_or("word").alias("word")).toArrow().to_batches():
             bloom[r.column(0).to_numpy()] = r.column(1).to_numpy()
     model = Model(vocab, backoff, lower, bloom, shards)
-    held = spark.sparkContext.broadcast((mass, backoff, lower, d, shards))
+    held = spark.sparkContext.broadcast((mass, backoff, lower, d, spread, shards))
 
     def correct(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mass, backoff, lower, d, shards = held.value
+        mass, backoff, lower, d, spread, shards = held.value
         for part in source:
             k, n = part.column(0).to_numpy(), part.column(1).to_numpy()
             a, b = k >> 20, k & (1 << 20) - 1
             base = np.exp(backoff[a] + lower[b])
             main = (n - np.where(n > 2, d[2], np.where(n == 2, d[1], d[0]))) / mass[a]
-            # an unknown word after a seen context is still one of many types
-            main = np.where(b == UNKNOWN, main * np.exp(lower[UNKNOWN]) , main)
+            main = np.where(b == UNKNOWN, main * spread, main)
             delta = np.log(base + main) - (backoff[a] + lower[b])
             yield pa.RecordBatch.from_arrays([pa.array(_shard(k.view(U64), shards).astype(np.int32)), pa.array(k), pa.array(delta)], ["shard", "k", "delta"])
 
