@@ -8,8 +8,10 @@ tournament tree over the bins' free room.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,14 +27,15 @@ GROUP_DOCS = 8192
 #: remembered words per generation and worker
 CACHE_WORDS = 200_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
-_BLANKS = " \t\n\v\f\r"
+_END = b"\xff"
 
 
 class WordCache(dict):
     """raw word -> its ids as little-endian uint32 bytes, in two generations of bounded size.
 
     White space never takes part in a token of the vocabulary and merges never
-    cross it, so a text's ids are those of its words, joined.
+    cross it, so a text's ids are those of its words, joined; and as all is made
+    lower-case, A-Z may be so beforehand.
     """
 
     def __init__(self, path: str):
@@ -42,13 +45,26 @@ class WordCache(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # a marker's spelling in a text is ordinary text
+        self.merges = _ranked_merges(path)
         self.older: dict[bytes, bytes] = {}
 
+    def _ids(self, word: bytes) -> bytes:
+        if self.merges is not None:
+            if word.isalpha():
+                return array("I", self.merges(word + _END)).tobytes()
+            text = word.decode("utf-8", "replace")
+            if all("a" <= c <= "z" or "\u00c0" <= c <= "\u017f" and c not in "\u00d7\u00f7\u0130" for c in text):
+                return array("I", self.merges(text.lower().encode() + _END)).tobytes()
+        return array("I", self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids).tobytes()
+
     def __missing__(self, word: bytes) -> bytes:
         ids = self.older.get(word)
         if ids is None:
-            text = word.decode("utf-8", "replace")
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            if word[-1:] in (b",", b".") and word[-2:-1].isalpha():
+                # a letter and a mark are never one token: the word and the mark on their own
+                ids = self[word[:-1]] + self[word[-1:]]
+            else:
+                ids = self._ids(word)
         if len(self) >= CACHE_WORDS:
             self.older = dict(self)
             self.clear()
@@ -58,7 +74,41 @@ class WordCache(dict):
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        return b"".join(map(self.__getitem__, text.encode("utf-8", "replace").split()))
+        return b"".join(map(self.__getitem__, text.encode("utf-8", "replace").lower().split()))
+
+
+def _ranked_merges(path: str):
+    """The vocabulary's merges as byte ranks, for words of plain lower-case letters; None if it is of another kind.
+
+    A word's last byte carries the end mark, here a byte no UTF-8 text has.
+    Ids follow the order of merges, marked bytes come before all merges: so
+    merging the pair of least id gives what the merge list gives.
+    """
+    import tiktoken
+
+    with open(path, encoding="utf-8") as file:
+        model = json.load(file)["model"]
+    vocab, suffix = model["vocab"], model.get("end_of_word_suffix")
+    if model.get("type", "BPE") != "BPE" or not suffix:
+        return None
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
+    byte_of = {chr(b): b for b in shown} | {chr(256 + n): b for n, b in enumerate(b for b in range(256) if b not in shown)}
+
+    def spelled(token: str) -> bytes:
+        ended = token.endswith(suffix)
+        return bytes(byte_of[c] for c in token.removesuffix(suffix)) + (_END if ended else b"")
+
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    ranks = {}
+    for token, number in vocab.items():
+        if all(c in byte_of for c in token.removesuffix(suffix)):
+            ranks[spelled(token)] = number
+    numbers = [vocab["".join(m)] for m in merges]
+    singles = [n for t, n in vocab.items() if len(t.removesuffix(suffix)) == 1]
+    if numbers != sorted(numbers) or len(singles) != 512 or max(singles) >= numbers[0]:
+        return None
+    ranks[_END] = ranks.get(_END, max(vocab.values()) + 1)
+    return tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
 
 
 _caches: dict[str, WordCache] = {}
