@@ -318,20 +318,13 @@ def _giant_links(members: DataFrame, percent: int, rounds: int = 8) -> DataFrame
 
 
 def _blocks_against(queries: DataFrame, members: DataFrame, percent: int, size: int = 64) -> DataFrame:
-    block = (
-        queries.withColumn("block", F.floor(F.row_number().over(_by("clump")) / size))
-        .groupBy("clump", "block")
-        .agg(F.collect_list(F.struct("doc", "shingles")).alias("others"))
-    )
+    # blocks are dealt by a hash: about ``size`` documents each, and no task sees a whole clump
+    blocks = queries.groupBy("clump").agg(F.ceil(F.count("*") / size).alias("blocks"))
+    dealt = queries.join(blocks, "clump").withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")))
+    block = dealt.groupBy("clump", "block").agg(F.collect_list(F.struct("doc", "shingles")).alias("others"))
     return members.join(block, "clump").select("doc", "shingles", "others").mapInArrow(_against_block(percent), "a long, b long").distinct()
 
 
-def _by(*keys: str):
-    from pyspark.sql import Window
-
-    return Window.partitionBy(*keys).orderBy("doc")
-
-
 def _settle(members: DataFrame, percent: int) -> DataFrame:
     return (
         members.select("clump", "doc", "shingles")
