@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import materialise
+from .scratch import materialise, remove
 from .textkernel import U64, WHITESPACE, mix, word_hashes
 
 VOCABULARY = 200_000
@@ -111,7 +111,7 @@ class Model:
 @dataclass
 class Trained:
     model: Model
-    corrections: DataFrame  # shard int, k long, delta double
+    corrections: DataFrame  # packed model keys and corrections, see _FLOW
 
 
 def discounts(counts_of_counts: dict[int, int]) -> tuple[float, float, float]:
@@ -128,6 +128,36 @@ def _shard(keys: np.ndarray, shards: int) -> np.ndarray:
     return (mix(keys) >> U64(33)) % U64(shards)
 
 
+#: kind 0: model keys (docs: their corrections as float32); kind 1: keys of a chunk of documents
+_FLOW = "shard int, kind int, docs binary, sizes binary, keys binary, repeats binary"
+_KEY_BYTES = 5  # keys have 40 bits
+
+
+def _flow(shard: int, kind: int, *parts: bytes) -> pa.RecordBatch:
+    columns = [pa.array([shard], pa.int32()), pa.array([kind], pa.int32()), *(pa.array([p], pa.binary()) for p in parts)]
+    return pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _FLOW.split(", ")])
+
+
+def _pack(keys: np.ndarray) -> bytes:
+    return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_KEY_BYTES]).tobytes()
+
+
+def _unpack(raw: bytes) -> np.ndarray:
+    wide = np.zeros((len(raw) // _KEY_BYTES, 8), dtype=np.uint8)
+    wide[:, :_KEY_BYTES] = np.frombuffer(raw, dtype=np.uint8).reshape(-1, _KEY_BYTES)
+    return wide.reshape(-1).view("<i8")
+
+
+def _by_shard(keys: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Shards that have keys, and the places of these in order."""
+    shard = _shard(keys, shards)
+    order = np.argsort(shard, kind="stable")
+    cuts = np.searchsorted(shard[order], np.arange(shards + 1, dtype=U64))
+    for s in range(shards):
+        if cuts[s] < cuts[s + 1]:
+            yield s, order[cuts[s] : cuts[s + 1]]
+
+
 def _bloom_slots(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     h = mix(keys ^ U64(0x5851F42D4C957F2D))
     mask = U64((1 << BLOOM_BITS) - 1)
@@ -148,13 +178,14 @@ def _bloom_words(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(texts: DataFrame, vocabulary: int = VOCABULARY) -> Trained:
     """Model of all rows of ``texts`` (one column, text)."""
     spark = texts.sparkSession
-    words = materialise(texts.mapInArrow(_tallied(words_of), "k long, n long").groupBy("k").agg(F.sum("n").alias("n")), "words")
+    words = materialise(texts.mapInArrow(_tallied(words_of), "k long, n long").groupBy("k").agg(F.sum("n").alias("n")), "words", compression="zstd")
     types = words.count()
     top = words.orderBy(F.desc("n"), "k").limit(vocabulary).select("k").collect()
     vocab = Vocabulary([r["k"] & (1 << 64) - 1 for r in top])
+    remove(spark, words.inputFiles()[0].rsplit("/", 1)[0])
     shared = spark.sparkContext.broadcast(vocab)
     keys = texts.mapInArrow(_tallied(lambda text: shared.value.bigrams(text)), "k long, n long")
-    bigrams = materialise(keys.groupBy("k").agg(F.sum("n").alias("n")), "bigrams")
+    bigrams = materialise(keys.groupBy("k").agg(F.sum("n").alias("n")), "bigrams", compression="zstd")
     total = bigrams.count()
     low = {r["n"]: r["m"] for r in bigrams.where("n <= 4").groupBy("n").agg(F.count("*").alias("m")).collect()}
     d = discounts(low)
@@ -187,49 +218,40 @@ def train(texts: DataFrame, vocabulary: int = VOCABULARY) -> Trained:
 
     def correct(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mass, backoff, lower, d, spread, shards = held.value
-        for part in source:
-            k, n = part.column(0).to_numpy(), part.column(1).to_numpy()
+
+        def rows(k: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
             a, b = k >> 20, k & (1 << 20) - 1
             base = np.exp(backoff[a] + lower[b])
             main = (n - np.where(n > 2, d[2], np.where(n == 2, d[1], d[0]))) / mass[a]
             main = np.where(b == UNKNOWN, main * spread, main)
-            delta = np.log(base + main) - (backoff[a] + lower[b])
-            yield pa.RecordBatch.from_arrays([pa.array(_shard(k.view(U64), shards).astype(np.int32)), pa.array(k), pa.array(delta)], ["shard", "k", "delta"])
-
-    return Trained(model, bigrams.mapInArrow(correct, "shard int, k long, delta double"))
+            delta = (np.log(base + main) - (backoff[a] + lower[b])).astype("<f4")
+            for s, here in _by_shard(k.view(U64), shards):
+                yield _flow(s, 0, delta[here].tobytes(), b"", _pack(k[here].view(U64)), b"")
 
+        keep: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
+        for part in source:
+            keep.append((part.column(0).to_numpy(), part.column(1).to_numpy()))
+            size += part.num_rows
+            if size >= 200_000:
+                yield from rows(*(np.concatenate(x) for x in zip(*keep)))
+                keep, size = [], 0
+        if keep:
+            yield from rows(*(np.concatenate(x) for x in zip(*keep)))
 
-#: kind 0: a model row (k, delta); kind 1: a chunk of documents' keys
-_FLOW = "shard int, kind int, k long, delta double, docs binary, sizes binary, keys binary, counts binary"
+    return Trained(model, bigrams.mapInArrow(correct, _FLOW))
 
 
 def _score_texts(shared):
-    """(doc_id, text) -> backed-off sums, and bigram keys that may be in the model, packed by shard."""
+    """(doc_id, text) -> bigram keys that may be in the model, packed by shard."""
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
         bits = np.unpackbits(model.bloom.view(np.uint8), bitorder="little").view(bool)
-        none = [None]
-
-        def rows(docs: np.ndarray, owners: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-            shard = _shard(keys, model.shards)
-            order = np.argsort(shard, kind="stable")
-            owners, keys, counts, shard = owners[order], keys[order], counts[order], shard[order]
-            cuts = np.searchsorted(shard, np.arange(model.shards + 1, dtype=U64))
-            for s in range(model.shards):
-                here = slice(cuts[s], cuts[s + 1])
-                if cuts[s] < cuts[s + 1]:
-                    sizes = np.bincount(owners[here], minlength=len(docs)).astype("<u4")
-                    packed = [docs.tobytes(), sizes.tobytes(), keys[here].tobytes(), counts[here].astype("<u2").tobytes()]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([s], pa.int32()), pa.array([1], pa.int32()), pa.array(none, pa.int64()), pa.array(none, pa.float64()), *(pa.array([x], pa.binary()) for x in packed)],
-                        [c.split()[0] for c in _FLOW.split(", ")],
-                    )
-
         for part in source:
             for at in range(0, part.num_rows, CHUNK_DOCS):
                 here = part.slice(at, CHUNK_DOCS)
-                docs, owners, keys, counts = here.column(0).to_numpy(zero_copy_only=False), [], [], []
+                docs, owners, keys, counts = here.column(0).to_numpy(zero_copy_only=False).astype("<i8"), [], [], []
                 for i, text in enumerate(here.column(1)):
                     found = np.sort(model.vocabulary.bigrams(text.as_py()))
                     if not len(found):
@@ -239,14 +261,17 @@ def _score_texts(shared):
                     found = found[first]
                     one, two = _bloom_slots(found)
                     may = bits[one] & bits[two]
-                    found, n = found[may], n[may]
-                    while len(found):  # counts above 65535 take several entries
-                        owners.append(np.full(len(found), i))
-                        keys.append(found)
-                        counts.append(np.minimum(n, 65535))
-                        found, n = found[n > 65535], n[n > 65535] - 65535
-                if keys:
-                    yield from rows(docs.astype(np.int64), np.concatenate(owners), np.concatenate(keys), np.concatenate(counts))
+                    owners.append(np.full(int(may.sum()), i))
+                    keys.append(found[may])
+                    counts.append(n[may])
+                if not keys:
+                    continue
+                owner, key, n = np.concatenate(owners), np.concatenate(keys), np.concatenate(counts)
+                for s, mine in _by_shard(key, model.shards):
+                    sizes = np.bincount(owner[mine], minlength=len(docs)).astype("<u4")
+                    more = np.flatnonzero(n[mine] > 1)  # most counts are one and are not sent
+                    repeats = np.stack((more, n[mine][more])).astype("<u4")
+                    yield _flow(s, 1, docs.tobytes(), sizes.tobytes(), _pack(key[mine]), repeats.tobytes())
 
     return run
 
@@ -271,30 +296,28 @@ def _join_shard(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by shard, model first: partial sums of corrections per document."""
     shard, table, keys, deltas = None, None, [], []
     for part in source:
-        columns = [part.column(i) for i in range(part.num_columns)]
-        shards, kinds = columns[0].to_numpy(), columns[1].to_numpy()
         out_docs, out_sums = [], []
-        at = 0
-        while at < len(shards):
-            end = at + int(np.argmax(np.append((shards[at:] != shards[at]) | (kinds[at:] != kinds[at]), True)))
-            if shards[at] != shard:
-                shard, table, keys, deltas = shards[at], None, [], []
-            if kinds[at] == 0:
-                keys.append(columns[2].slice(at, end - at).to_numpy(zero_copy_only=False).astype(np.int64))
-                deltas.append(columns[3].slice(at, end - at).to_numpy(zero_copy_only=False))
+        for here, kind, docs, sizes, packed, repeats in zip(*(c.to_pylist() for c in part.columns)):
+            if here != shard:
+                shard, table, keys, deltas = here, None, [], []
+            if kind == 0:
+                keys.append(_unpack(packed))
+                deltas.append(np.frombuffer(docs, dtype="<f4"))
             elif keys:
                 if table is None:
                     k = np.concatenate(keys)
                     order = np.argsort(k)
-                    table = (k[order], np.concatenate(deltas)[order])
-                for i in range(at, end):
-                    docs, sizes, found, counts = (np.frombuffer(columns[c][i].as_py(), dtype=t) for c, t in ((4, "<i8"), (5, "<u4"), (6, "<i8"), (7, "<u2")))
-                    place = np.minimum(np.searchsorted(table[0], found), len(table[0]) - 1)
-                    gain = np.where(table[0][place] == found, table[1][place] * counts, 0.0)
-                    owner = np.repeat(np.arange(len(docs)), sizes)
-                    out_docs.append(docs)
-                    out_sums.append(np.bincount(owner, weights=gain, minlength=len(docs)))
-            at = end
+                    table = (k[order], np.concatenate(deltas)[order].astype(np.float64))
+                found = _unpack(packed)
+                counts = np.ones(len(found))
+                at, n = np.frombuffer(repeats, dtype="<u4").reshape(2, -1)
+                counts[at] = n
+                place = np.minimum(np.searchsorted(table[0], found), len(table[0]) - 1)
+                gain = np.where(table[0][place] == found, table[1][place] * counts, 0.0)
+                ids = np.frombuffer(docs, dtype="<i8")
+                owner = np.repeat(np.arange(len(ids)), np.frombuffer(sizes, dtype="<u4"))
+                out_docs.append(ids)
+                out_sums.append(np.bincount(owner, weights=gain, minlength=len(ids)))
         if out_docs:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_docs)), pa.array(np.concatenate(out_sums))], ["doc_id", "delta"])
 
@@ -303,10 +326,9 @@ def perplexities(docs: DataFrame, trained: Trained) -> DataFrame:
     """``doc_id, n_words, logp`` of every row of ``docs`` (doc_id, text); rows of one id are one document."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(trained.model)
-    model_rows = trained.corrections.select("shard", F.lit(0).alias("kind"), "k", "delta", *[F.lit(None).cast("binary").alias(c) for c in ("docs", "sizes", "keys", "counts")])
     flow = docs.where("doc_id is not null").mapInArrow(_score_texts(shared), _FLOW)
     gains = (
-        model_rows.unionByName(flow)
+        trained.corrections.unionByName(flow)
         .repartition(trained.model.shards, "shard")
         .sortWithinPartitions("shard", "kind")
         .mapInArrow(_join_shard, "doc_id long, delta double")
