@@ -7,6 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 ROOT = str(Path(__file__).resolve().parent.parent)
 
 
@@ -25,11 +26,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     )
 
 
+#: rows of an Arrow batch between the JVM and a Python worker; texts can be long
+BATCH_ROWS = 2000
+
+
 def ship(spark: SparkSession) -> SparkSession:
     """Let this session's Python workers import the package from where the driver has it.
 
     Where executors have no such folder, submit the package with --py-files.
+    Also keeps batches small, unless the session has its own size for them.
     """
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
     environment = spark.sparkContext.environment
     known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if ROOT not in known:
