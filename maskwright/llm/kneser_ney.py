@@ -9,7 +9,7 @@ A text's log-probability is the sum over its words of the backed-off estimate,
 which needs only per-word numbers, plus a correction for every bigram the
 model has seen.  Corrections are joined by shard: model rows and packed bigram
 keys of many documents meet in the task of their shard, model first, and leave
-it as one partial sum a document.  A fixed-size Bloom filter keeps bigrams the
+it as one packed row of sums a chunk of documents.  A fixed-size Bloom filter keeps bigrams the
 model cannot have from being sent.
 """
 
@@ -21,6 +21,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -139,12 +141,15 @@ def _flow(shard: int, kind: int, *parts: bytes) -> pa.RecordBatch:
 
 
 def _pack(keys: np.ndarray) -> bytes:
-    return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_KEY_BYTES]).tobytes()
+    """Keys by byte planes, compressed: word numbers follow frequency, so the upper planes are mostly zeros."""
+    planes = np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_KEY_BYTES].T)
+    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
 
 
 def _unpack(raw: bytes) -> np.ndarray:
-    wide = np.zeros((len(raw) // _KEY_BYTES, 8), dtype=np.uint8)
-    wide[:, :_KEY_BYTES] = np.frombuffer(raw, dtype=np.uint8).reshape(-1, _KEY_BYTES)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), dtype=np.uint8).reshape(_KEY_BYTES, -1)
+    wide = np.zeros((planes.shape[1], 8), dtype=np.uint8)
+    wide[:, :_KEY_BYTES] = planes.T
     return wide.reshape(-1).view("<i8")
 
 
@@ -293,10 +298,10 @@ def _backed_off(shared):
 
 
 def _join_shard(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by shard, model first: partial sums of corrections per document."""
+    """Rows sorted by shard, model first: sums of corrections for each chunk of documents."""
     shard, table, keys, deltas = None, None, [], []
     for part in source:
-        out_docs, out_sums = [], []
+        out: tuple[list, ...] = ([], [], [])
         for here, kind, docs, sizes, packed, repeats in zip(*(c.to_pylist() for c in part.columns)):
             if here != shard:
                 shard, table, keys, deltas = here, None, [], []
@@ -316,10 +321,29 @@ def _join_shard(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 gain = np.where(table[0][place] == found, table[1][place] * counts, 0.0)
                 ids = np.frombuffer(docs, dtype="<i8")
                 owner = np.repeat(np.arange(len(ids)), np.frombuffer(sizes, dtype="<u4"))
-                out_docs.append(ids)
-                out_sums.append(np.bincount(owner, weights=gain, minlength=len(ids)))
-        if out_docs:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_docs)), pa.array(np.concatenate(out_sums))], ["doc_id", "delta"])
+                sums = np.bincount(owner, weights=gain, minlength=len(ids))
+                for column, value in zip(out, (xxhash.xxh3_64_intdigest(docs) - (1 << 63), docs, sums.tobytes())):
+                    column.append(value)
+        if out[0]:
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.binary())], ["chunk", "docs", "sums"])
+
+
+def _add_up(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by chunk, one a shard: the sum of corrections of each document, once a chunk."""
+    held, total = None, None
+
+    def done() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.frombuffer(held, dtype="<i8")), pa.array(total)], ["doc_id", "delta"])
+
+    for part in source:
+        for docs, sums in zip(part.column(1).to_pylist(), part.column(2).to_pylist()):
+            if docs != held:
+                if held is not None:
+                    yield done()
+                held, total = docs, 0.0
+            total = total + np.frombuffer(sums, dtype="<f8")
+    if held is not None:
+        yield done()
 
 
 def perplexities(docs: DataFrame, trained: Trained) -> DataFrame:
@@ -331,7 +355,10 @@ def perplexities(docs: DataFrame, trained: Trained) -> DataFrame:
         trained.corrections.unionByName(flow)
         .repartition(trained.model.shards, "shard")
         .sortWithinPartitions("shard", "kind")
-        .mapInArrow(_join_shard, "doc_id long, delta double")
+        .mapInArrow(_join_shard, "chunk long, docs binary, sums binary")
+        .repartition("chunk")
+        .sortWithinPartitions("chunk", "docs")
+        .mapInArrow(_add_up, "doc_id long, delta double")
     )
     base = docs.mapInArrow(_backed_off(shared), "doc_id long, logp double, n_words long")
     parts = base.unionByName(gains.select("doc_id", F.col("delta").alias("logp"), F.lit(0).cast("long").alias("n_words")))
