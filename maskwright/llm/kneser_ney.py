@@ -15,7 +15,6 @@ model cannot have from being sent.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -56,9 +55,9 @@ def words_of(text: str | None) -> np.ndarray:
 
 
 class Vocabulary:
-    def __init__(self, hashes: list[int]):
-        order = np.argsort(np.array(hashes, dtype=U64))
-        self.hashes = np.array(hashes, dtype=U64)[order]
+    def __init__(self, hashes: np.ndarray):
+        order = np.argsort(hashes)
+        self.hashes = hashes[order]
         self.numbers = (order + 2).astype(U64)
 
     def numbers_of(self, words: np.ndarray) -> np.ndarray:
@@ -185,8 +184,8 @@ def train(texts: DataFrame, vocabulary: int = VOCABULARY) -> Trained:
     spark = texts.sparkSession
     words = materialise(texts.mapInArrow(_tallied(words_of), "k long, n long").groupBy("k").agg(F.sum("n").alias("n")), "words", compression="zstd")
     types = words.count()
-    top = words.orderBy(F.desc("n"), "k").limit(vocabulary).select("k").collect()
-    vocab = Vocabulary([r["k"] & (1 << 64) - 1 for r in top])
+    top = words.orderBy(F.desc("n"), "k").limit(vocabulary).select("k").toArrow().column("k").to_numpy()
+    vocab = Vocabulary(top.view(U64))
     remove(spark, words.inputFiles()[0].rsplit("/", 1)[0])
     shared = spark.sparkContext.broadcast(vocab)
     keys = texts.mapInArrow(_tallied(lambda text: shared.value.bigrams(text)), "k long, n long")
@@ -198,15 +197,14 @@ def train(texts: DataFrame, vocabulary: int = VOCABULARY) -> Trained:
     left, right = F.shiftright("k", 20).alias("w"), F.col("k").bitwiseAND((1 << 20) - 1).alias("w")
     after = bigrams.groupBy(left).agg(
         F.sum("n").alias("c"), F.count_if(F.col("n") == 1).alias("n1"), F.count_if(F.col("n") == 2).alias("n2"), F.count_if(F.col("n") > 2).alias("n3")
-    ).collect()  # fmt: skip  at most one row a vocabulary word
-    before = bigrams.groupBy(right).agg(F.count("*").alias("c")).collect()
+    ).toArrow().to_pydict()  # fmt: skip  at most one row a vocabulary word
+    before = bigrams.groupBy(right).agg(F.count("*").alias("c")).toArrow().to_pydict()
     mass, backoff = np.zeros(size), np.zeros(size)
-    for r in after:
-        mass[r["w"]] = r["c"]
-        backoff[r["w"]] = math.log((d[0] * r["n1"] + d[1] * r["n2"] + d[2] * r["n3"]) / r["c"])
+    w, c, *n = (np.array(after[k], dtype=np.int64) for k in ("w", "c", "n1", "n2", "n3"))
+    mass[w] = c
+    backoff[w] = np.log((d[0] * n[0] + d[1] * n[1] + d[2] * n[2]) / c)
     kinds = np.zeros(size)
-    for r in before:
-        kinds[r["w"]] = r["c"]
+    kinds[np.array(before["w"], dtype=np.int64)] = before["c"]
     e = discounts({i: int((kinds == i).sum()) for i in (1, 2, 3, 4)})
     cut = np.where(kinds > 2, e[2], np.where(kinds == 2, e[1], np.where(kinds == 1, e[0], 0.0)))
     lower = (kinds - cut + cut.sum() / max(size - 1, 1)) / max(kinds.sum(), 1)
