@@ -1,16 +1,15 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Test items are the stated query set and are taken in blocks of bounded size,
 so what a task holds of them has a proven bound however long the benchmark is.
-Per block the corpus is scanned twice.  The first scan counts in how many
-documents each item n-gram occurs.  N-grams that are common for their item are
-no seeds; the rest locate passages in the second scan, and each passage is
-aligned with its item where it is found, so no text is shuffled.
+Per block the corpus is scanned once.  Every n-gram of an item is a seed,
+however many documents have it; what common ones cost is bounded by a filter
+that no passage of the wanted score fails, not by leaving them out.  Passages
+are aligned with their item where they are found, so no text is shuffled.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,12 +23,12 @@ SEED_WORDS = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: score of an alignment as a share of the item's score with itself
 MIN_SCORE = 0.5
-#: a seed may occur in this many times the documents of its item's rarer quartile, or in COMMON_FLOOR documents
-COMMON_FACTOR, COMMON_FLOOR = 8, 16
 #: bytes of item text held by a task at once
 BLOCK_BYTES = 8 << 20
 HITS = "doc_id long, item_id long, score double, start_word long, end_word long"
 _FILTER_BITS = 22
+#: windows of seeds held at once before they are merged
+_WINDOWS = 1_000_000
 
 
 def item_words(text: str | None) -> np.ndarray:
@@ -43,48 +42,69 @@ class Seeds:
     def __init__(self, items: list[tuple[int, str]]):
         self.ids = [i for i, _ in items]
         self.words = [item_words(t) for _, t in items]
-        found: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
-        for k, words in enumerate(self.words):
-            n = min(SEED_WORDS, len(words))
-            if n:
-                for at, gram in enumerate(ngram_hashes(words, n).tolist()):
-                    found[n, gram].append((k, at))
-        self._index(dict(found))
-
-    def _index(self, found: dict) -> None:
-        self.found = found
-        self.tables = {}
-        for n in {n for n, _ in found}:
-            grams = np.sort(np.array([g for m, g in found if m == n], dtype=U64))
-            bitmap = np.zeros(1 << _FILTER_BITS, dtype=bool)
-            bitmap[(grams & U64((1 << _FILTER_BITS) - 1)).astype(np.int64)] = True
-            self.tables[n] = (grams, bitmap)
+        self.sizes = np.array([len(w) for w in self.words], dtype=np.int64)
+        self.tables = {n: self._table(n) for n in {min(SEED_WORDS, size) for size in self.sizes.tolist()} - {0}}
+
+    def _table(self, n: int) -> tuple[np.ndarray, ...]:
+        """Sorted n-grams, their bitmap, and for each from ``first`` on: its items with the least and greatest offset in them."""
+        mine = [k for k, size in enumerate(self.sizes.tolist()) if min(SEED_WORDS, size) == n]
+        counts = self.sizes[mine] - n + 1
+        gram = np.concatenate([ngram_hashes(self.words[k], n) for k in mine])
+        item = np.repeat(np.array(mine, dtype=np.int64), counts)
+        offset = np.concatenate([np.arange(c) for c in counts.tolist()])
+        order = np.lexsort((offset, item, gram))
+        gram, item, offset = gram[order], item[order], offset[order]
+        new = np.flatnonzero(np.concatenate(([True], (gram[1:] != gram[:-1]) | (item[1:] != item[:-1]))))
+        low, high = offset[new], offset[np.append(new[1:], len(gram)) - 1]
+        gram, item = gram[new], item[new]
+        first = np.flatnonzero(np.concatenate(([True], gram[1:] != gram[:-1])))
+        grams = gram[first]
+        bitmap = np.zeros(1 << _FILTER_BITS, dtype=bool)
+        bitmap[(grams & U64((1 << _FILTER_BITS) - 1)).astype(np.int64)] = True
+        return grams, bitmap, np.append(first, len(gram)), item, low, high
 
     def hits(self, words: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """Positions in ``words`` that start an n-gram of an item, and the n-grams."""
-        table, bitmap = self.tables[n]
+        """Positions in ``words`` that start an n-gram of an item, and the n-grams' places in the table."""
+        table, bitmap = self.tables[n][:2]
         grams = ngram_hashes(words, n)
         at = np.flatnonzero(bitmap[(grams & U64((1 << _FILTER_BITS) - 1)).astype(np.int64)])
         place = np.minimum(np.searchsorted(table, grams[at]), len(table) - 1)
-        at = at[table[place] == grams[at]]
-        return at, grams[at]
-
-    def rare(self, seen: dict[tuple[int, int], int]) -> Seeds:
-        """Only the n-grams that are not common for an item; every item keeps some."""
-        per_item: dict[int, list[int]] = defaultdict(list)
-        for key, places in self.found.items():
-            for k in {k for k, _ in places}:
-                per_item[k].append(seen.get(key, 0))
-        limit = {k: max(COMMON_FLOOR, COMMON_FACTOR * int(np.quantile(v, 0.25))) for k, v in per_item.items()}
-        kept = {}
-        for key, places in self.found.items():
-            stay = [p for p in places if seen.get(key, 0) <= limit[p[0]]]
-            if stay:
-                kept[key] = stay
-        out = object.__new__(Seeds)
-        out.ids, out.words = self.ids, self.words
-        out._index(kept)
-        return out
+        same = table[place] == grams[at]
+        return at[same], place[same]
+
+    def slack(self, k: np.ndarray, min_score: float) -> np.ndarray:
+        """Words an alignment of at least ``min_score`` can have beyond its item's: each costs one of the item's two a word."""
+        return np.ceil(2 * (1 - min_score) * self.sizes[k]).astype(np.int64)
+
+    def windows(self, words: np.ndarray, min_score: float) -> np.ndarray:
+        """Rows (item, start, end): where alignments through a seed can lie; disjoint for each item, in order."""
+        found = np.empty((0, 3), dtype=np.int64)
+        for n, (_, _, first, item, low, high) in self.tables.items():
+            at, place = self.hits(words, n)
+            many = first[place + 1] - first[place]
+            total = np.cumsum(many)
+            cut = 0
+            while cut < len(at):
+                done = total[cut - 1] if cut else 0
+                to = max(cut + 1, int(np.searchsorted(total, done + _WINDOWS, "right")))
+                here = slice(cut, to)
+                row = np.repeat(first[place[here]] - (total[here] - many[here] - done), many[here]) + np.arange(total[to - 1] - done)
+                position, k = np.repeat(at[here], many[here]), item[row]
+                slack = self.slack(k, min_score)
+                start = np.maximum(position - high[row] - slack, 0)
+                end = np.minimum(position - low[row] + self.sizes[k] + slack, len(words))
+                found = _merge(np.concatenate((found, np.stack((k, start, end), axis=1))), len(words) + 1)
+                cut = to
+        return found
+
+
+def _merge(windows: np.ndarray, span: int) -> np.ndarray:
+    """Unions of the windows of each item that meet; ``span`` is more than any end."""
+    windows = windows[np.lexsort((windows[:, 1], windows[:, 0]))]
+    end = np.maximum.accumulate(windows[:, 0] * span + windows[:, 2])
+    first = np.flatnonzero(np.concatenate(([True], windows[1:, 0] * span + windows[1:, 1] > end[:-1])))
+    last = np.append(first[1:], len(windows)) - 1
+    return np.stack((windows[first, 0], windows[first, 1], end[last] - windows[first, 0] * span), axis=1)
 
 
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
@@ -104,60 +124,39 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
+def _dense(marked: np.ndarray, width: int, least: float) -> Iterator[tuple[int, int]]:
+    """Unions of the stretches of ``width`` places with at least ``least`` marked ones."""
+    total = np.concatenate(([0], np.cumsum(marked)))
+    width = min(width, len(marked))
+    starts = np.flatnonzero(total[width:] - total[:-width] >= least)
+    if len(starts):
+        cuts = np.flatnonzero(np.diff(starts) > width) + 1
+        for part in np.split(starts, cuts):
+            yield int(part[0]), int(part[-1]) + width
+
+
 def passages(words: np.ndarray, seeds: Seeds, min_score: float) -> Iterator[tuple[int, float, int, int]]:
     """(item, score, start, end) of every item a document has a passage of; the best passage each."""
-    windows: dict[int, list[tuple[int, int]]] = defaultdict(list)
-    for n in seeds.tables:
-        at, grams = seeds.hits(words, n)
-        for position, gram in zip(at.tolist(), grams.tolist()):
-            for k, offset in seeds.found[n, gram]:
-                size = len(seeds.words[k])
-                slack = 4 + size // 2
-                windows[k].append((max(0, position - offset - slack), min(len(words), position - offset + size + slack)))
-    for k, spans in windows.items():
+    windows = seeds.windows(words, min_score)
+    for cut in np.split(np.arange(len(windows)), np.flatnonzero(np.diff(windows[:, 0])) + 1) if len(windows) else ():
+        k = int(windows[cut[0], 0])
         item = seeds.words[k]
         vocabulary = distinct(item)
-        spans.sort()
-        merged = [list(spans[0])]
-        for start, end in spans[1:]:
-            if start <= merged[-1][1]:
-                merged[-1][1] = max(merged[-1][1], end)
-            else:
-                merged.append([start, end])
+        width = len(item) + int(seeds.slack(k, min_score))
         best = (0.0, 0, 0)
-        for start, end in merged:
-            passage = words[start:end]
-            place = np.minimum(np.searchsorted(vocabulary, passage), len(vocabulary) - 1)
+        for low, high in windows[cut, 1:].tolist():
+            place = np.minimum(np.searchsorted(vocabulary, words[low:high]), len(vocabulary) - 1)
             # each item word scores at most once, and only if the passage has it
-            if (vocabulary[place] == passage).sum() < min_score * len(item):
-                continue
-            score, stop = align(item, passage)
-            score /= MATCH * len(item)
-            if score > best[0]:
-                best = (score, max(start, start + stop - len(item)), start + stop)
+            for start, end in _dense(vocabulary[place] == words[low:high], width, min_score * len(item)):
+                start, end = low + start, low + end
+                score, stop = align(item, words[start:end])
+                score /= MATCH * len(item)
+                if score > best[0]:
+                    best = (score, max(start, start + stop - len(item)), start + stop)
         if best[0] >= min_score:
             yield (k, *best)
 
 
-def _count(shared):
-    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seeds = shared.value
-        seen: dict[tuple[int, int], int] = defaultdict(int)
-        for part in source:
-            for text in part.column(0):
-                words = item_words(text.as_py())
-                for n in seeds.tables:
-                    for gram in distinct(seeds.hits(words, n)[1]).tolist():
-                        seen[n, gram] += 1
-        if seen:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in seen], pa.int32()), pa.array([k[1] - (1 << 63) for k in seen], pa.int64()), pa.array(list(seen.values()), pa.int64())],
-                ["n", "gram", "docs"],
-            )
-
-    return run
-
-
 def _locate(shared, min_score: float):
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seeds = shared.value
@@ -193,11 +192,8 @@ def contaminated(
     for b in range(blocks):
         block = items.where(F.pmod(F.xxhash64("item_id", "item"), F.lit(blocks)) == b)
         seeds = Seeds([(r["item_id"], r["item"]) for r in block.collect()])
-        if not seeds.found:
+        if not seeds.tables:
             continue
-        shared = spark.sparkContext.broadcast(seeds)
-        seen = narrow.select("text").mapInArrow(_count(shared), "n int, gram long, docs long").groupBy("n", "gram").agg(F.sum("docs").alias("docs"))
-        rare = seeds.rare({(r["n"], r["gram"] + (1 << 63)): r["docs"] for r in seen.collect()})
-        here = narrow.mapInArrow(_locate(spark.sparkContext.broadcast(rare), min_score), HITS)
+        here = narrow.mapInArrow(_locate(spark.sparkContext.broadcast(seeds), min_score), HITS)
         found = here if found is None else found.unionByName(here)
     return found if found is not None else spark.createDataFrame([], HITS)

@@ -363,6 +363,44 @@ def test_decontamination(spark, corpus, awkward, nothing):
     assert {r.doc_id for r in decontaminate.contaminated(awkward, spark.createDataFrame([(1, "ONE!")], "item_id long, text string")).collect()} == {4, 5, 6}
 
 
+def test_an_edited_passage_in_hundreds_of_documents(spark):
+    """Common seeds stay seeds: an edited copy that many documents have, and one stretched by inserted words."""
+    import random
+
+    rnd = random.Random(11)
+    item = [f"i{k}" for k in range(40)]
+    edited = list(item)
+    for k in (5, 15, 25, 35):
+        edited[k] = f"other{k}"
+    stretched = [w for k, w in enumerate(item[:20]) for w in ([w] if k < 3 else [w, f"new{k}"])] + item[20:]
+    filler = lambda n: [f"f{rnd.randrange(500)}" for _ in range(n)]
+    docs = [(d, [*filler(30), *(edited if d % 2 else stretched), *filler(30)]) for d in range(300)] + [(d, filler(90)) for d in range(300, 320)]
+    docs.append((320, [*item[:3], *filler(60)]))  # three words of it are no passage
+    frame = spark.createDataFrame([(d, " ".join(ws)) for d, ws in docs], "doc_id long, text string")
+    bench = spark.createDataFrame([(0, " ".join(item)), (1, "not there at all " + " ".join(item[:6])), (2, " ".join(item[:3]))], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.score for r in decontaminate.contaminated(frame, bench).collect()}
+    split = {i: t.split() for i, t in ((r.item_id, r.text) for r in bench.collect())}
+    want = {(d, i): brute_align(ws, text) / 2 / len(ws) for d, text in docs for i, ws in split.items()}
+    assert got == pytest.approx({k: v for k, v in want.items() if v >= 0.5})
+    assert {d for d, i in got if i == 0} == set(range(300))
+
+
+def test_windows_in_small_portions(monkeypatch):
+    rng = np.random.default_rng(12)
+    monkeypatch.setattr(decontaminate, "_WINDOWS", 3)
+    for _ in range(150):
+        items = [(k, " ".join(f"w{x}" for x in rng.integers(0, 6, rng.integers(1, 12)))) for k in range(4)]
+        text = " ".join(f"w{x}" for x in rng.integers(0, 9, rng.integers(1, 60)))
+        seeds, words = decontaminate.Seeds(items), decontaminate.item_words(text)
+        got = {k: score for k, score, _, _ in decontaminate.passages(words, seeds, 0.5)}
+        for k, item in items:
+            a, b = item.split(), text.split()
+            best = brute_align(a, b) / 2 / len(a)
+            assert k not in got or 0.5 <= got[k] <= best
+            if f" {item} " in f" {text} ":
+                assert got[k] == 1.0
+
+
 # ---- components
 
 
