@@ -1,13 +1,14 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney bigram model.
 
-Counts come from all trusted text.  The vocabulary is closed: the VOCABULARY
-commonest words, a bounded table every task may hold; other words are one
-unknown word, whose probability is spread over the unknown types met.  Bigram
-counts have no such bound and stay in the cluster.
+All words count.  The VOCABULARY commonest have short numbers, a bounded table
+every task may hold; the others go by their hashes, and their numbers - weight
+of the lower order, continuation probability - are joined by shard as the
+bigrams' are.  ``train`` with a closed vocabulary makes one unknown word of
+them instead.  Bigram counts stay in the cluster.
 
 A text's log-probability is the sum over its words of the backed-off estimate,
-which needs only per-word numbers, plus a correction for every bigram the
-model has seen.  Corrections are joined by shard: model rows and packed bigram
+which needs only per-word numbers (of a word without a number those of a word never met), plus a correction for every bigram the
+model has seen and for every word without a number that it has.  Corrections are joined by shard: model rows and packed bigram
 keys of many documents meet in the task of their shard, model first, and leave
 it as one packed row of sums a chunk of documents.  A fixed-size Bloom filter keeps bigrams the
 model cannot have from being sent.
@@ -47,6 +48,9 @@ BROADCAST_LABELS = 2_000_000
 SEPARATORS = bytes(0 if i in b".," else WHITESPACE[i] for i in range(256))
 START, UNKNOWN = 0, 1  # word numbers; the vocabulary begins at 2
 _SHIFT = U64(20)
+#: set in the ids of words without a number, and in keys that have one
+RARE = U64(1 << 63)
+_AS_LEFT, _AS_RIGHT = U64(0x3C6EF372FE94F82B), U64(0x2545F4914F6CDD1D)
 assert VOCABULARY + 2 < 1 << 20
 
 
@@ -54,24 +58,38 @@ def words_of(text: str | None) -> np.ndarray:
     return word_hashes(text.lower().encode("utf-8", "surrogatepass"), SEPARATORS) if text else np.empty(0, dtype=U64)
 
 
+def keys_of_pairs(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """left << 20 | right where both are numbers, else a hash of both."""
+    return np.where((left | right) >> _SHIFT == 0, left << _SHIFT | right, mix(left * U64(0xD6E8FEB86659FD93) + right) | RARE)
+
+
+def keys_of_rare(words: np.ndarray, role: U64) -> np.ndarray:
+    return mix(words ^ role) | RARE
+
+
 class Vocabulary:
-    def __init__(self, hashes: np.ndarray):
+    def __init__(self, hashes: np.ndarray, is_open: bool = False):
         order = np.argsort(hashes)
         self.hashes = hashes[order]
         self.numbers = (order + 2).astype(U64)
+        self.is_open = is_open
 
     def numbers_of(self, words: np.ndarray) -> np.ndarray:
+        other = words | RARE if self.is_open else np.full(len(words), UNKNOWN, dtype=U64)
         if not len(self.hashes):
-            return np.full(len(words), UNKNOWN, dtype=U64)
+            return other
         at = np.minimum(np.searchsorted(self.hashes, words), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == words, self.numbers[at], U64(UNKNOWN))
+        return np.where(self.hashes[at] == words, self.numbers[at], other)
 
-    def bigrams(self, text: str | None) -> np.ndarray:
-        """Keys left << 20 | right of a text's bigrams, the first after a start mark."""
+    def pairs(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Left and right words of a text's bigrams, the first after a start mark."""
         right = self.numbers_of(words_of(text))
-        if not len(right):
-            return right
-        return np.concatenate(([U64(START)], right[:-1])) << _SHIFT | right
+        return (np.concatenate(([U64(START)], right[:-1])) if len(right) else right), right
+
+    def keys(self, text: str | None) -> np.ndarray:
+        """Keys of all corrections a text may have: its bigrams', and those of its words without a number."""
+        left, right = self.pairs(text)
+        return np.concatenate((keys_of_pairs(left, right), keys_of_rare(left[left >= RARE], _AS_LEFT), keys_of_rare(right[right >= RARE], _AS_RIGHT)))
 
 
 def _tally(keys: list[np.ndarray]) -> pa.RecordBatch:
@@ -98,9 +116,40 @@ def _tallied(keys_of):
     return run
 
 
+def _count_pairs(shared):
+    """Count bigrams, up to two million words at a time: key, left and right (0 where the key tells them), count."""
+
+    def tally(lefts: list[np.ndarray], rights: list[np.ndarray]) -> pa.RecordBatch:
+        left, right = np.concatenate(lefts), np.concatenate(rights)
+        k = keys_of_pairs(left, right)
+        order = np.argsort(k)
+        k = k[order]
+        first = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1]))) if len(k) else np.empty(0, dtype=int)
+        n = np.diff(np.append(first, len(k)))
+        k, order = k[first], order[first]
+        left, right = (np.where(k >= RARE, x[order], U64(0)) for x in (left, right))
+        return pa.RecordBatch.from_arrays([*(pa.array(x.view(np.int64)) for x in (k, left, right)), pa.array(n, pa.int64())], ["k", "l", "r", "n"])
+
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lefts, rights, size = [], [], 0
+        for part in source:
+            for text in part.column(0):
+                left, right = shared.value.pairs(text.as_py())
+                lefts.append(left)
+                rights.append(right)
+                size += len(left)
+                if size >= 2_000_000:
+                    yield tally(lefts, rights)
+                    lefts, rights, size = [], [], 0
+        if size:
+            yield tally(lefts, rights)
+
+    return run
+
+
 @dataclass
 class Model:
-    """What tasks hold: per-word numbers of a closed vocabulary, and a Bloom filter of fixed size."""
+    """What tasks hold: per-word numbers of the vocabulary, and a Bloom filter of fixed size."""
 
     vocabulary: Vocabulary
     backoff: np.ndarray  # log weight of the lower order after each word
@@ -131,7 +180,7 @@ def _shard(keys: np.ndarray, shards: int) -> np.ndarray:
 
 #: kind 0: model keys (docs: their corrections as float32); kind 1: keys of a chunk of documents
 _FLOW = "shard int, kind int, docs binary, sizes binary, keys binary, repeats binary"
-_KEY_BYTES = 5  # keys have 40 bits
+_KEY_BYTES = 8
 
 
 def _flow(shard: int, kind: int, *parts: bytes) -> pa.RecordBatch:
@@ -140,7 +189,7 @@ def _flow(shard: int, kind: int, *parts: bytes) -> pa.RecordBatch:
 
 
 def _pack(keys: np.ndarray) -> bytes:
-    """Keys by byte planes, compressed: word numbers follow frequency, so the upper planes are mostly zeros."""
+    """Keys by byte planes, compressed: word numbers follow frequency, so the upper planes are zeros but for hashed keys."""
     planes = np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_KEY_BYTES].T)
     return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
 
@@ -179,70 +228,146 @@ def _bloom_words(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(words[at], pa.int64())], ["at", "word"])
 
 
-def train(texts: DataFrame, vocabulary: int = VOCABULARY) -> Trained:
-    """Model of all rows of ``texts`` (one column, text)."""
+def _cut(n: np.ndarray, d: tuple[float, float, float]) -> np.ndarray:
+    return np.where(n > 2, d[2], np.where(n == 2, d[1], np.where(n == 1, d[0], 0.0)))
+
+
+def _word_keys(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in source:
+        w = part.column(0).to_numpy().view(U64)
+        for role in (_AS_LEFT, _AS_RIGHT):
+            yield pa.RecordBatch.from_arrays([pa.array(keys_of_rare(w, role).view(np.int64))], ["k"])
+
+
+def train(texts: DataFrame, vocabulary: int = VOCABULARY, open_vocabulary: bool = False) -> Trained:
+    """Model of all rows of ``texts`` (one column, text).
+
+    Words beyond the ``vocabulary`` commonest are one unknown word, or with
+    ``open_vocabulary`` words like the others, whose numbers stay in the cluster.
+    """
     spark = texts.sparkSession
     words = materialise(texts.mapInArrow(_tallied(words_of), "k long, n long").groupBy("k").agg(F.sum("n").alias("n")), "words", compression="zstd")
     types = words.count()
     top = words.orderBy(F.desc("n"), "k").limit(vocabulary).select("k").toArrow().column("k").to_numpy()
-    vocab = Vocabulary(top.view(U64))
+    vocab = Vocabulary(top.view(U64), open_vocabulary)
     remove(spark, words.inputFiles()[0].rsplit("/", 1)[0])
     shared = spark.sparkContext.broadcast(vocab)
-    keys = texts.mapInArrow(_tallied(lambda text: shared.value.bigrams(text)), "k long, n long")
-    bigrams = materialise(keys.groupBy("k").agg(F.sum("n").alias("n")), "bigrams", compression="zstd")
+    pairs = texts.mapInArrow(_count_pairs(shared), "k long, l long, r long, n long")
+    bigrams = materialise(pairs.groupBy("k", "l", "r").agg(F.sum("n").alias("n")), "bigrams", compression="zstd")
     total = bigrams.count()
     low = {r["n"]: r["m"] for r in bigrams.where("n <= 4").groupBy("n").agg(F.count("*").alias("m")).collect()}
     d = discounts(low)
     size = len(top) + 2
-    left, right = F.shiftright("k", 20).alias("w"), F.col("k").bitwiseAND((1 << 20) - 1).alias("w")
+    left = F.when(F.col("k") >= 0, F.shiftright("k", 20)).otherwise(F.col("l")).alias("w")
+    right = F.when(F.col("k") >= 0, F.col("k").bitwiseAND((1 << 20) - 1)).otherwise(F.col("r")).alias("w")
     after = bigrams.groupBy(left).agg(
         F.sum("n").alias("c"), F.count_if(F.col("n") == 1).alias("n1"), F.count_if(F.col("n") == 2).alias("n2"), F.count_if(F.col("n") > 2).alias("n3")
-    ).toArrow().to_pydict()  # fmt: skip  at most one row a vocabulary word
-    before = bigrams.groupBy(right).agg(F.count("*").alias("c")).toArrow().to_pydict()
+    )
+    before = bigrams.groupBy(right).agg(F.count("*").alias("kinds"))
+    if open_vocabulary:
+        after, before = materialise(after, "after", compression="zstd"), materialise(before, "before", compression="zstd")
+    few = after.where("w >= 0").toArrow().to_pydict()  # at most one row a vocabulary word
+    few_before = before.where("w >= 0").toArrow().to_pydict()
     mass, backoff = np.zeros(size), np.zeros(size)
-    w, c, *n = (np.array(after[k], dtype=np.int64) for k in ("w", "c", "n1", "n2", "n3"))
+    w, c, *n = (np.array(few[k], dtype=np.int64) for k in ("w", "c", "n1", "n2", "n3"))
     mass[w] = c
     backoff[w] = np.log((d[0] * n[0] + d[1] * n[1] + d[2] * n[2]) / c)
     kinds = np.zeros(size)
-    kinds[np.array(before["w"], dtype=np.int64)] = before["c"]
-    e = discounts({i: int((kinds == i).sum()) for i in (1, 2, 3, 4)})
-    cut = np.where(kinds > 2, e[2], np.where(kinds == 2, e[1], np.where(kinds == 1, e[0], 0.0)))
-    lower = (kinds - cut + cut.sum() / max(size - 1, 1)) / max(kinds.sum(), 1)
-    spread = 1 / (max(types - len(top), 0) + 1)  # one of the unknown types, and one more for all that was never met
+    kinds[np.array(few_before["w"], dtype=np.int64)] = few_before["kinds"]
+    same = {i: int((kinds == i).sum()) for i in (1, 2, 3, 4)}
+    more, all_kinds, others = int((kinds > 2).sum()), int(kinds.sum()), 0
+    rare = None
+    if open_vocabulary:
+        rare = materialise(before.where("w < 0").join(after.where("w < 0"), "w", "left"), "rare", compression="zstd")
+        counted = rare.agg(
+            *(F.count_if(F.col("kinds") == i).alias(f"k{i}") for i in same), F.count_if(F.col("kinds") > 2).alias("more"),
+            F.coalesce(F.sum("kinds"), F.lit(0)).alias("all"), F.count("*").alias("words"),
+        ).first()
+        same = {i: m + counted[f"k{i}"] for i, m in same.items()}
+        more, all_kinds, others = more + counted["more"], all_kinds + counted["all"], counted["words"]
+    e = discounts(same)
+    gamma = (e[0] * same[1] + e[1] * same[2] + e[2] * more) / max(size + others - 1, 1)
+    lower = (kinds - _cut(kinds, e) + gamma) / max(all_kinds, 1)
+    # one of the unknown types, and one more for all that was never met
+    spread = 1.0 if open_vocabulary else 1 / (max(types - len(top), 0) + 1)
     lower[UNKNOWN] *= spread
     lower = np.log(np.maximum(lower, 1e-300))
-    shards = max(1, -(-total // SHARD_ROWS))
+    shards = max(1, -(-(total + 2 * others) // SHARD_ROWS))
     bloom = np.zeros((1 << BLOOM_BITS) // 64, dtype=np.int64)
     if total:
-        for r in bigrams.select("k").coalesce(BLOOM_TASKS).mapInArrow(_bloom_words, "at long, word long").groupBy("at").agg(F.bit_or("word").alias("word")).toArrow().to_batches():
+        keys = bigrams.select("k")
+        if others:
+            keys = keys.unionByName(rare.select("w").mapInArrow(_word_keys, "k long"))
+        for r in keys.coalesce(BLOOM_TASKS).mapInArrow(_bloom_words, "at long, word long").groupBy("at").agg(F.bit_or("word").alias("word")).toArrow().to_batches():
             bloom[r.column(0).to_numpy()] = r.column(1).to_numpy()
     model = Model(vocab, backoff, lower, bloom, shards)
-    held = spark.sparkContext.broadcast((mass, backoff, lower, d, spread, shards))
+    held = spark.sparkContext.broadcast((mass, backoff, lower, d, e, gamma, all_kinds, spread, shards))
 
-    def correct(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mass, backoff, lower, d, spread, shards = held.value
-
-        def rows(k: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-            a, b = k >> 20, k & (1 << 20) - 1
-            base = np.exp(backoff[a] + lower[b])
-            main = (n - np.where(n > 2, d[2], np.where(n == 2, d[1], d[0]))) / mass[a]
-            main = np.where(b == UNKNOWN, main * spread, main)
-            delta = (np.log(base + main) - (backoff[a] + lower[b])).astype("<f4")
-            for s, here in _by_shard(k.view(U64), shards):
-                yield _flow(s, 0, delta[here].tobytes(), b"", _pack(k[here].view(U64)), b"")
-
-        keep: list[tuple[np.ndarray, np.ndarray]] = []
+    def batched(source: Iterator[pa.RecordBatch], rows) -> Iterator[pa.RecordBatch]:
+        keep: list[list[np.ndarray]] = []
         size = 0
         for part in source:
-            keep.append((part.column(0).to_numpy(), part.column(1).to_numpy()))
+            keep.append([c.fill_null(0).to_numpy(zero_copy_only=False) for c in part.columns])
             size += part.num_rows
             if size >= 200_000:
                 yield from rows(*(np.concatenate(x) for x in zip(*keep)))
                 keep, size = [], 0
-        if keep:
+        if size:
             yield from rows(*(np.concatenate(x) for x in zip(*keep)))
 
-    return Trained(model, bigrams.mapInArrow(correct, _FLOW))
+    def send(keys: np.ndarray, delta: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for s, here in _by_shard(keys, held.value[-1]):
+            yield _flow(s, 0, delta[here].astype("<f4").tobytes(), b"", _pack(keys[here]), b"")
+
+    def correct(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mass, backoff, lower, d, _, _, _, spread, _ = held.value
+
+        def rows(k: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+            a, b = k >> 20, k & (1 << 20) - 1
+            base = np.exp(backoff[a] + lower[b])
+            main = (n - _cut(n, d)) / mass[a]
+            main = np.where(b == UNKNOWN, main * spread, main)
+            yield from send(k.view(U64), np.log(base + main) - (backoff[a] + lower[b]))
+
+        yield from batched(source, rows)
+
+    def weight(c: np.ndarray, n1: np.ndarray, n2: np.ndarray, n3: np.ndarray) -> np.ndarray:
+        """Log weight of the lower order after words without a number; 0 after those that end every text they are in."""
+        d = held.value[3]
+        return np.where(c > 0, np.log(np.maximum(d[0] * n1 + d[1] * n2 + d[2] * n3, 1e-300) / np.maximum(c, 1)), 0.0)
+
+    def continued(kinds: np.ndarray) -> np.ndarray:
+        _, _, _, _, e, gamma, all_kinds, _, _ = held.value
+        return np.log((kinds - _cut(kinds, e) + gamma) / all_kinds)
+
+    def correct_rare(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mass, backoff, lower, d, *_ = held.value
+
+        def rows(k, n, l, r, c, n1, n2, n3, kinds) -> Iterator[pa.RecordBatch]:
+            a, b = np.where(l < 0, UNKNOWN, l), np.where(r < 0, UNKNOWN, r)
+            back = np.where(l < 0, weight(c, n1, n2, n3), backoff[a])
+            low = np.where(r < 0, continued(np.maximum(kinds, 1)), lower[b])
+            main = (n - _cut(n, d)) / np.where(l < 0, np.maximum(c, 1), mass[a])
+            yield from send(k.view(U64), np.log(np.exp(back + low) + main) - (back + low))
+
+        yield from batched(source, rows)
+
+    def correct_words(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(w, kinds, c, n1, n2, n3) -> Iterator[pa.RecordBatch]:
+            w = w.view(U64)
+            yield from send(keys_of_rare(w, _AS_LEFT), weight(c, n1, n2, n3))
+            yield from send(keys_of_rare(w, _AS_RIGHT), continued(kinds) - held.value[2][UNKNOWN])
+
+        yield from batched(source, rows)
+
+    corrections = bigrams.where("k >= 0").select("k", "n").mapInArrow(correct, _FLOW)
+    if others:
+        on_left = rare.select(F.col("w").alias("l"), "c", "n1", "n2", "n3")
+        on_right = rare.select(F.col("w").alias("r"), "kinds")
+        wide = bigrams.where("k < 0").join(on_left, "l", "left").join(on_right, "r", "left").select("k", "n", "l", "r", "c", "n1", "n2", "n3", "kinds")
+        corrections = corrections.unionByName(wide.mapInArrow(correct_rare, _FLOW))
+        corrections = corrections.unionByName(rare.select("w", "kinds", "c", "n1", "n2", "n3").mapInArrow(correct_words, _FLOW))
+    return Trained(model, corrections)
 
 
 def _score_texts(shared):
@@ -256,7 +381,7 @@ def _score_texts(shared):
                 here = part.slice(at, CHUNK_DOCS)
                 docs, owners, keys, counts = here.column(0).to_numpy(zero_copy_only=False).astype("<i8"), [], [], []
                 for i, text in enumerate(here.column(1)):
-                    found = np.sort(model.vocabulary.bigrams(text.as_py()))
+                    found = np.sort(model.vocabulary.keys(text.as_py()))
                     if not len(found):
                         continue
                     first = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
@@ -287,9 +412,9 @@ def _backed_off(shared):
         for part in source:
             sums, sizes = [], []
             for text in part.column(1):
-                k = model.vocabulary.bigrams(text.as_py()).view(np.int64)
-                sums.append(float((model.backoff[k >> 20] + model.lower[k & (1 << 20) - 1]).sum()))
-                sizes.append(len(k))
+                left, right = (np.where(x >= RARE, U64(UNKNOWN), x).view(np.int64) for x in model.vocabulary.pairs(text.as_py()))
+                sums.append(float((model.backoff[left] + model.lower[right]).sum()))
+                sizes.append(len(right))
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sums, pa.float64()), pa.array(sizes, pa.int64())], ["doc_id", "logp", "n_words"])
 
     return run
@@ -378,7 +503,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE
     trusted = labels.where("quality = 1 and coalesce(toxic, 0) <> 1").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
     trusted = F.broadcast(trusted) if labels.count() <= BROADCAST_LABELS else trusted
     held_out = F.pmod(F.xxhash64("doc_id"), F.lit(CALIBRATION)) == 0
-    trained = train(narrow.join(trusted, "doc_id", "left_semi").where(~held_out).select("text"), vocabulary)
+    trained = train(narrow.join(trusted, "doc_id", "left_semi").where(~held_out).select("text"), vocabulary, open_vocabulary=True)
     found = perplexities(narrow.select("doc_id", "text"), trained)
     langs = narrow.groupBy("doc_id").agg(F.min("lang").alias("lang"))
     found = materialise(langs.join(found, langs["doc_id"].eqNullSafe(found["doc_id"])).select(langs["doc_id"], "lang", "n_words", "logp"), "perplexity")

@@ -312,6 +312,25 @@ def test_kneser_ney(spark, corpus, monkeypatch, shard_rows):
         assert got[i][0] == n and got[i][1] == pytest.approx(logp, abs=1e-4)
 
 
+@pytest.mark.parametrize("vocabulary", [0, 50])
+def test_words_beyond_the_vocabulary_are_no_unknown_word(spark, corpus, monkeypatch, vocabulary):
+    """An open model is that of all words, however few have numbers."""
+    monkeypatch.setattr(kneser_ney, "SHARD_ROWS", 500)
+    docs = [(i, t) for i, t, _ in corpus[2]][:60] + [(900, ""), (901, None)]
+    texts = [t for _, t in docs[:40]]
+    trained = kneser_ney.train(spark.createDataFrame([(t,) for t in texts], "text string"), vocabulary, open_vocabulary=True)
+    got = {r.doc_id: (r.n_words, r.logp) for r in kneser_ney.perplexities(spark.createDataFrame(docs, "doc_id long, text string"), trained).collect()}
+    for i, (n, logp) in brute_kneser_ney(texts, docs, 1_000_000).items():
+        assert got[i][0] == n and got[i][1] == pytest.approx(logp, abs=1e-3)
+
+
+def test_the_query_scores_with_all_words(spark, corpus):
+    frame, _, docs, _ = corpus
+    labels = spark.createDataFrame([(i, 1, 0) for i, _, _ in docs if i % 2], "doc_id long, quality int, toxic int")
+    few, all_words = ({r.doc_id: r.perplexity for r in kneser_ney.score_quality(frame, labels, vocabulary=v).collect()} for v in (5, 100_000))
+    assert few == pytest.approx(all_words, rel=1e-4)
+
+
 def test_quality(spark, corpus, awkward, nothing):
     frame, _, docs, _ = corpus
     junk = [(1000 + k, " | ".join(f"ZX{k}{m}!!" for m in range(60)), "en", "j", 1) for k in range(20)]
