@@ -6,11 +6,12 @@
    of exact copies cost one row from here on.
 2. *Forest.*  The minhashes give 16 orders of depth 6.  Every order is dealt by
    its first four values and sorted; a streaming scan looks at runs that share
-   at least that prefix.  Small runs are compared whole.  Dense runs are walked
-   in sorted blocks - neighbours there share ever longer prefixes, so the depth
-   adapts to the region - plus a bounded set of leaders carried along.  A
-   candidate is kept where the minhashes agree clearly below the threshold, and
-   only a spanning forest of the candidates leaves the scan.
+   at least that prefix.  Runs are compared whole, in sorted blocks: each with
+   all before it, less the pairs that links found so far connect, so a run of
+   near copies costs little more than its length and one of many unlike texts
+   its square in 96-byte comparisons.  A candidate is kept where the minhashes
+   agree far below the threshold, and only a spanning forest of the candidates
+   leaves the scan.
 3. *Clumps.*  Connected candidates form clumps; every link lies inside one.
 4. *Confirmation.*  Clumps of bounded size are settled in one task each from
    the full sets, all pairs.  Larger clumps are reduced around their medoid:
@@ -38,8 +39,10 @@ from .textkernel import U64, shingle_set
 
 TREES, DEPTH, MIN_DEPTH = 16, 6, 4
 HASHES = TREES * DEPTH
-#: a run up to this long is compared whole, a longer one in blocks of this size
-BLOCK, LEADERS = 384, 64
+#: rows of a run compared at once
+BLOCK = 384
+#: how far the agreement of the minhashes of a candidate may lie below the threshold
+MARGIN = 0.23
 #: clumps up to this many members and shingles are settled in one task
 CLUMP_DOCS, CLUMP_SHINGLES = 1024, 4_000_000
 #: ids are broadcast up to this many (8 bytes each), else joined by shuffle
@@ -102,33 +105,55 @@ def _agreement(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 def _scan_forest(floor: float):
     """Candidates of sorted rows (tree, prefix, sketch, doc): a spanning forest per run."""
 
-    def settle(docs: list[int], sketches: np.ndarray, old: int, out: list[tuple[int, int]]) -> list[int]:
-        """Link rows ``old``.. to any before them; the first row of each tree of links is its leader."""
-        parent = list(range(len(docs)))
-        near = _agreement(sketches[old:], sketches) >= floor
-        for i in range(old, len(docs)):
-            for j in np.flatnonzero(near[i - old, :i]).tolist():
-                a, b = _find(parent, i), _find(parent, j)
+    class Run:
+        def __init__(self):
+            self.docs: list[int] = []
+            self.blocks: list[np.ndarray] = []
+            self.parent: list[int] = []
+
+        def roots(self, low: int, high: int) -> np.ndarray:
+            return np.array([_find(self.parent, i) for i in range(low, high)], dtype=np.int64)
+
+        def link(self, left: np.ndarray, right: np.ndarray, lefts: np.ndarray, rights: np.ndarray, out: list[tuple[int, int]]) -> None:
+            """Link rows ``left`` to those of ``right`` that are like them; sketches follow in the same order."""
+            for i, row in zip(*np.nonzero(_agreement(lefts, rights) >= floor)):
+                a, b = _find(self.parent, int(left[i])), _find(self.parent, int(right[row]))
                 if a != b:
-                    parent[max(a, b)] = min(a, b)
-                    out.append((docs[i], docs[j]))
-        return [i for i in range(len(docs)) if parent[i] == i]
+                    self.parent[max(a, b)] = min(a, b)
+                    out.append((self.docs[left[i]], self.docs[right[row]]))
+
+        def add(self, docs: list[int], rows: list[bytes], out: list[tuple[int, int]]) -> None:
+            """Link a block of rows with one another and with all rows before."""
+            old = len(self.docs)
+            self.docs += docs
+            self.parent += range(old, len(self.docs))
+            block = np.frombuffer(b"".join(rows), dtype=np.uint8).reshape(len(rows), HASHES)
+            mine = np.arange(old, len(self.docs))
+            self.link(mine, mine, block, block, out)
+            if old:  # the first row of each component first: most others then need no comparison
+                heads = np.unique(self.roots(0, old))
+                for at in range(0, len(heads), BLOCK):
+                    part = heads[at : at + BLOCK]
+                    self.link(mine, part, block, np.stack([self.blocks[h // BLOCK][h % BLOCK] for h in part]), out)
+            for b, before in enumerate(self.blocks):
+                theirs, ours = self.roots(b * BLOCK, b * BLOCK + len(before)), self.roots(old, len(self.docs))
+                rest = np.flatnonzero(theirs != np.arange(b * BLOCK, b * BLOCK + len(before)))
+                open_ = np.flatnonzero([(theirs[rest] != o).any() for o in ours]) if len(rest) else ()
+                if len(open_):
+                    self.link(mine[open_], b * BLOCK + rest, block[open_], before[rest], out)
+            self.blocks.append(block)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, docs, rows, old = None, [], [], 0
+        key, docs, rows, held = None, [], [], Run()
         out: list[tuple[int, int]] = []
 
         def flush(more: bool) -> None:
-            nonlocal docs, rows, old
-            if len(docs) > max(old, 1):
-                table = np.frombuffer(b"".join(rows), dtype=np.uint8).reshape(len(rows), HASHES)
-                leaders = settle(docs, table, old, out)
-                # carried on: leaders, the latest of them first, and the newest quarter of the block
-                keep = sorted({*leaders[-LEADERS:], *range(max(0, len(docs) - BLOCK // 4), len(docs))}) if more else []
-                docs, rows = [docs[i] for i in keep], [rows[i] for i in keep]
-            elif not more:
-                docs, rows = [], []
-            old = len(docs)
+            nonlocal docs, rows, held
+            if docs and (more or held.docs or len(docs) > 1):
+                held.add(docs, rows, out)
+            docs, rows = [], []
+            if not more:
+                held = Run()
 
         for batch in batches:
             for here, doc, sketch in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
@@ -137,7 +162,7 @@ def _scan_forest(floor: float):
                     key = here
                 docs.append(doc)
                 rows.append(sketch)
-                if len(docs) - old >= BLOCK:
+                if len(docs) >= BLOCK:
                     flush(True)
             if len(out) >= 4096:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], ["a", "b"])
@@ -355,7 +380,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.explode(F.array(*[F.struct(F.lit(t).cast("byte").alias("tree"), F.substring("sig", t * width + 1, width).alias("order")) for t in range(TREES)])).alias("e"),
     )
     key = F.xxhash64("e.tree", F.substring("e.order", 1, 4 * MIN_DEPTH))
-    floor = percent / 100 - 0.15
+    floor = percent / 100 - MARGIN
     candidates = (
         trees.select(key.alias("key"), "doc", "sketch", F.col("e.order").alias("order"))
         .repartition("key")

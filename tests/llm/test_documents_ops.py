@@ -109,6 +109,30 @@ def test_large_clumps(spark, monkeypatch):
     assert near_rows(frame) == brute_near(docs)
 
 
+def test_a_dense_run_loses_no_pair():
+    """Copies at both ends of a run of unlike rows, and a link by way of a row that is no leader."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(13)
+    table = rng.integers(0, 256, (2000, near_dup.HASHES), dtype=np.uint8)
+    table[1999] = table[0]
+    table[900, :76] = table[2, :76]  # like row 2, and row 1900 like it but not like row 2
+    table[1900, 20:] = table[900, 20:]
+    batch = pa.RecordBatch.from_arrays([pa.array([7] * 2000), pa.array(range(2000)), pa.array([r.tobytes() for r in table], pa.binary())], ["key", "doc", "sketch"])
+    found = {tuple(sorted(x)) for out in near_dup._scan_forest(0.62)(iter([batch])) for x in zip(*(c.to_pylist() for c in out.columns))}
+    assert found == {(0, 1999), (2, 900), (900, 1900)}
+
+
+def test_sketches_of_linked_pairs_agree_far_enough():
+    from math import comb
+
+    n = near_dup.HASHES
+    for percent in (80, 85):
+        floor = percent / 100 - near_dup.MARGIN
+        missed = sum(comb(n, k) * (percent / 100) ** k * (1 - percent / 100) ** (n - k) for k in range(n + 1) if k / n < floor)
+        assert missed < 2e-6 if percent == 80 else missed < 1e-7
+
+
 # ---- 4 repeated lines
 
 
