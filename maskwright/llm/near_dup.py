@@ -1,53 +1,66 @@
 """MinHash near-duplicates by an LSH forest, confirmed on full shingle sets.
 
 1. *Signatures.*  Each text becomes its set of distinct 5-word shingles, a
-   digest of that set and 96 minhashes.  Texts with equal sets collapse to one
-   representative by an ordinary (map-side combined) aggregation, so thousands
-   of exact copies cost one row from here on.
-2. *Forest.*  The minhashes give 16 orders of depth 6.  Every order is dealt by
-   its first four values and sorted; a streaming scan looks at runs that share
-   at least that prefix.  Runs are compared whole, in sorted blocks: each with
-   all before it, less the pairs that links found so far connect, so a run of
-   near copies costs little more than its length and one of many unlike texts
-   its square in 96-byte comparisons.  A candidate is kept where the minhashes
-   agree far below the threshold, and only a spanning forest of the candidates
-   leaves the scan.
-3. *Clumps.*  Connected candidates form clumps; every link lies inside one.
+   digest of that set (its node) and 96 minhashes.  Texts with equal sets
+   collapse to one node by an ordinary, map-side combined aggregation, so
+   thousands of exact copies cost one row from here on.
+2. *Forest.*  The minhashes are read in 16 orders.  A *region* is what shares a
+   prefix of an order, at first of four values.  Region sizes are counted
+   before anything else is sent.  Regions of at most REGION rows are compared
+   whole.  Larger ones go deeper, each in a depth of its own: their rows are
+   sorted by the order, range-partitioned so that no task sees a whole region,
+   and linked with their longest-common-prefix neighbours; a region that these
+   links make one clump is finished, any other is divided by two further pairs
+   of values, independent of one another, so that it becomes two finer
+   divisions of itself.  No row is left out of a region or forgotten in it.
+   A link of similarity s is met below a region with the probability q that
+   solves q = s^2 (1 - (1 - q)^2) however deep the region has to go: at 0.85
+   a link is missed by all 16 trees with a probability of 7e-6 where regions
+   are small and of 9e-5 where all its regions are endlessly dense; at 0.8
+   these are 2e-4 and 5e-3.
+3. *Clumps.*  Rows whose sketches agree far below the threshold are candidates;
+   connected candidates form clumps, and every link found lies inside one.
 4. *Confirmation.*  Clumps of bounded size are settled in one task each from
-   the full sets, all pairs.  Larger clumps are reduced around their medoid:
-   members within the threshold of it hang on it; by the triangle inequality of
-   the Jaccard distance only members at most twice the distance away can link
-   to those, and they are compared in blocks.  What is left is a smaller clump;
-   what never gets small is compared block against block.
+   the full sets, all of them.  In a larger one all members are first compared
+   with its medoid; regions of the forest that then have more than one
+   component are settled from full sets, deeper ones after their neighbours
+   were confirmed.
 
 Nulls and empty texts have an empty set: ``n_shingles`` 0, own component, kept.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
 from .scratch import materialise
 from .textkernel import U64, shingle_set
 
-TREES, DEPTH, MIN_DEPTH = 16, 6, 4
-HASHES = TREES * DEPTH
-#: rows of a run compared at once
-BLOCK = 384
+TREES, MIN_DEPTH, HASHES = 16, 4, 96
+#: a dense region is divided in two ways, each by so many further values, at most LEVELS times
+WAYS, STEP, LEVELS = 2, 2, 12
+#: rows of a region compared whole
+REGION = 512
+#: neighbours in a dense region's order that a row is compared with
+NEIGHBOURS = 3
 #: how far the agreement of the minhashes of a candidate may lie below the threshold
 MARGIN = 0.23
-#: clumps up to this many members and shingles are settled in one task
+#: clumps and regions up to this many members and shingles are settled from full sets in one task
 CLUMP_DOCS, CLUMP_SHINGLES = 1024, 4_000_000
-#: ids are broadcast up to this many (8 bytes each), else joined by shuffle
-BROADCAST_IDS = 2_000_000
+#: region keys and nodes are broadcast up to this many (8 bytes each), else joined by shuffle
+BROADCAST_KEYS = 500_000
+#: sets of medoids and sketches of giant clumps are broadcast up to this many bytes, else joined by shuffle
+BROADCAST_BYTES = 32 << 20
 _MULTIPLIERS = np.random.default_rng(20240229).integers(1, 1 << 63, HASHES, dtype=np.uint64) * U64(2) + U64(1)
+_LINKS = "a long, b long"
 
 
 def minhashes(shingles: np.ndarray) -> np.ndarray:
@@ -58,118 +71,132 @@ def minhashes(shingles: np.ndarray) -> np.ndarray:
     return (low >> U64(32)).astype(">u4")
 
 
+def _node(shingles: np.ndarray) -> int:
+    return xxhash.xxh3_64_intdigest(shingles.tobytes()) - (1 << 63)
+
+
 def _signatures(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, sizes, digests, signs, sketches = batch.column(0), [], [], [], []
-            for text in batch.column(1):
+            sizes, nodes, signs, sketches = [], [], [], []
+            for text in batch.column(2):
                 shingles = shingle_set(text.as_py(), n)
                 sizes.append(len(shingles))
-                digests.append(xxhash.xxh3_128_digest(shingles.tobytes()) if len(shingles) else None)
+                nodes.append(_node(shingles) if len(shingles) else None)
                 signs.append(minhashes(shingles).tobytes() if len(shingles) else None)
                 sketches.append(signs[-1][3::4] if len(shingles) else None)
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(sizes, pa.int64()), *(pa.array(x, pa.binary()) for x in (digests, signs, sketches))],
-                ["doc_id", "n_shingles", "set_id", "sig", "sketch"],
+                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(signs, pa.binary()), pa.array(sketches, pa.binary())],
+                ["doc_id", "text_hash", "n_shingles", "node", "sig", "sketch"],
             )
 
     return run
 
 
 def _sets(n: int):
+    """(node, text) -> node, shingles."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                sets = [shingle_set(t.as_py(), n).tobytes() for t in part.column(2)]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(sets, pa.binary())], ["clump", "doc", "shingles"])
+                made = ((node, shingle_set(t.as_py(), n)) for node, t in zip(part.column(0).to_pylist(), part.column(1)))
+                kept = [(node, s.tobytes()) for node, s in made if _node(s) == node]  # a repeated id brings its other texts too
+                if kept:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*kept), (pa.int64(), pa.binary()))], ["node", "shingles"])
 
     return run
 
 
-def _find(parent: list[int], x: int) -> int:
+def _find(parent, x):
     while parent[x] != x:
         parent[x] = parent[parent[x]]
         x = parent[x]
     return x
 
 
-def _agreement(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Share of equal minhash bytes, less what chance gives."""
-    equal = np.empty((len(left), len(right)), dtype=np.float32)
-    for i, row in enumerate(left):
-        equal[i] = (right == row).sum(axis=1)
-    return (equal / HASHES - 1 / 256) / (1 - 1 / 256)
+def _link_batch(links: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*links)], ["a", "b"])
 
 
-def _scan_forest(floor: float):
-    """Candidates of sorted rows (tree, prefix, sketch, doc): a spanning forest per run."""
+def _share(equal: np.ndarray) -> np.ndarray:
+    """Share of equal minhashes from that of equal bytes, less what chance gives."""
+    return (equal / HASHES - 1 / 256) / (1 - 1 / 256)
+
 
-    class Run:
-        def __init__(self):
-            self.docs: list[int] = []
-            self.blocks: list[np.ndarray] = []
-            self.parent: list[int] = []
+def _matrix(sketches: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(sketches), dtype=np.uint8).reshape(len(sketches), HASHES)
 
-        def roots(self, low: int, high: int) -> np.ndarray:
-            return np.array([_find(self.parent, i) for i in range(low, high)], dtype=np.int64)
 
-        def link(self, left: np.ndarray, right: np.ndarray, lefts: np.ndarray, rights: np.ndarray, out: list[tuple[int, int]]) -> None:
-            """Link rows ``left`` to those of ``right`` that are like them; sketches follow in the same order."""
-            for i, row in zip(*np.nonzero(_agreement(lefts, rights) >= floor)):
-                a, b = _find(self.parent, int(left[i])), _find(self.parent, int(right[row]))
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """Rows with the same first column, which come one after the other."""
+    key, rows = None, []
+    for batch in batches:
+        for here, *rest in zip(*(c.to_pylist() for c in batch.columns)):
+            if here != key:
+                if rows:
+                    yield rows
+                key, rows = here, []
+            rows.append(rest)
+    if rows:
+        yield rows
+
+
+def _compare(floor: float):
+    """(key, node, sketch) sorted by key -> candidates, a spanning forest of each region."""
+
+    def candidates(rows: list[tuple]) -> Iterator[tuple[int, int]]:
+        table = _matrix([s for _, s in rows])
+        parent = list(range(len(rows)))
+        for i in range(1, len(rows)):
+            for j in np.flatnonzero(_share((table[:i] == table[i]).sum(axis=1)) >= floor).tolist():
+                a, b = _find(parent, i), _find(parent, j)
                 if a != b:
-                    self.parent[max(a, b)] = min(a, b)
-                    out.append((self.docs[left[i]], self.docs[right[row]]))
-
-        def add(self, docs: list[int], rows: list[bytes], out: list[tuple[int, int]]) -> None:
-            """Link a block of rows with one another and with all rows before."""
-            old = len(self.docs)
-            self.docs += docs
-            self.parent += range(old, len(self.docs))
-            block = np.frombuffer(b"".join(rows), dtype=np.uint8).reshape(len(rows), HASHES)
-            mine = np.arange(old, len(self.docs))
-            self.link(mine, mine, block, block, out)
-            if old:  # the first row of each component first: most others then need no comparison
-                heads = np.unique(self.roots(0, old))
-                for at in range(0, len(heads), BLOCK):
-                    part = heads[at : at + BLOCK]
-                    self.link(mine, part, block, np.stack([self.blocks[h // BLOCK][h % BLOCK] for h in part]), out)
-            for b, before in enumerate(self.blocks):
-                theirs, ours = self.roots(b * BLOCK, b * BLOCK + len(before)), self.roots(old, len(self.docs))
-                rest = np.flatnonzero(theirs != np.arange(b * BLOCK, b * BLOCK + len(before)))
-                open_ = np.flatnonzero([(theirs[rest] != o).any() for o in ours]) if len(rest) else ()
-                if len(open_):
-                    self.link(mine[open_], b * BLOCK + rest, block[open_], before[rest], out)
-            self.blocks.append(block)
+                    parent[max(a, b)] = min(a, b)
+                    yield rows[i][0], rows[j][0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, docs, rows, held = None, [], [], Run()
         out: list[tuple[int, int]] = []
+        for rows in _runs(batches):
+            if len(rows) > 1:
+                out += candidates(rows)
+            if len(out) >= 4096:
+                yield _link_batch(out)
+                out = []
+        if out:
+            yield _link_batch(out)
+
+    return run
 
-        def flush(more: bool) -> None:
-            nonlocal docs, rows, held
-            if docs and (more or held.docs or len(docs) > 1):
-                held.add(docs, rows, out)
-            docs, rows = [], []
-            if not more:
-                held = Run()
 
+def _neighbours(floor: float):
+    """(key, node, label, sketch) sorted by key and order -> links of near neighbours of different labels, a spanning forest a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parent: dict[int, int] = {}
+        tail: tuple | None = None
         for batch in batches:
-            for here, doc, sketch in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                if here != key:
-                    flush(False)
-                    key = here
-                docs.append(doc)
-                rows.append(sketch)
-                if len(docs) >= BLOCK:
-                    flush(True)
-            if len(out) >= 4096:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], ["a", "b"])
-                out.clear()
-        flush(False)
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], ["a", "b"])
+            if not batch.num_rows:
+                continue
+            key, node, label = (batch.column(c).to_numpy() for c in range(3))
+            table = _matrix(batch.column(3).to_pylist())
+            if tail is not None:
+                key, node, label, table = (np.concatenate(x) for x in zip(tail, (key, node, label, table)))
+            old = 0 if tail is None else len(tail[0])
+            out = []
+            for w in range(1, NEIGHBOURS + 1):
+                at = np.arange(max(old, w), len(key))
+                at = at[key[at] == key[at - w]]
+                at = at[_share((table[at] == table[at - w]).sum(axis=1)) >= floor]
+                for i in at.tolist():
+                    x, y = int(label[i]), int(label[i - w])
+                    a, b = _find(parent, parent.setdefault(x, x) and x), _find(parent, parent.setdefault(y, y) and y)
+                    if a != b:
+                        parent[max(a, b)] = min(a, b)
+                        out.append((int(node[i]), int(node[i - w])))
+            if out:
+                yield _link_batch(out)
+            tail = tuple(x[-NEIGHBOURS:] for x in (key, node, label, table))
 
     return run
 
@@ -195,44 +222,35 @@ def intersections(sets: list[np.ndarray]) -> np.ndarray:
     return np.rint(total).astype(np.int64)
 
 
-def _linked(inter: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int) -> np.ndarray:
-    return 100 * inter >= percent * (left[:, None] + right[None, :] - inter)
-
-
-def _settle_clumps(percent: int):
-    """Rows sorted by clump -> a link from each document to the smallest of its component."""
+def _settle_runs(percent: int):
+    """(key, node, shingles) sorted by key -> a link from each node to the smallest it is connected with in its run."""
 
-    def settle(docs: list[int], raw: list[bytes]) -> Iterator[tuple[int, int]]:
-        order = np.argsort(np.array(docs))
-        docs, sets = [docs[i] for i in order], [np.frombuffer(raw[i], dtype=np.uint64) for i in order]
+    def settle(rows: list[tuple]) -> Iterator[tuple[int, int]]:
+        by_node = dict(rows)  # a repeated row of a table brings its set twice
+        nodes = sorted(by_node)
+        sets = [np.frombuffer(by_node[d], dtype=np.uint64) for d in nodes]
         sizes = np.array([len(s) for s in sets])
-        parent = list(range(len(docs)))
-        linked = np.triu(_linked(intersections(sets), sizes, sizes, percent), 1)
+        parent = list(range(len(nodes)))
+        inter = intersections(sets)
+        linked = np.triu(100 * inter >= percent * (sizes[:, None] + sizes[None, :] - inter), 1)
         for i, j in zip(*np.nonzero(linked)):
             a, b = _find(parent, int(i)), _find(parent, int(j))
             if a != b:
                 parent[max(a, b)] = min(a, b)
-        for i in range(len(docs)):
+        for i in range(len(nodes)):
             if (root := _find(parent, i)) != i:
-                yield docs[i], docs[root]
+                yield nodes[i], nodes[root]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, docs, raw, out = None, [], [], []
-        for batch in batches:
-            for clump, doc, shingles in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                if clump != key:
-                    if len(docs) > 1:
-                        out += settle(docs, raw)
-                    key, docs, raw = clump, [], []
-                docs.append(doc)
-                raw.append(shingles)
+        out: list[tuple[int, int]] = []
+        for rows in _runs(batches):
+            if len(rows) > 1:
+                out += settle(rows)
             if len(out) > 4096:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], ["a", "b"])
+                yield _link_batch(out)
                 out = []
-        if len(docs) > 1:
-            out += settle(docs, raw)
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], ["a", "b"])
+            yield _link_batch(out)
 
     return run
 
@@ -254,160 +272,228 @@ def _consensus(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _to_mode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(clump, doc, sketch, mode) -> how many minhashes are the clump's commonest."""
+    """(clump, node, sketch, mode) -> how many minhashes are the clump's commonest."""
     for batch in batches:
         same = [
             int((np.frombuffer(s, dtype=np.uint8) == np.frombuffer(bytes(m), dtype=np.uint8)).sum())
             for s, m in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
         ]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(same, pa.int64())], ["clump", "doc", "same"])
-
-
-def _jaccards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(clump, doc, shingles, pivot, pivot_set) -> sizes of intersection and union with the pivot."""
-    for batch in batches:
-        inter, union = [], []
-        for left, right in zip(batch.column(2).to_pylist(), batch.column(4).to_pylist()):
-            a, b = np.frombuffer(left, dtype=np.uint64), np.frombuffer(right, dtype=np.uint64)
-            both = len(np.intersect1d(a, b, assume_unique=True))
-            inter.append(both)
-            union.append(len(a) + len(b) - both)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), batch.column(3), pa.array(inter, pa.int64()), pa.array(union, pa.int64())],
-            ["clump", "doc", "pivot", "inter", "union"],
-        )
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(same, pa.int64())], ["clump", "node", "same"])
 
 
-def _against_block(percent: int):
-    """(doc, shingles, block of documents and their sets) -> a link per block member and batch."""
+def _confirm(percent: int):
+    """(a, b, set of a, set of b) -> the pairs that are linked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: set[tuple[int, int]] = set()
-            for doc, raw, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                mine = np.frombuffer(raw, dtype=np.uint64)
-                for other in block:
-                    its = np.frombuffer(other["shingles"], dtype=np.uint64)
-                    if doc == other["doc"] or 100 * min(len(mine), len(its)) < percent * max(len(mine), len(its)):
-                        continue
-                    both = len(np.intersect1d(mine, its, assume_unique=True))
-                    if 100 * both >= percent * (len(mine) + len(its) - both):
-                        out.add((doc, other["doc"]))
+            out = []
+            for a, b, left, right in zip(*(c.to_pylist() for c in batch.columns)):
+                x, y = np.frombuffer(left, dtype=np.uint64), np.frombuffer(right, dtype=np.uint64)
+                if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+                    continue
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                if 100 * both >= percent * (len(x) + len(y) - both):
+                    out.append((a, b))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], ["a", "b"])
+                yield _link_batch(out)
 
     return run
 
 
-def _giant_links(members: DataFrame, percent: int, rounds: int = 8) -> DataFrame:
-    """Links that connect what is connected inside clumps too large for one task.
+def _small(df: DataFrame, limit: int) -> DataFrame:
+    """``df``, a written table, broadcast if it has at most ``limit`` rows."""
+    return F.broadcast(df) if df.count() <= limit else df
+
 
-    ``members``: clump, doc, shingles, sketch.
+def _all(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _first_keys(*also: str | Column) -> Column:
+    """One struct (tree, key) a tree."""
+    width = 4 * MIN_DEPTH
+    return F.array(
+        *[F.struct(F.lit(t).alias("tree"), F.xxhash64(*also, F.lit(t), F.substring("sig", t * width + 1, width)).alias("key")) for t in range(TREES)]
+    )
+
+
+def _finer(rows: DataFrame) -> DataFrame:
+    """Each region divided in WAYS ways by STEP further values of its order.
+
+    ``path`` numbers the divisions of a tree as a heap does; it decides which
+    values are taken, so the two ways of a region use different ones, and no
+    way uses again what led to it as long as there are others.
+    """
+    values = HASHES - MIN_DEPTH
+    path = f"(path * {WAYS} + 1 + way)"
+    value = lambda k: f"substring(sig, 4 * ((tree * {MIN_DEPTH} + {MIN_DEPTH} + ({path} * {7 * STEP} + {k}) % {values}) % {HASHES}) + 1, 4)"
+    key = f"xxhash64(key, way, {', '.join(value(k) for k in range(STEP))})"
+    ways = F.explode(F.array(*[F.lit(w) for w in range(WAYS)])).alias("way")
+    return rows.select("*", ways).withColumns({"key": F.expr(key), "path": F.expr(f"cast({path} as int)")}).drop("way")
+
+
+def _forest(
+    rows: DataFrame,
+    labels: DataFrame | None,
+    limits: tuple[int, int],
+    settle: Callable[[DataFrame], DataFrame],
+    neighbours: Callable[[DataFrame], DataFrame],
+    rest: Callable[[DataFrame], DataFrame],
+) -> list[DataFrame]:
+    """Links in all regions of ``rows`` (key, tree, node, n_shingles, sketch, sig).
+
+    ``labels`` (node, label): what is known to be connected.  ``settle`` links
+    the rows of regions within ``limits`` (rows, shingles), ``neighbours`` those
+    of denser ones to their neighbours; regions of one label are finished.
+    What LEVELS divisions leave is handed to ``rest``.
     """
     found: list[DataFrame] = []
-    for turn in range(rounds + 1):
-        sizes = members.groupBy("clump").agg(F.count("*").alias("docs"), F.sum(F.length("shingles") / 8).alias("mass"))
-        is_giant = (F.col("docs") > CLUMP_DOCS) | (F.col("mass") > CLUMP_SHINGLES)
-        sized = members.join(sizes.select("clump", is_giant.alias("giant")), "clump")
-        sized = materialise(sized, "giant")
-        members = sized.where("giant").drop("giant")
-        found.append(_settle(sized.where("not giant"), percent))
-        if members.isEmpty():
+    known: list[DataFrame] = []
+    rows = rows.withColumn("path", F.lit(0))
+    for level in range(LEVELS + 1):
+        named = rows.withColumn("label", F.col("node"))
+        if labels is not None:
+            named = rows.join(_small(labels, BROADCAST_KEYS), "node", "left").withColumn("label", F.coalesce("label", "node"))
+        sizes = named.groupBy("key").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("mass"), F.min("label").alias("low"), F.max("label").alias("high"))
+        dense = (F.col("n") > limits[0]) | (F.col("mass") > limits[1])
+        mixed = materialise(sizes.where("low <> high").select("key", dense.alias("dense")), "regions")
+        some = mixed.groupBy("dense").count().collect()
+        n = {r["dense"]: r["count"] for r in some}
+        if n.get(False):
+            few = mixed.where("not dense").select("key")
+            found.append(settle(rows.join(F.broadcast(few) if n[False] <= BROADCAST_KEYS else few, "key", "left_semi")))
+        if not n.get(True):
             break
-        if turn == rounds:  # the exact way for what stays large: blocks of it against all of it
-            found.append(_blocks_against(members, members, percent))
+        wide = mixed.where("dense").select("key")
+        inner = materialise(named.join(F.broadcast(wide) if n[True] <= BROADCAST_KEYS else wide, "key", "left_semi"), "dense")
+        if level == LEVELS:
+            found.append(rest(inner))
             break
-        cells = members.select("clump", "sketch").mapInArrow(_consensus, "clump long, cell long, n long").groupBy("clump", "cell").agg(F.sum("n").alias("n"))
-        top = cells.groupBy("clump", F.floor(F.col("cell") / 256).alias("at")).agg(F.max(F.struct("n", (F.col("cell") % 256).alias("value"))).alias("m"))
-        mode = top.groupBy("clump").agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "m.value"))), lambda x: x["value"].cast("int")).alias("mode"))
-        fit = members.select("clump", "doc", "sketch").join(mode, "clump").mapInArrow(_to_mode, "clump long, doc long, same long")
-        medoid = fit.groupBy("clump").agg(F.max(F.struct("same", (-F.col("doc")).alias("d"))).alias("m")).select("clump", (-F.col("m.d")).alias("pivot"))
-        pivot = members.join(medoid, "clump").where("doc = pivot").select("clump", "pivot", F.col("shingles").alias("pivot_set"))
-        near = materialise(
-            members.join(pivot, "clump").select("clump", "doc", "shingles", "pivot", "pivot_set").mapInArrow(_jaccards, "clump long, doc long, pivot long, inter long, union long"),
-            "near",
-        )
-        linked = F.col("inter") * 100 >= F.col("union") * percent
-        found.append(near.where(linked & (F.col("doc") != F.col("pivot"))).select(F.col("doc").alias("a"), F.col("pivot").alias("b")))
-        # distance to the pivot is 1 - inter/union; links reach at most 1 - percent/100 further
-        reach = F.col("inter") * 100 >= F.col("union") * (2 * percent - 100)
-        state = near.select("clump", "doc", linked.alias("on"), reach.alias("close"))
-        placed = members.join(state, ["clump", "doc"])
-        placed = materialise(placed, "placed")
-        found.append(_blocks_against(placed.where("not on and close"), placed.where("on"), percent))
-        members = placed.where("not on").select("clump", "doc", "shingles", "sketch")
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out
-
-
-def _blocks_against(queries: DataFrame, members: DataFrame, percent: int, size: int = 64) -> DataFrame:
-    # blocks are dealt by a hash: about ``size`` documents each, and no task sees a whole clump
-    blocks = queries.groupBy("clump").agg(F.ceil(F.count("*") / size).alias("blocks"))
-    dealt = queries.join(blocks, "clump").withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")))
-    block = dealt.groupBy("clump", "block").agg(F.collect_list(F.struct("doc", "shingles")).alias("others"))
-    return members.join(block, "clump").select("doc", "shingles", "others").mapInArrow(_against_block(percent), "a long, b long").distinct()
-
-
-def _settle(members: DataFrame, percent: int) -> DataFrame:
-    return (
-        members.select("clump", "doc", "shingles")
-        .repartition("clump")
-        .sortWithinPartitions("clump", "doc")
-        .mapInArrow(_settle_clumps(percent), "a long, b long")
-    )
+        order = F.substring(F.col("sig"), F.col("tree") * (4 * MIN_DEPTH) + (4 * MIN_DEPTH + 1), F.lit(32))
+        ordered = inner.select("key", "node", "label", "sketch", order.alias("order")).repartitionByRange("key", "order")
+        near = materialise(neighbours(ordered.sortWithinPartitions("key", "order", "node").select("key", "node", "label", "sketch")), "neighbours")
+        if not near.isEmpty():
+            known.append(near)
+            links = near if labels is None else near.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
+            labels = materialise(connected_components(links).select("node", F.col("component").alias("label")), "labels")
+        rows = _finer(inner.drop("label"))
+    return found + known
+
+
+def _candidates(unique: DataFrame, floor: float) -> DataFrame:
+    """Pairs whose sketches agree in at least ``floor``, connecting all that such pairs of one region connect."""
+    rows = unique.select("node", "n_shingles", "sketch", "sig", F.explode(_first_keys()).alias("e")).select("node", "n_shingles", "sketch", "sig", "e.*")
+
+    def settle(few: DataFrame) -> DataFrame:
+        return few.select("key", "node", "sketch").repartition("key").sortWithinPartitions("key", "node").mapInArrow(_compare(floor), _LINKS)
+
+    def rest(inner: DataFrame) -> DataFrame:  # one clump each, so that full sets decide
+        least = materialise(inner.groupBy("key").agg(F.min("node").alias("b")), "least")
+        return inner.join(_small(least, BROADCAST_KEYS), "key").select(F.col("node").alias("a"), "b")
+
+    found = _forest(rows, None, (REGION, 1 << 62), settle, lambda ordered: ordered.mapInArrow(_neighbours(floor), _LINKS), rest)
+    return _all(found) if found else unique.sparkSession.createDataFrame([], _LINKS)
+
+
+def _settle(rows: DataFrame, key: str, percent: int) -> DataFrame:
+    return rows.select(key, "node", "shingles").repartition(key).sortWithinPartitions(key, "node").mapInArrow(_settle_runs(percent), _LINKS)
+
+
+def _pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
+    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
+    return pairs.distinct().join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(_confirm(percent), _LINKS)
+
+
+def _medoids(members: DataFrame) -> DataFrame:
+    """clump, pivot: the member of each clump nearest to its commonest minhashes."""
+    cells = members.select("clump", "sketch").mapInArrow(_consensus, "clump long, cell long, n long").groupBy("clump", "cell").agg(F.sum("n").alias("n"))
+    top = cells.groupBy("clump", F.floor(F.col("cell") / 256).alias("at")).agg(F.max(F.struct("n", (F.col("cell") % 256).alias("value"))).alias("m"))
+    mode = top.groupBy("clump").agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "m.value"))), lambda x: x["value"].cast("int")).alias("mode"))
+    mode = _small(materialise(mode, "mode"), BROADCAST_BYTES // (4 * HASHES))
+    fit = members.select("clump", "node", "sketch").join(mode, "clump").mapInArrow(_to_mode, "clump long, node long, same long")
+    return fit.groupBy("clump").agg(F.max_by("node", F.struct("same", "node")).alias("pivot"))
+
+
+def _giant_links(members: DataFrame, percent: int, floor: float) -> DataFrame:
+    """Links that connect what is connected inside clumps too large for one task.
+
+    ``members``: clump, node, n_shingles, sketch, sig, shingles.
+    """
+    sets = members.select("node", "shingles")
+    pivots = materialise(_medoids(members).join(members.withColumnRenamed("node", "pivot"), ["clump", "pivot"]).select("clump", "pivot", "shingles"), "pivots")
+    size = pivots.agg(F.sum(F.length("shingles"))).first()[0] or 0
+    pivots = pivots.select("clump", "pivot", F.col("shingles").alias("right"))
+    pivots = F.broadcast(pivots) if size <= BROADCAST_BYTES else pivots
+    paired = members.select("clump", "node", "shingles").join(pivots, "clump").where("node <> pivot")
+    hung = materialise(paired.select(F.col("node").alias("a"), F.col("pivot").alias("b"), F.col("shingles").alias("left"), "right").mapInArrow(_confirm(percent), _LINKS), "hung")
+    labels = hung.select(F.col("a").alias("node"), F.col("b").alias("label"))
+    rows = members.select("node", "n_shingles", "sketch", "sig", F.explode(_first_keys("clump")).alias("e")).select("node", "n_shingles", "sketch", "sig", "e.*")
+
+    def settle(few: DataFrame) -> DataFrame:
+        return _settle(few.select("key", "node").join(sets, "node"), "key", percent)
+
+    def neighbours(ordered: DataFrame) -> DataFrame:
+        return _pairs(ordered.mapInArrow(_neighbours(floor), _LINKS), sets, percent)
+
+    def rest(inner: DataFrame) -> DataFrame:
+        """The exact way for rows that share 28 values and more and yet have different components: blocks against blocks."""
+        docs = inner.select("key", "node").distinct()
+        dealt = docs.join(docs.groupBy("key").agg(F.ceil(F.count("*") / 256).alias("blocks")), "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+        met = dealt.select("key", "node", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"), "block")
+        met = met.select(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("key"), "node")
+        return _settle(met.join(sets, "node"), "key", percent)
+
+    return _all([hung, *_forest(rows, labels, (CLUMP_DOCS, CLUMP_SHINGLES), settle, neighbours, rest)])
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 85) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``.
+    """``doc_id, n_shingles, component_id, kept, text_hash`` for every row of ``docs``.
 
     Two texts are linked where 100 * |A and B| >= ``percent`` * |A or B| for
     their sets of distinct ``words``-word shingles.  ``component_id`` is the
-    smallest id reachable over links; ``kept`` marks that document.  Ids must be
-    distinct integers.  Extra columns of ``docs`` are ignored; an empty table
-    gives an empty result.
+    smallest id reachable over links; ``kept`` marks that document.  Rows with
+    the same id but different texts are documents of their own, told apart by
+    ``text_hash``, Spark's xxhash64 of the text.  A null id is never smallest: a
+    component of null ids only has the id null and is kept.  Extra columns of
+    ``docs`` are ignored; an empty table gives an empty result.
     """
-    spark = docs.sparkSession
-    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    signed = materialise(narrow.mapInArrow(_signatures(words), "doc_id long, n_shingles long, set_id binary, sig binary, sketch binary"), "signatures")
-    unique = signed.where("n_shingles > 0").groupBy("set_id", "n_shingles", "sig", "sketch").agg(F.min("doc_id").alias("doc"))
-    width = 4 * DEPTH
+    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_hash"), F.col(text_col).alias("text"))
+    signed = narrow.mapInArrow(_signatures(words), "doc_id long, text_hash long, n_shingles long, node long, sig binary, sketch binary")
+    signed = materialise(signed, "signatures")
+    nameless = F.when(F.col("doc_id").isNull(), F.col("text_hash"))
+    unique = signed.where("n_shingles > 0").groupBy("node", "n_shingles", "sig", "sketch").agg(F.min("doc_id").alias("doc"), F.min(nameless).alias("nameless"))
     unique = materialise(unique, "unique")
-    trees = unique.select(
-        "doc",
-        "sketch",
-        F.explode(F.array(*[F.struct(F.lit(t).cast("byte").alias("tree"), F.substring("sig", t * width + 1, width).alias("order")) for t in range(TREES)])).alias("e"),
-    )
-    key = F.xxhash64("e.tree", F.substring("e.order", 1, 4 * MIN_DEPTH))
     floor = percent / 100 - MARGIN
-    candidates = (
-        trees.select(key.alias("key"), "doc", "sketch", F.col("e.order").alias("order"))
-        .repartition("key")
-        .sortWithinPartitions("key", "order", "doc")
-        .select("key", "doc", "sketch")
-        .mapInArrow(_scan_forest(floor), "a long, b long")
-    )
-    clumps = materialise(connected_components(candidates).select(F.col("node").alias("doc"), F.col("component").alias("clump")), "clumps")
-    sizes = clumps.join(unique.select("doc", "n_shingles", "sketch"), "doc")
-    total = clumps.count()
-    ids = clumps.select(F.col("doc").alias("doc_id"), "clump")
-    ids = F.broadcast(ids) if total <= BROADCAST_IDS else ids
-    sets = narrow.join(ids, "doc_id").select("clump", F.col("doc_id").alias("doc"), "text").mapInArrow(_sets(words), "clump long, doc long, shingles binary")
-    weight = sizes.groupBy("clump").agg(F.count("*").alias("docs"), F.sum("n_shingles").alias("mass"))
+    clumps = materialise(connected_components(_candidates(unique, floor)).select("node", F.col("component").alias("clump")), "clumps")
+    wanted = materialise(unique.join(clumps, "node").select("node", "clump", "n_shingles", "doc", F.when(F.col("doc").isNull(), F.col("nameless")).alias("nameless")), "wanted")
+    total = wanted.count()
+    near = total <= BROADCAST_KEYS
+    ids = wanted.select("node", F.col("doc").alias("i"), F.col("nameless").alias("h"))
+    ids = F.broadcast(ids) if near else ids
+    keyed = narrow.select("doc_id", nameless.alias("nameless"), "text")
+    sets = keyed.join(ids, keyed["doc_id"].eqNullSafe(ids["i"]) & keyed["nameless"].eqNullSafe(ids["h"])).select("node", "text").mapInArrow(_sets(words), "node long, shingles binary")
+    weight = wanted.groupBy("clump").agg(F.count("*").alias("docs"), F.sum("n_shingles").alias("mass"))
     giants = materialise(weight.where((F.col("docs") > CLUMP_DOCS) | (F.col("mass") > CLUMP_SHINGLES)).select("clump"), "giants")
-    if giants.isEmpty():
-        links = _settle(sets, percent)
+    some = giants.count()
+    place = wanted.select("node", "clump")
+    place = F.broadcast(place) if near else place
+    if some:
+        few = F.broadcast(giants) if some <= BROADCAST_KEYS else giants
+        placed = materialise(sets, "sets").join(place, "node")
+        large = placed.join(few, "clump", "left_semi").dropDuplicates(["node"]).join(unique.select("node", "n_shingles", "sketch", "sig"), "node")
+        links = _settle(placed.join(few, "clump", "left_anti"), "clump", percent).unionByName(_giant_links(materialise(large, "giant-members"), percent, floor))
     else:
-        sets = materialise(sets, "sets")
-        small = _settle(sets.join(giants, "clump", "left_anti"), percent)
-        large = sets.join(giants, "clump", "left_semi").join(unique.select("doc", "sketch"), "doc").select("clump", "doc", "shingles", "sketch")
-        links = small.unionByName(_giant_links(large, percent))
-    component = connected_components(links)
-    best = unique.select("set_id", "doc").join(component, unique["doc"] == component["node"], "left").select("set_id", F.coalesce("component", "doc").alias("component"))
+        links = _settle(sets.join(place, "node"), "clump", percent)
+    component = materialise(connected_components(links), "components")
+    least = unique.select("node", "doc").join(component, "node").groupBy("component").agg(F.min("doc").alias("least"))
+    grouped = component.join(least, "component").select(F.col("node").alias("at"), "least")
+    grouped = F.broadcast(grouped) if near else grouped
+    best = unique.select(F.col("node").alias("its"), "doc").join(grouped, F.col("its") == F.col("at"), "left")
+    best = best.select("its", F.when(F.col("at").isNull(), F.col("doc")).otherwise(F.col("least")).alias("smallest"))
     return (
-        signed.select("doc_id", "n_shingles", "set_id")
-        .join(best, "set_id", "left")
-        .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
-        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+        signed.select("doc_id", "n_shingles", "node", "text_hash")
+        .join(best, F.col("node") == F.col("its"), "left")
+        .select("doc_id", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("smallest")).alias("component_id"), "text_hash")
+        .select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "text_hash")
     )

@@ -20,7 +20,7 @@ def op1_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(_documents(spark, sf_dir))
+    return near_duplicates(_documents(spark, sf_dir)).drop("text_hash")
 
 
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -90,37 +90,83 @@ def test_near_duplicates(spark, corpus, awkward, nothing):
     assert near_dup.near_duplicates(nothing).count() == 0
 
 
-def test_large_clumps(spark, monkeypatch):
-    """A star of near copies around one base, settled without ever holding the clump in one task."""
-    monkeypatch.setattr(near_dup, "CLUMP_DOCS", 6)
+def star(n, shift=0):
+    """A star of near copies around one base, and a chain that leaves the base step by step."""
     base = [f"w{k}" for k in range(120)]
     docs = [(0, " ".join(base))]
-    for k in range(1, 40):  # each is linked with the base, few with one another
+    for k in range(1, n):  # each is linked with the base, few with one another
         copy = list(base)
-        copy[(k * 7) % 120], copy[(k * 7 + 40) % 120] = f"x{k}", f"y{k}"
+        copy[(k * 7) % 120], copy[(k * 7 + 40 + k // 120) % 120] = f"x{k}", f"y{k}"
         docs.append((k, " ".join(copy)))
     chain = list(base)
-    for k in range(40, 46):  # a chain that leaves the base step by step
+    for k in range(n, n + 6):
         chain = [*chain[6:], *[f"c{k}_{m}" for m in range(6)]]
         docs.append((k, " ".join(chain)))
+    return docs
+
+
+def test_large_clumps(spark, monkeypatch):
+    """Settled without ever holding the clump in one task."""
+    docs = star(40)
     frame = spark.createDataFrame(docs, "doc_id long, text string")
+    for size, levels in ((6, 2), (1, 0)):
+        monkeypatch.setattr(near_dup, "CLUMP_DOCS", size)
+        monkeypatch.setattr(near_dup, "LEVELS", levels)
+        assert near_rows(frame) == brute_near(docs)
+
+
+def test_dense_regions_go_deeper(spark, monkeypatch):
+    """Regions of a handful of rows at most are compared whole: all else by neighbours and division."""
+    monkeypatch.setattr(near_dup, "REGION", 3)
+    monkeypatch.setattr(near_dup, "LEVELS", 3)
+    docs = star(40)
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    monkeypatch.setattr(near_dup, "BROADCAST_KEYS", -1)  # all joins by shuffle
     assert near_rows(frame) == brute_near(docs)
-    monkeypatch.setattr(near_dup, "CLUMP_DOCS", 1)
-    assert near_rows(frame) == brute_near(docs)
 
 
-def test_a_dense_run_loses_no_pair():
-    """Copies at both ends of a run of unlike rows, and a link by way of a row that is no leader."""
+def test_ids_that_are_null_or_not_distinct(spark):
+    words = " ".join(f"w{k}" for k in range(50))
+    docs = [(1, words), (1, "another text of the same id, and not a short one"), (None, words + " end"), (None, "only null ids have this text"), (None, "only null ids have this text"), (7, "another text of the same id, and not a short one!")]
+    got = {(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_dup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {(1, 46, 1, True), (1, 7, 1, True), (None, 47, 1, False), (None, 2, None, True), (7, 7, 7, True)}
+
+
+def test_neighbours_are_linked_across_batches():
     import pyarrow as pa
 
     rng = np.random.default_rng(13)
-    table = rng.integers(0, 256, (2000, near_dup.HASHES), dtype=np.uint8)
-    table[1999] = table[0]
-    table[900, :76] = table[2, :76]  # like row 2, and row 1900 like it but not like row 2
-    table[1900, 20:] = table[900, 20:]
-    batch = pa.RecordBatch.from_arrays([pa.array([7] * 2000), pa.array(range(2000)), pa.array([r.tobytes() for r in table], pa.binary())], ["key", "doc", "sketch"])
-    found = {tuple(sorted(x)) for out in near_dup._scan_forest(0.62)(iter([batch])) for x in zip(*(c.to_pylist() for c in out.columns))}
-    assert found == {(0, 1999), (2, 900), (900, 1900)}
+    table = rng.integers(0, 256, (9, near_dup.HASHES), dtype=np.uint8)
+    table[4], table[6] = table[3], table[3]  # neighbours at distances 1 and 3, the latter in another batch
+    columns = [pa.array([7] * 9), pa.array(range(9)), pa.array(range(9)), pa.array([r.tobytes() for r in table], pa.binary())]
+    batch = pa.RecordBatch.from_arrays(columns, ["key", "node", "label", "sketch"])
+    found = {tuple(sorted(x)) for out in near_dup._neighbours(0.62)(iter([batch.slice(0, 5), batch.slice(5)])) for x in zip(*(c.to_pylist() for c in out.columns))}
+    assert found in ({(3, 4), (3, 6)}, {(3, 4), (4, 6)})
+
+
+def test_recall_in_a_dense_run(spark):
+    """12,000 texts of one template, no two of them linked but 400 planted pairs at 0.85 to 0.9: at least 0.99 are found."""
+    rng = np.random.default_rng(14)
+    template = [f"t{k}" for k in range(130)]
+    texts, want = [], {}
+    for k in range(12_000):
+        own = [f"o{k}_{m}" for m in range(70)]
+        texts.append(template + own)
+    for k in range(400):
+        copy = list(texts[k])
+        copy[int(rng.integers(0, 60))], copy[int(rng.integers(65, 125))] = f"p{k}", f"q{k}"
+        copy[int(rng.integers(135, 195))] = f"r{k}"
+        want[len(texts)] = k
+        texts.append(copy)
+    frame = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string").repartition(8)
+    sets = lambda t: {tuple(t[j : j + 5]) for j in range(len(t) - 4)}
+    for a, b in want.items():
+        x, y = sets(texts[a]), sets(texts[b])
+        assert 0.85 <= len(x & y) / len(x | y) <= 0.9
+    assert len(sets(texts[0]) & sets(texts[1])) / len(sets(texts[0]) | sets(texts[1])) < 0.6
+    got = {r.doc_id: r.component_id for r in near_dup.near_duplicates(frame).collect()}
+    assert all(c == i or want.get(i) == c for i, c in got.items())
+    assert sum(got[i] == c for i, c in want.items()) >= 0.99 * len(want)
 
 
 def test_sketches_of_linked_pairs_agree_far_enough():
