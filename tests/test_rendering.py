@@ -149,3 +149,15 @@ def test_planner(spark):
     done = spark.createDataFrame([("p", "prosecutor"), ("q", "prosecutor"), ("q", "defense"), ("q", "judge")], "pair_id string, role string")
     pairs = spark.createDataFrame([("p",), ("q",), ("r",)], "pair_id string")
     assert {r.pair_id: r.next_role for r in planner.role_order(done, pairs).collect()} == {"p": "defense", "q": None, "r": "prosecutor"}
+
+
+def test_outline_of_a_decision():
+    text = rendering.normalize_court("頁首\n福建某某地方法院刑事簡易判決\n聲 請 人 某\n判決如下: 主 文 甲無罪。 理由 一、某事。\n\n\n\n附 錄：法條")
+    assert text.split("\n")[:6] == ["福建某某地方法院刑事簡易判決", "聲請人 某", "判決如下:", "主文", "甲無罪。", "理由"] and text.endswith("一、某事。\n\n附錄\n法條")
+
+
+def test_docket_forms():
+    text = "某法院108年度訴字第7、8號 第9號\n被告甲 另108年度訴字第7、8號，108,訴,7與108年 度訴字第7號及109年度訴字第7號"
+    assert rendering.mask_own_docket(text, {"year": "108", "case_word": "訴", "number": "7"}) == (
+        "某法院[本案案號]\n被告甲 另108年度訴字第7、8號，[本案案號]與[本案案號]及109年度訴字第7號"
+    )
