@@ -8,7 +8,6 @@ tournament tree over the bins' free room.
 
 from __future__ import annotations
 
-import json
 import os
 import zlib
 from array import array
@@ -26,8 +25,9 @@ SEQUENCE, END_ID = 4096, 2
 GROUP_DOCS = 8192
 #: remembered words per generation and worker
 CACHE_WORDS = 200_000
+#: characters of texts whose unknown words are encoded together
+PORTION_CHARS = 1_000_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
-_END = b"\xff"
 
 
 class WordCache(dict):
@@ -35,7 +35,8 @@ class WordCache(dict):
 
     White space never takes part in a token of the vocabulary and merges never
     cross it, so a text's ids are those of its words, joined; and as all is made
-    lower-case, A-Z may be so beforehand.
+    lower-case, A-Z may be so beforehand.  Words not yet known are encoded
+    together.  A text with the spelling of a special token is encoded as a whole.
     """
 
     def __init__(self, path: str):
@@ -44,71 +45,58 @@ class WordCache(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # a marker's spelling in a text is ordinary text
-        self.merges = _ranked_merges(path)
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.older: dict[bytes, bytes] = {}
 
-    def _ids(self, word: bytes) -> bytes:
-        if self.merges is not None:
-            if word.isalpha():
-                return array("I", self.merges(word + _END)).tobytes()
-            text = word.decode("utf-8", "replace")
-            if all("a" <= c <= "z" or "\u00c0" <= c <= "\u017f" and c not in "\u00d7\u00f7\u0130" for c in text):
-                return array("I", self.merges(text.lower().encode() + _END)).tobytes()
-        return array("I", self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids).tobytes()
-
-    def __missing__(self, word: bytes) -> bytes:
-        ids = self.older.get(word)
-        if ids is None:
-            if word[-1:] in (b",", b".") and word[-2:-1].isalpha():
-                # a letter and a mark are never one token: the word and the mark on their own
-                ids = self[word[:-1]] + self[word[-1:]]
-            else:
-                ids = self._ids(word)
+    def _learn(self, words: set[bytes]) -> None:
+        """Make sure that all ``words`` are known."""
         if len(self) >= CACHE_WORDS:
             self.older = dict(self)
             self.clear()
-        self[word] = ids
-        return ids
+        marked, new = [], set()
+        for word in words:
+            if word in self:
+                continue
+            if (ids := self.older.get(word)) is not None:
+                self[word] = ids
+            elif word[-1:] in (b",", b".") and word[-2:-1].isalpha():
+                # a letter and a mark are never one token: the word and the mark on their own
+                marked.append(word)
+                new.update(p for p in (word[:-1], word[-1:]) if p not in self)
+            else:
+                new.add(word)
+        order = list(new)
+        found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in order], add_special_tokens=False)
+        for word, one in zip(order, found):
+            self[word] = array("I", one.ids).tobytes()
+        for word in marked:
+            self[word] = self[word[:-1]] + self[word[-1:]]
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text."""
+        whole = [bool(t) and any(s in t for s in self.special) for t in texts]
+        split = [[] if w or not t else t.encode("utf-8", "replace").lower().split() for t, w in zip(texts, whole)]
+        self._learn(set().union(*split))
+        return [
+            array("I", self.tokenizer.encode(t, add_special_tokens=False).ids).tobytes() if w else b"".join(map(self.__getitem__, words))
+            for t, w, words in zip(texts, whole, split)
+        ]
 
     def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        return b"".join(map(self.__getitem__, text.encode("utf-8", "replace").lower().split()))
-
+        return self.encode_all([text])[0]
 
-def _ranked_merges(path: str):
-    """The vocabulary's merges as byte ranks, for words of plain lower-case letters; None if it is of another kind.
 
-    A word's last byte carries the end mark, here a byte no UTF-8 text has.
-    Ids follow the order of merges, marked bytes come before all merges: so
-    merging the pair of least id gives what the merge list gives.
-    """
-    import tiktoken
-
-    with open(path, encoding="utf-8") as file:
-        model = json.load(file)["model"]
-    vocab, suffix = model["vocab"], model.get("end_of_word_suffix")
-    if model.get("type", "BPE") != "BPE" or not suffix:
-        return None
-    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
-    byte_of = {chr(b): b for b in shown} | {chr(256 + n): b for n, b in enumerate(b for b in range(256) if b not in shown)}
-
-    def spelled(token: str) -> bytes:
-        ended = token.endswith(suffix)
-        return bytes(byte_of[c] for c in token.removesuffix(suffix)) + (_END if ended else b"")
-
-    merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
-    ranks = {}
-    for token, number in vocab.items():
-        if all(c in byte_of for c in token.removesuffix(suffix)):
-            ranks[spelled(token)] = number
-    numbers = [vocab["".join(m)] for m in merges]
-    singles = [n for t, n in vocab.items() if len(t.removesuffix(suffix)) == 1]
-    if numbers != sorted(numbers) or len(singles) != 512 or max(singles) >= numbers[0]:
-        return None
-    ranks[_END] = ranks.get(_END, max(vocab.values()) + 1)
-    return tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+def _portions(texts: pa.Array) -> Iterator[list[str | None]]:
+    """A few megabytes of texts at a time, one text at least."""
+    part, size = [], 0
+    for text in texts:
+        part.append(text.as_py())
+        size += len(part[-1] or "")
+        if size >= PORTION_CHARS:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
 
 
 _caches: dict[str, WordCache] = {}
@@ -127,8 +115,9 @@ def _pieces(path: str, size: int, end_id: int):
         cache = word_cache(path)
         for part in source:
             out: tuple[list, ...] = ([], [], [], [], [])
-            for doc, text in zip(part.column(0).to_pylist(), part.column(1)):
-                raw = cache.encode(text.as_py()) + end
+            encoded = (ids for texts in _portions(part.column(1)) for ids in cache.encode_all(texts))
+            for doc, ids in zip(part.column(0).to_pylist(), encoded):
+                raw = ids + end
                 tokens = len(raw) // 4
                 for start in range(0, tokens, size):
                     piece = raw[4 * start : 4 * (start + size)]
