@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 
 DIMENSIONS = 1024
 UNKNOWN = "und"
+#: training vectors are added up as whole numbers of this fraction, so that no order of tasks changes a prototype
+UNIT = 1 << 24
 #: trigram vectors remembered by a worker
 CACHE_ROWS = 60_000
 _SPACE = 32
@@ -35,21 +37,24 @@ def is_held_out(doc_id: int | None) -> bool:
 
 
 class _Alphabet:
-    """code point -> lower-case letter, or space for all that is no letter; grown as characters are met."""
+    """code point -> lower-case letter or mark, or space for all that is neither; grown as characters are met."""
 
     def __init__(self):
         self.table = np.full(0x110000, -1, dtype=np.int32)
+        self.is_letter = np.zeros(0x110000, dtype=bool)
 
     def letters(self, text: str) -> np.ndarray:
+        """The mapped characters of a text; none if it has no letter."""
         points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
         mapped = self.table[points]
         if len(mapped) and mapped.min() < 0:
             for point in np.unique(points[mapped < 0]).tolist():
                 char = chr(point)
                 low = char.lower()
+                self.is_letter[point] = char.isalpha()
                 self.table[point] = ord(low[0]) if char.isalpha() or unicodedata.category(char)[0] == "M" else _SPACE
             mapped = self.table[points]
-        return mapped
+        return mapped if self.is_letter[points].any() else mapped[:0]
 
 
 class _Trigrams:
@@ -98,9 +103,9 @@ def profile(text: str | None, dimensions: int = DIMENSIONS) -> np.ndarray | None
         _state[dimensions] = (_Alphabet(), _Trigrams(dimensions))
     alphabet, trigrams = _state[dimensions]
     letters = alphabet.letters(text)
-    letters = letters[np.concatenate(([True], (letters[1:] != _SPACE) | (letters[:-1] != _SPACE)))]
-    if not (letters != _SPACE).any():
+    if not len(letters):
         return None
+    letters = letters[np.concatenate(([True], (letters[1:] != _SPACE) | (letters[:-1] != _SPACE)))]
     padded = np.concatenate(([_SPACE], letters, [_SPACE])).astype(np.int64)
     codes = np.sort(padded[:-2] << 42 | padded[1:-1] << 21 | padded[2:])
     first = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1])))
@@ -121,12 +126,12 @@ def _bundle(dimensions: int):
             for text, lang in zip(part.column(0), part.column(1).to_pylist()):
                 vector = profile(text.as_py(), dimensions)
                 if vector is not None:
-                    sums[lang] = sums.get(lang, 0) + vector.astype(np.float64)
+                    sums[lang] = sums.get(lang, 0) + np.rint(vector * UNIT).astype(np.int64)
                     sizes[lang] = sizes.get(lang, 0) + 1
         for lang, vector in sums.items():
             yield pa.RecordBatch.from_pydict(
                 {"lang": [lang] * dimensions, "at": list(range(dimensions)), "v": vector.tolist(), "n": [sizes[lang]] * dimensions},
-                pa.schema([("lang", pa.string()), ("at", pa.int32()), ("v", pa.float64()), ("n", pa.int64())]),
+                pa.schema([("lang", pa.string()), ("at", pa.int32()), ("v", pa.int64()), ("n", pa.int64())]),
             )
 
     return run
@@ -158,12 +163,16 @@ MAX_LANGUAGES = 4096
 
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", dimensions: int = DIMENSIONS) -> Prototypes:
-    """Prototypes from all rows with a text and a language.  More than MAX_LANGUAGES distinct labels are an error."""
+    """Prototypes from all rows with a text and a language.
+
+    More than MAX_LANGUAGES distinct labels are an error, told before anything
+    is bundled, as such a column holds no languages.
+    """
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(text_col, lang_col)
-    sums = rows.mapInArrow(_bundle(dimensions), "lang string, at int, v double, n long").groupBy("lang", "at").agg(F.sum("v").alias("v"))
-    table = sums.groupBy("lang").agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "v"))), lambda x: x["v"]).alias("v")).orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
-    if len(table) > MAX_LANGUAGES:
+    if rows.select(lang_col).distinct().limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    sums = rows.mapInArrow(_bundle(dimensions), "lang string, at int, v long, n long").groupBy("lang", "at").agg(F.sum("v").alias("v"))
+    table = sums.groupBy("lang").agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "v"))), lambda x: x["v"]).alias("v")).orderBy("lang").collect()
     return Prototypes([r["lang"] for r in table], np.array([r["v"] for r in table], dtype=np.float64).reshape(len(table), dimensions))
 
 
@@ -201,7 +210,10 @@ def identify(docs: DataFrame, model: Prototypes, id_col: str = "doc_id", text_co
 
 
 def accepted(docs: DataFrame, model: Prototypes, min_score: float, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, whose text has letters and is at least ``min_score`` like some language."""
+    """The rows of ``docs``, all columns, whose text has letters and is at least ``min_score`` like some language.
+
+    Null and empty texts go; a model without languages accepts nothing.
+    """
 
     @F.arrow_udf("boolean")
     def passes(texts: pa.Array) -> pa.Array:

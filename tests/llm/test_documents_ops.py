@@ -225,8 +225,9 @@ def test_packing(spark, corpus, awkward, nothing):
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(tokenizer_path())
-    plain.encode_special_tokens = True
-    for frame, docs in ((corpus[0], [(i, t) for i, t, _ in corpus[2]]), (awkward, AWKWARD)):
+    marked = [(1, "a <|endoftext|> b"), (2, "x<|startoftext|>y <|ENDOFTEXT|> z."), (3, "<|endoftext|>")]
+    assert plain.encode(marked[0][1], add_special_tokens=False).ids == [320, 49407, 321]
+    for frame, docs in ((corpus[0], [(i, t) for i, t, _ in corpus[2]]), (awkward, AWKWARD), (spark.createDataFrame(marked, "doc_id long, text string"), marked)):
         ids = {i: [*plain.encode(t or "", add_special_tokens=False).ids, 2] for i, t in docs}
         rows = packing.pack_sequences(frame, tokenizer_path(), group_docs=50).collect()
         total = Counter()
@@ -247,15 +248,20 @@ def test_packing(spark, corpus, awkward, nothing):
     assert packing.pack_sequences(nothing, tokenizer_path()).count() == 0
 
 
-def test_word_cache_equals_the_tokenizer():
+def test_word_cache_equals_the_tokenizer(monkeypatch):
     import random
 
-    cache = packing.word_cache(tokenizer_path())
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(tokenizer_path())
+    monkeypatch.setattr(packing, "CACHE_WORDS", 300)  # words come back from the older generation, and go
+    cache = packing.WordCache(tokenizer_path())
     rnd = random.Random(3)
-    pool = [chr(c) for c in [*range(1, 384), 0x301, 0x308, 0x1100, 0x1161, 0x2028, 0x3000, 0x3A3, 0x130, 0x4E2D, 0x1F600, 0x200B]] + [" ", "\n", "'s", "<|endoftext|>"]
-    for _ in range(500):
-        text = "".join(rnd.choice(pool) for _ in range(40))
-        assert np.frombuffer(cache.encode(text), dtype="<u4").tolist() == cache.tokenizer.encode(text, add_special_tokens=False).ids
+    pool = [chr(c) for c in [*range(1, 384), 0x301, 0x308, 0x1100, 0x1161, 0x2028, 0x3000, 0x3A3, 0x130, 0x4E2D, 0x1F600, 0x200B]] + [" ", "\n", "'s", "<|endoftext|>", "<|startoftext|>"]
+    for _ in range(50):
+        texts = ["".join(rnd.choice(pool) for _ in range(40)) for _ in range(9)] + [" ".join(rnd.choice(["the", "tree.", "x1,", "<|startoftext|>", "A,."]) for _ in range(9))]
+        for text, ids in zip(texts, cache.encode_all(texts)):
+            assert np.frombuffer(ids, dtype="<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
 
 
 def test_first_fit_decreasing():
@@ -337,6 +343,46 @@ def test_bundles_are_sums_of_bound_letters():
     assert np.allclose(a, total / np.linalg.norm(total))
 
 
+def test_marks_alone_are_no_letters():
+    assert langid.profile("\u0301\u0301 1") is None and langid.profile("e\u0301") is not None
+
+
+def test_prototypes_and_predictions_by_hand(spark, corpus):
+    """Trigrams bound and bundled text by text in plain Python; prototypes, centring and cosines from those."""
+    frame, _, docs, _ = corpus
+    dims = 256
+    item = lambda c: np.random.default_rng(ord(c)).integers(0, 2, dims, dtype=np.int8) * 2 - 1
+
+    def vector(text):
+        clean = "".join(c.lower()[0] if c.isalpha() else " " for c in text)
+        clean = " " + " ".join(clean.split()) + " " if clean.strip() else ""
+        if text and clean and not text[0].isalpha():
+            clean = " " + clean  # a leading blank is a letter of its own
+        if text and clean and not text[-1].isalpha():
+            clean += " "
+        total = np.zeros(dims)
+        for tri, n in Counter(clean[k : k + 3] for k in range(len(clean) - 2)).items():
+            total += np.sqrt(n) * np.roll(item(tri[0]), 2) * np.roll(item(tri[1]), 1) * item(tri[2])
+        return total / np.linalg.norm(total) if clean else None
+
+    vectors = {i: vector(t) for i, t, _ in docs}
+    langs = sorted({lang for _, _, lang in docs})
+    learnt = [(i, lang) for i, _, lang in docs if zlib.crc32(str(i).encode()) % 4 != 2 and vectors[i] is not None]
+    sums = np.array([sum(vectors[i] for i, lang in learnt if lang == name) for name in langs])
+    unit = sums / np.linalg.norm(sums, axis=1, keepdims=True)
+    common = unit.mean(axis=0)
+    centred = (unit - common) / np.linalg.norm(unit - common, axis=1, keepdims=True)
+    model = langid.train(langid.learnable(frame).repartition(5), dimensions=dims)
+    assert model.langs == langs and np.allclose(model.unit, centred, atol=1e-5)
+    for r in langid.identify(frame, model).collect():
+        if vectors[r.doc_id] is None:
+            assert r.lang_pred == "und"
+            continue
+        v = vectors[r.doc_id] - common
+        cosines = centred @ v / np.linalg.norm(v)
+        assert r.lang_pred == langs[int(cosines.argmax())] and r.score == pytest.approx(max(0.0, cosines.max()), abs=1e-4)
+
+
 # ---- 9 quality
 
 
