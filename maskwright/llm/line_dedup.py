@@ -4,16 +4,18 @@ A *run* is a table ``h1, h2, n`` - 128-bit line keys with the number of
 documents they were found in - sorted by key.  :class:`LineRuns` keeps runs in
 levels as a log-structured merge store does: each ingested batch adds one run
 to level 0, and when a level holds ``fanout`` runs they are merged into one run
-of the level above.  Filtering merge-anti-joins a batch's line keys with the
-runs' frequent keys (both sides sorted by key, a sort-merge join), so nothing
-but counters is ever held on the driver and a line that a third of all
-documents share is one pre-aggregated row.
+of the level above.  Each batch is merge-anti-joined with the keys the runs
+know as frequent before it adds its own; what it takes away is settled, the
+rest waits for the runs of all batches.  Both sides of every merge are written
+tables, so a line that a third of all documents share is dealt to several tasks
+by AQE; nothing but counters is ever held on the driver.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 import xxhash
@@ -25,7 +27,7 @@ from .scratch import materialise, remove, scratch_path
 BLANKS = b" \t\n\v\f\r"
 #: documents' drop lists are broadcast up to this many keys (16 bytes each), else joined by shuffle
 BROADCAST_KEYS = 1_000_000
-PENDING = "batch int, doc_id long, h1 long, h2 long"
+PENDING = "doc_id long, h1 long, h2 long, batch int"
 
 
 def line_keys(text: str | None, min_chars: int) -> tuple[list[bytes], list[tuple[int, int] | None]]:
@@ -48,11 +50,9 @@ def _extract(min_chars: int, batches: int):
             out: tuple[list, ...] = ([], [], [], [])
             for doc, text in zip(part.column(0).to_pylist(), part.column(1)):
                 for key in {k for k in line_keys(text.as_py(), min_chars)[1] if k}:
-                    out[0].append((doc or 0) * 2654435761 % 4294967291 % batches)
-                    out[1].append(doc)
-                    out[2].append(key[0])
-                    out[3].append(key[1])
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *(pa.array(x, pa.int64()) for x in out[1:])], ["batch", "doc_id", "h1", "h2"])
+                    for column, value in zip(out, (doc, *key, (doc or 0) * 2654435761 % 4294967291 % batches)):
+                        column.append(value)
+            yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in out[:3]), pa.array(out[3], pa.int32())], ["doc_id", "h1", "h2", "batch"])
 
     return run
 
@@ -116,7 +116,8 @@ class LineRuns:
         return self._read([p for runs in self.levels.values() for p in runs]).groupBy("h1", "h2").agg(F.sum("n").alias("n"))
 
     def frequent(self, min_docs: int) -> DataFrame:
-        return self.counts().where(F.col("n") >= min_docs).select("h1", "h2")
+        """Keys found in at least ``min_docs`` documents, as a table of its own."""
+        return materialise(self.counts().where(F.col("n") >= min_docs).select("h1", "h2"), "frequent")
 
     def unseen(self, keys: DataFrame, min_docs: int = 1) -> DataFrame:
         """Merge-anti-join: the rows of ``keys`` whose line is in fewer than ``min_docs`` documents of the runs."""
@@ -126,9 +127,17 @@ class LineRuns:
         """What :meth:`unseen` takes away."""
         return keys.join(self.frequent(min_docs).hint("merge"), ["h1", "h2"], "left_semi")
 
+    def divide(self, keys: DataFrame, min_docs: int) -> tuple[DataFrame, DataFrame]:
+        """``unseen`` and ``seen`` of one merge, as tables."""
+        if not self.levels:
+            return keys, keys.limit(0)
+        known = self.frequent(min_docs).withColumn("known", F.lit(True))
+        marked = materialise(keys.join(known.hint("merge"), ["h1", "h2"], "left"), "divided")
+        return marked.where("known is null").drop("known"), marked.where("known").drop("known")
+
 
 def line_key_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 1, batches: int = 1) -> DataFrame:
-    """``batch, doc_id, h1, h2``: the distinct line keys of each document."""
+    """``doc_id, h1, h2, batch``: the distinct line keys of each document."""
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return narrow.mapInArrow(_extract(min_chars, batches), PENDING)
 
@@ -149,18 +158,26 @@ def drop_repeated_lines(
     lower-cased; keys of at least ``min_chars`` code points found in at least
     ``min_docs`` documents lose all their lines everywhere.  The table is
     ingested in ``batches`` runs; pass ``runs`` to go on from earlier corpora.
-    Null and empty texts are one empty line, which has no key and stays.
-    Repeated ids count as documents of their own; extra columns are ignored but
+    Null and empty texts are one empty line, which has no key and stays.  A null
+    id is one like any other.  Repeated ids count as documents of their own; extra columns are ignored but
     for those named in ``carry``, which follow.
     """
     extra = docs.select(carry or [])
     rest = [F.col(c).alias(f"carried_{i}") for i, c in enumerate(extra.columns)]
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     runs = runs or LineRuns(docs.sparkSession)
-    keys = materialise(line_key_table(narrow, min_chars=min_chars, batches=batches), "line-keys")
+    place = scratch_path(docs.sparkSession, "line-keys")
+    line_key_table(narrow, min_chars=min_chars, batches=batches).write.partitionBy("batch").parquet(place)
+    keys = docs.sparkSession.read.schema(PENDING).parquet(place)
+    waiting, settled = [], []
     for b in range(batches):
-        runs.ingest(keys.where(F.col("batch") == b))
-    drops = runs.seen(keys.select("doc_id", "h1", "h2"), min_docs).groupBy("doc_id").agg(F.collect_list(F.struct("h1", "h2")).alias("drops"))
+        batch = keys.where(F.col("batch") == b).select("doc_id", "h1", "h2")  # one folder
+        unseen, seen = runs.divide(batch, min_docs)
+        runs.ingest(batch)
+        waiting.append(unseen)
+        settled.append(seen)
+    settled.append(runs.seen(reduce(DataFrame.unionByName, waiting), min_docs))
+    drops = reduce(DataFrame.unionByName, settled).groupBy("doc_id").agg(F.collect_list(F.struct("h1", "h2")).alias("drops"))
     drops = materialise(drops.withColumnRenamed("doc_id", "drop_id"), "line-drops")
     total = drops.agg(F.sum(F.size("drops") + 1)).first()[0] or 0
     drops = F.broadcast(drops) if total <= BROADCAST_KEYS else drops
