@@ -22,6 +22,10 @@ LEDGER = "blob string, rule_version string, findings array<struct<start:bigint,e
 BROADCAST_BLOBS = 500_000
 
 
+#: matches of one text whose spans are gathered at once
+PORTION = 256
+
+
 @dataclass(frozen=True)
 class Rule:
     """``pattern`` finds; a match counts if ``group`` has ``least`` code points.  ``guard`` is a cheap necessary condition."""
@@ -82,16 +86,23 @@ def _rule_spans(text: Column, rule: Rule) -> Column:
         F.transform(checked, F.length).alias("checked"),
     )
     empty = F.array().cast("array<struct<start:bigint,end:bigint,kind:string>>")
-    state = F.struct(F.lit(0).cast("long").alias("at"), empty.alias("spans"))
 
-    def step(acc: Column, x: Column) -> Column:
+    def one(acc: Column, x: Column) -> Column:
         start = (acc["at"] + x["gap"]).cast("long")
         end = (start + x["size"]).cast("long")
         span = F.array(F.struct(start.alias("start"), end.alias("end"), F.lit(rule.kind).alias("kind")))
         return F.struct(end.alias("at"), F.when(x["checked"] >= rule.least, F.concat(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
 
+    def portion(acc: Column, some: Column) -> Column:
+        # spans are gathered a portion at a time and portions joined at the end: appending all to one array is quadratic
+        done = F.aggregate(some, F.struct(acc["at"].alias("at"), empty.alias("spans")), one)
+        return F.struct(done["at"].alias("at"), F.concat(acc["portions"], F.array(done["spans"])).alias("portions"))
+
+    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size(items) - 1) / PORTION).cast("int")))
+    portions = F.transform(starts, lambda i: F.slice(items, i * PORTION + 1, PORTION))
+    state = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<array<struct<start:bigint,end:bigint,kind:string>>>").alias("portions"))
     guard = text.rlike(rule.guard) if rule.guard_is_regex else F.contains(text, F.lit(rule.guard))
-    return F.when(guard, F.aggregate(items, state, step, lambda acc: acc["spans"])).otherwise(empty)
+    return F.when(guard, F.flatten(F.aggregate(portions, state, portion, lambda acc: acc["portions"]))).otherwise(empty)
 
 
 def scan(text: Column, pack: RulePack) -> Column:
@@ -141,6 +152,7 @@ class BlobLedger:
         kinds = [r.kind for p in packs for r in p.rules]
         order = F.create_map(*[x for i, k in enumerate(kinds) for x in (F.lit(k), F.lit(i))])
         hits = self.read().where(F.col("rule_version").isin([p.version for p in packs]) & (F.size("findings") > 0))
+        hits = hits.dropDuplicates(["blob", "rule_version"])
         per_blob = hits.groupBy("blob").agg(F.flatten(F.collect_list("findings")).alias("found"))
         ranked = F.array_sort(F.transform("found", lambda x: F.struct(x["start"].alias("start"), order[x["kind"]].alias("rank"), x["end"].alias("end"), x["kind"].alias("kind"))))
         per_blob = per_blob.select("blob", ranked.alias("findings"))
@@ -156,16 +168,21 @@ def _joined(findings: Column) -> Column:
     return F.array_join(F.transform(findings, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
-def scan_secrets(docs: DataFrame, ledger: BlobLedger | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan_secrets(docs: DataFrame, ledger: BlobLedger | None = None, id_col: str = "doc_id", text_col: str = "text", steps: int = 2) -> DataFrame:
     """``doc_id, n_assign, n_access, n_hex, base_sha256, spans`` for every row of ``docs``.
 
+    The table is ingested in ``steps`` by a hash of the id; each scans only what
+    the ledger does not have from the steps before and from earlier runs.
     Spans are ``kind:start:end`` in code points, end exclusive.  A null text is
-    an empty one; repeated rows share a blob and are scanned once; extra columns
-    are ignored.
+    an empty one, a null id an id like any other; repeated rows share a blob and
+    are scanned once; extra columns are ignored.  A ledger has one writer at a
+    time: two at once may both scan a blob, which repeats its row in the ledger
+    and, as rows are read once for each blob and version, no finding.
     """
     ledger = ledger or BlobLedger(docs.sparkSession)
-    paths = ledger.update(docs.select(F.col(id_col).alias("path"), F.col(text_col).alias("text")))
-    found = ledger.findings(paths)
+    source = docs.select(F.col(id_col).alias("path"), F.col(text_col).alias("text"))
+    paths = [ledger.update(source.where(F.pmod(F.xxhash64("path"), F.lit(steps)) == step)) for step in range(steps)]
+    found = ledger.findings(reduce(DataFrame.unionByName, paths))
     base = F.filter("findings", lambda x: x["kind"].isin([r.kind for r in BASE.rules]))
     counts = [_count(r.kind).alias(f"n_{r.kind}") for r in BASE.rules]
     return found.select(F.col("path").alias(id_col), *counts, F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("findings")).alias("spans"))

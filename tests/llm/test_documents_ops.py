@@ -208,6 +208,18 @@ def test_repeated_lines(spark, corpus, awkward, nothing, monkeypatch):
     assert carried.columns[4:] == ["n_lines", "path"] and carried.count() == len(AWKWARD)
 
 
+def test_lines_known_from_earlier_batches(spark):
+    """A line that becomes frequent late goes from early batches too, one known from an earlier corpus at once."""
+    docs = [(k, f"often\nline {k}\n" + ("late" if k > 27 else "")) for k in range(40)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    for batches in (1, 3, 8):
+        assert line_rows(frame, batches=batches) == brute_lines(docs, 10)
+    runs = line_dedup.LineRuns(spark)
+    list(line_dedup.drop_repeated_lines(frame, runs=runs).collect())
+    again = line_dedup.drop_repeated_lines(spark.createDataFrame([(99, "OFTEN \nnew")], "doc_id long, text string"), runs=runs).collect()
+    assert [(r.doc_id, r.n_dropped, r.kept_text) for r in again] == [(99, 1, "new")]
+
+
 def test_line_runs_compact_and_anti_join(spark):
     runs = line_dedup.LineRuns(spark, fanout=2)
     tables = [line_dedup.line_key_table(spark.createDataFrame([(b, f"common\nonly {b}")], "doc_id long, text string")) for b in range(5)]
@@ -303,6 +315,21 @@ def test_secrets(spark, corpus, awkward, nothing):
     assert "forge:" in next(r.spans for r in secrets.scan_secrets(corpus[0].where("doc_id = 265")).collect())
 
 
+def test_one_text_full_of_secrets(spark):
+    text = " ".join(f"token=abcdef{k} {'ab' * 14}" for k in range(5000))
+    row = secrets.scan_secrets(spark.createDataFrame([(1, text), (2, text), (None, text)], "doc_id long, text string")).collect()
+    spans = brute_spans(text)
+    assert {(r.n_assign, r.n_access, r.n_hex, r.base_sha256) for r in row} == {(5000, 0, 5000, hashlib.sha256(",".join(spans).encode()).hexdigest())} and len(row) == 3
+
+
+def test_steps_scan_a_blob_once(spark):
+    docs = spark.createDataFrame([(k, f"token=abcdef{k % 3}") for k in range(40)], "doc_id long, text string")
+    ledger = secrets.BlobLedger(spark)
+    first = sorted(map(tuple, secrets.scan_secrets(docs, ledger, steps=3).collect()))
+    assert ledger.read().count() == 3 * len(secrets.PACKS)
+    assert sorted(map(tuple, secrets.scan_secrets(docs, ledger).collect())) == first and ledger.read().count() == 3 * len(secrets.PACKS)
+
+
 def test_ledger_scans_only_what_is_new(spark):
     ledger = secrets.BlobLedger(spark)
     first = spark.createDataFrame([("a", "token=abcdef1"), ("b", "token=abcdef1"), ("c", "none")], "path string, text string")
