@@ -27,6 +27,8 @@ MIN_SCORE = 0.5
 BLOCK_BYTES = 8 << 20
 HITS = "doc_id long, item_id long, score double, start_word long, end_word long"
 _FILTER_BITS = 22
+#: what a point of score counts in a cell that holds a start as well
+_SCORE = 1 << 32
 #: windows of seeds held at once before they are merged
 _WINDOWS = 1_000_000
 
@@ -107,21 +109,27 @@ def _merge(windows: np.ndarray, span: int) -> np.ndarray:
     return np.stack((windows[first, 0], windows[first, 1], end[last] - windows[first, 0] * span), axis=1)
 
 
-def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
-    """Best local alignment score of two word sequences, and where it ends in the passage."""
-    ramp = -GAP * np.arange(len(passage) + 1)
-    row = np.zeros(len(passage) + 1, dtype=np.int64)
+def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
+    """Best local alignment score of two word sequences, and where it starts and ends in the passage.
+
+    A cell holds score and start as one number, score first, so that both are
+    carried along by the same maxima; of equal scores the later start wins.
+    """
+    places = np.arange(len(passage) + 1, dtype=np.int64)
+    ramp = -GAP * _SCORE * places
+    row = places.copy()  # score 0, starting there
     best, end = 0, 0
     for word in item.tolist():
-        step = np.where(passage == U64(word), MATCH, MISMATCH)
-        new = np.maximum(row + GAP, 0)
+        step = np.where(passage == U64(word), MATCH, MISMATCH) * _SCORE
+        new = np.maximum(row + GAP * _SCORE, places)
         new[1:] = np.maximum(new[1:], row[:-1] + step)
         # a gap in the item: best of what is to the left, less its distance
         row = np.maximum.accumulate(new + ramp) - ramp
-        top = int(row.argmax())
-        if row[top] > best:
+        row = np.where(row < _SCORE, places, row)
+        top = int((row // _SCORE).argmax())
+        if row[top] // _SCORE > best // _SCORE:
             best, end = int(row[top]), top
-    return best, end
+    return best // _SCORE, best % _SCORE, end
 
 
 def _dense(marked: np.ndarray, width: int, least: float) -> Iterator[tuple[int, int]]:
@@ -149,10 +157,10 @@ def passages(words: np.ndarray, seeds: Seeds, min_score: float) -> Iterator[tupl
             # each item word scores at most once, and only if the passage has it
             for start, end in _dense(vocabulary[place] == words[low:high], width, min_score * len(item)):
                 start, end = low + start, low + end
-                score, stop = align(item, words[start:end])
+                score, first, stop = align(item, words[start:end])
                 score /= MATCH * len(item)
                 if score > best[0]:
-                    best = (score, max(start, start + stop - len(item)), start + stop)
+                    best = (score, start + first, start + stop)
         if best[0] >= min_score:
             yield (k, *best)
 
@@ -179,9 +187,14 @@ def contaminated(
 
     ``score`` is the Smith-Waterman score over words (match 2, mismatch and gap
     -1) as a share of the item's with itself; rows of at least ``min_score``
-    are returned, per document and item the best passage.  Null or wordless
-    texts and items match nothing; an empty benchmark or corpus gives no rows.
+    are returned, per document and item the best passage, from the first to
+    before the last word's end.  Null or wordless texts and items match nothing;
+    a null id is carried along; an empty benchmark or corpus gives no rows.
     Repeated rows of ``docs`` give repeated rows.
+
+    The benchmark is the query set: it is read in blocks, each of which costs
+    two scans of the corpus.  A passage costs its length times the item's, so a
+    document that is itself a long item is quadratic in that item's words.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("item")).where("item is not null")

@@ -507,7 +507,18 @@ def test_alignment():
     rng = np.random.default_rng(5)
     for _ in range(100):
         a, b = (rng.integers(0, 4, rng.integers(1, 20)).astype(np.uint64) for _ in range(2))
-        assert decontaminate.align(a, b)[0] == brute_align(a.tolist(), b.tolist())
+        score, start, end = decontaminate.align(a, b)
+        assert score == brute_align(a.tolist(), b.tolist())
+        assert brute_align(a.tolist(), b[start:end].tolist()) == score  # the stretch alone has it
+        if score:
+            assert b[start] in a and b[end - 1] in a  # an alignment begins and ends with a word of the item
+
+
+def test_where_a_passage_starts():
+    item = decontaminate.item_words("one two three four five six seven eight")
+    text = decontaminate.item_words("x y one two three new words four five six seven eight z")
+    found = list(decontaminate.passages(text, decontaminate.Seeds([(5, "one two three four five six seven eight")]), 0.5))
+    assert found == [(0, 14 / 16, 2, 12)] and len(item) == 8
 
 
 def test_decontamination(spark, corpus, awkward, nothing):
