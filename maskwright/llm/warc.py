@@ -6,6 +6,11 @@ from the first kilobytes of a member and seeks over the rest.  The writer's
 manifest lists its files with member offsets every few megabytes; a large file
 is read by several tasks.  Archives of others - without manifest or skip
 lengths, plain or compressed - are read too, one task a file.
+
+A record without complete headers, without a length or with damaged gzip data is
+a row of type ``damaged`` and nothing else, so it can be counted; reading goes on
+with the next member where a skip length tells where that is, and with the next
+file where not.
 """
 
 from __future__ import annotations
@@ -43,8 +48,9 @@ RECORDS = (
     "payload_digest string, payload_bytes long, payload binary"
 )
 TO_WRITE = "page_id long, url string, fetched string, record_type string, refers_to long, payload_digest string, payload_bytes long, payload string"
-MANIFEST = "_files.json"
-SPLIT_BYTES = 16 << 20
+MANIFEST = "_files-"
+DAMAGED = "damaged"
+SPLIT_BYTES = 64 << 20
 HEAD_BYTES = 4096
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: repeated digests are broadcast up to this many (28 bytes and overhead each), else joined by shuffle
@@ -111,14 +117,14 @@ class _WarcWriter(DataSourceArrowWriter):
         return _Written(name, at, [s for s in splits if s < at])
 
     def commit(self, messages: list[WriterCommitMessage | None]) -> None:
+        """Name the files of this write in a manifest of its own, which appears whole or not at all."""
         fs, root = open_fs(self.path)
         fs.create_dir(root, recursive=True)
-        listed = []
-        if fs.get_file_info(f"{root}/{MANIFEST}").type == pafs.FileType.File:
-            listed = json.loads(fs.open_input_file(f"{root}/{MANIFEST}").read())
-        listed += [{"name": m.name, "size": m.size, "splits": m.splits} for m in messages if m is not None]
-        with fs.open_output_stream(f"{root}/{MANIFEST}", compression=None) as out:
+        listed = [{"name": m.name, "size": m.size, "splits": m.splits} for m in messages if m is not None]
+        name = f"{MANIFEST}{uuid.uuid4().hex}.json"
+        with fs.open_output_stream(f"{root}/.{name}", compression=None) as out:
             out.write(json.dumps(listed).encode())
+        fs.move(f"{root}/.{name}", f"{root}/{name}")
 
     def abort(self, messages: list[WriterCommitMessage | None]) -> None:
         fs, root = open_fs(self.path)
@@ -147,6 +153,14 @@ def _headers(block: bytes) -> tuple[dict[str, str], int] | None:
     return fields, end + 4
 
 
+def _hex_digest(value: str) -> str | None:
+    """A labelled base-32 SHA-1 in hex; any other digest as it is written."""
+    try:
+        return base64.b32decode(value[5:]).hex() if value.startswith("sha1:") else value or None
+    except ValueError:
+        return value
+
+
 class _WarcReader(DataSourceReader):
     def __init__(self, path: str, with_payload: bool):
         self.path, self.with_payload = path, with_payload
@@ -167,11 +181,12 @@ class _WarcReader(DataSourceReader):
 
     def partitions(self) -> list[InputPartition]:
         fs, root = open_fs(self.path)
-        if fs.get_file_info(f"{root}/{MANIFEST}").type == pafs.FileType.File:
-            listed = json.loads(fs.open_input_file(f"{root}/{MANIFEST}").read())
+        files = fs.get_file_info(pafs.FileSelector(root, allow_not_found=True))
+        manifests = sorted(i.path for i in files if i.base_name.startswith(MANIFEST))
+        if manifests:
+            listed = [m for path in manifests for m in json.loads(fs.open_input_file(path).read())]
             found = [_Split(m["name"], a, b) for m in listed for a, b in zip(m["splits"], [*m["splits"][1:], m["size"]]) if b > a]
         else:
-            files = fs.get_file_info(pafs.FileSelector(root, allow_not_found=True))
             found = [_Split(i.base_name, 0, i.size) for i in files if i.base_name.endswith((".warc", ".warc.gz"))]
         return found or [_Split("", 0, 0)]
 
@@ -183,6 +198,9 @@ class _WarcReader(DataSourceReader):
                 return False
         return True
 
+    def _is_wanted_damage(self) -> bool:
+        return self._wanted({"warc-type": DAMAGED})
+
     def _records(self, source: pa.NativeFile, end: int) -> Iterator[tuple[dict[str, str], bytes | None]]:
         """Header fields and block of wanted records; the block is None where payloads are not asked for."""
         while source.tell() < end:
@@ -192,28 +210,40 @@ class _WarcReader(DataSourceReader):
                 yield from self._plain(source, begin, end)
                 return
             size = None
-            if first[3] & 4 and first[12:14] == b"sl":
+            if len(first) >= 24 and first[3] & 4 and first[12:14] == b"sl":
                 size = struct.unpack_from("<I", first, 16)[0]
-            inflate = zlib.decompressobj(31)
-            block, parsed = inflate.decompress(first), None
-            while (parsed := _headers(block)) is None and not inflate.eof and (more := source.read(HEAD_BYTES)):
-                block += inflate.decompress(more)
-            if parsed is None:
-                raise ValueError("a record without complete headers")
-            fields, at = parsed
-            need = self._wanted(fields)
-            keep = need and (self.with_payload or fields.get("warc-type") == "revisit")
-            if keep or size is None:
-                parts = [block]
-                while not inflate.eof and (more := source.read(1 << 16)):
-                    got = inflate.decompress(more)
-                    if keep:
-                        parts.append(got)
-                size = source.tell() - len(inflate.unused_data) - begin
-                block = b"".join(parts)
-            source.seek(begin + size)
-            if need:
-                yield fields, block[at : at + int(fields["content-length"])] if keep else None
+            try:
+                fields, block, used = self._member(source, first, begin, size)
+            except (zlib.error, ValueError):
+                fields, block, used = {"warc-type": DAMAGED}, None, size
+            if self._wanted(fields):
+                yield fields, block
+            if not used:
+                return
+            source.seek(begin + used)
+
+    def _member(self, source: pa.NativeFile, first: bytes, begin: int, size: int | None) -> tuple[dict[str, str], bytes | None, int]:
+        """Header fields, block and compressed size of one gzip member."""
+        inflate = zlib.decompressobj(31)
+        block = inflate.decompress(first)
+        while (parsed := _headers(block)) is None and not inflate.eof and (more := source.read(HEAD_BYTES)):
+            block += inflate.decompress(more)
+        if parsed is None:
+            raise ValueError("a record without complete headers")
+        fields, at = parsed
+        length = int(fields.get("content-length", ""))
+        keep = self._wanted(fields) and (self.with_payload or fields.get("warc-type") == "revisit")
+        if keep or size is None:
+            parts = [block]
+            while not inflate.eof and (more := source.read(1 << 16)):
+                got = inflate.decompress(more)
+                if keep:
+                    parts.append(got)
+            if not inflate.eof:
+                raise ValueError("a member that ends early")
+            size = source.tell() - len(inflate.unused_data) - begin
+            block = b"".join(parts)
+        return fields, block[at : at + length] if keep else None, size
 
     def _plain(self, source: pa.NativeFile, begin: int, end: int) -> Iterator[tuple[dict[str, str], bytes | None]]:
         source.seek(begin)
@@ -221,7 +251,11 @@ class _WarcReader(DataSourceReader):
             at, head = source.tell(), b""
             while (parsed := _headers(head.lstrip(b"\r\n"))) is None and (more := source.read(HEAD_BYTES)):
                 head += more
-            if parsed is None:
+            if parsed is None and not head.strip():
+                return
+            if parsed is None or not parsed[0].get("content-length", "").isdigit():
+                if self._is_wanted_damage():
+                    yield {"warc-type": DAMAGED}, None
                 return
             fields, skip = parsed
             body = at + len(head) - len(head.lstrip(b"\r\n")) + skip
@@ -229,7 +263,7 @@ class _WarcReader(DataSourceReader):
             source.seek(body)
             need = self._wanted(fields)
             block = source.read(length) if need and (self.with_payload or fields.get("warc-type") == "revisit") else None
-            source.seek(body + length + 4)
+            source.seek(body + length)
             if need:
                 yield fields, block
 
@@ -250,15 +284,16 @@ class _WarcReader(DataSourceReader):
             for fields, block in self._records(source, partition.end):
                 payload, length = None, None
                 if block is not None:
-                    cut = block.find(b"\r\n\r\n") + 4 if fields.get("content-type", "").startswith("application/http") else 0
-                    http = _headers(block[:cut])[0] if cut else {}
-                    if fields["warc-type"] == "revisit":
-                        length = int(http["content-length"]) if "content-length" in http else None
+                    is_http = fields.get("content-type", "").startswith("application/http")
+                    http, cut = (is_http and _headers(block)) or ({}, 0)  # without an end of headers all is payload
+                    if fields.get("warc-type") == "revisit":
+                        told = http.get("content-length", "")
+                        length = int(told) if told.isdigit() else None
                     else:
                         payload = block[cut:]
                         length = len(payload)
                 digest = fields.get("warc-payload-digest", "")
-                digest = base64.b32decode(digest[5:]).hex() if digest.startswith("sha1:") else digest or None
+                digest = _hex_digest(digest)
                 strip = lambda v: v[1:-1] if v and v.startswith("<") else v
                 rows.append(
                     (strip(fields.get("warc-record-id")), fields.get("warc-type"), fields.get("warc-target-uri"), fields.get("warc-date"), strip(fields.get("warc-refers-to")), digest, length, payload)
@@ -321,6 +356,11 @@ def write_warc(pages: DataFrame, path: str, min_bytes: int = 1000) -> None:
 
 
 def read_warc(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
+    """The records of all archives in a folder; conditions on type, id, URI and date are tested on headers alone.
+
+    Without ``payload`` no payload is inflated.  Damaged records are rows of
+    type ``damaged``; an empty folder has no rows.
+    """
     register(spark)
     return spark.read.format(FORMAT).option("payload", str(payload).lower()).load(path)
 
@@ -328,20 +368,20 @@ def read_warc(spark: SparkSession, path: str, payload: bool = True) -> DataFrame
 def round_trip(pages: DataFrame, path: str | None = None) -> DataFrame:
     """``page_id, payload_bytes, payload_digest, record_type, refers_to`` as read back from the archives.
 
-    Lengths and digests of responses are computed from the payloads read; those
-    of revisits come from their headers.
+    Lengths and digests of responses are computed from the payloads read.
+    Revisits are read apart, by their headers alone: the condition on the type
+    is tested before anything of a response is inflated.
     """
     spark = pages.sparkSession
     path = path or scratch_path(spark, "warc")
     write_warc(pages, path)
-    number = lambda c: F.regexp_extract(c, _ID + r"(-?\d+)$", 1)
-    records = read_warc(spark, path)
-    is_response = F.col("record_type") == "response"
-    return records.select(
-        F.nullif(number("record_id"), F.lit("")).cast("long").alias("page_id"), "payload_bytes",
-        F.when(is_response, F.sha1("payload")).otherwise(F.col("payload_digest")).alias("payload_digest"), "record_type",
-        F.nullif(number("refers_to"), F.lit("")).cast("long").alias("refers_to"),
-    )
+    number = lambda c: F.nullif(F.regexp_extract(c, _ID + r"(-?\d+)$", 1), F.lit("")).cast("long")
+    part = lambda records, digest: records.select(
+        number("record_id").alias("page_id"), "payload_bytes", digest.alias("payload_digest"), "record_type", number("refers_to").alias("refers_to")
+    )
+    responses = read_warc(spark, path).where("record_type = 'response'")
+    revisits = read_warc(spark, path, payload=False).where("record_type = 'revisit'")
+    return part(responses, F.sha1("payload")).unionByName(part(revisits, F.col("payload_digest")))
 
 
 #: DuckDB form of op3_warc

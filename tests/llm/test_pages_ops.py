@@ -41,6 +41,22 @@ def test_archives(spark, tmp_path):
     assert warc.read_warc(spark, str(other)).where("record_type = 'response'").agg(F.sum("payload_bytes")).first()[0] == 2 * records.where("record_type = 'response'").agg(F.sum("payload_bytes")).first()[0]
 
 
+def test_damaged_records(spark, tmp_path):
+    good = warc.record_bytes(1, "http://a.org", "t", "response", None, "00" * 20, 2, b"ok")
+    no_length = b"WARC/1.1\r\nWARC-Type: response\r\n\r\nabc\r\n\r\n"
+    bare = b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Payload-Digest: sha1:no base 32\r\nContent-Type: application/http\r\nContent-Length: 5\r\n\r\nhello\r\n\r\n"
+    broken = bytearray(warc._member(good))
+    broken[30:60] = b"\xff" * 30
+    (tmp_path / "a.warc.gz").write_bytes(warc._member(good) + bytes(broken) + warc._member(no_length) + warc._member(b"WARC/1.1\r\nno end") + warc._member(bare))
+    (tmp_path / "b.warc.gz").write_bytes(gzip.compress(good) + gzip.compress(good)[:-20])
+    (tmp_path / "c.warc").write_bytes(good + b"\r\n" + bare + no_length + good)
+    (tmp_path / "d.warc").write_bytes(b"")
+    rows = warc.read_warc(spark, str(tmp_path))
+    assert {r.record_type: r["count"] for r in rows.groupBy("record_type").count().collect()} == {"response": 5, "damaged": 5}
+    assert Counter(r.payload for r in rows.where("record_type = 'response'").collect()) == {b"ok": 3, b"hello": 2}
+    assert rows.where("record_type = 'damaged'").count() == 5
+
+
 def test_large_files_are_split(spark, tmp_path, monkeypatch):
     reader = warc._WarcReader(str(tmp_path / "w"), True)
     monkeypatch.setattr(warc, "SPLIT_BYTES", 1000)
