@@ -16,7 +16,7 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media.media_features(media.store_texts(_documents(spark, sf_dir))).drop("tile_file", "tile_row")
+    return media.media_features(media.store_texts(_documents(spark, sf_dir))).drop("tile_file", "tile_row", "error")
 
 
 def op2_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,6 +34,39 @@ def test_media_round_trips():
         media.decode(b"GIF89a")
 
 
+def _bmp(depth, width, height, body, palette=b"", packing=0, masks=b""):
+    import struct
+
+    start = 14 + 40 + len(masks) + len(palette)
+    info = struct.pack("<IiiHHIIiiII", 40, width, height, 1, depth, packing, len(body), 0, 0, len(palette) // 4, 0)
+    return struct.pack("<2sIHHI", b"BM", start + len(body), 0, 0, start) + info + masks + palette + body
+
+
+def test_kinds_of_images():
+    assert media.decode(b"P2\n2 2\n255\n1 2 # note 7 8\n3 4\n").tolist() == [[1, 2], [3, 4]]
+    assert media.decode(b"P1 3 1 1#0 0\n01").tolist() == [[0, 255, 0]]
+    image, top = media.read_image(b"P5 2 1 65535\n" + b"\x03\xe8\xff\xff")
+    assert image.tolist() == [[1000, 65535]] and top == 65535
+    assert media.tile(image, 2, top)[0].tolist() == [4, 255] and media.tile(np.array([[0, 15]]), 2, 15)[0].tolist() == [0, 255]
+    greys = b"".join(bytes([v, v, v, 0]) for v in (10, 20))
+    colours = b"".join(bytes([b, g, r, 0]) for r, g, b in ((1, 2, 3), (4, 5, 6), (7, 8, 9), (10, 11, 12)))
+    assert media.decode(_bmp(1, 3, 2, b"\xa0\0\0\0\x40\0\0\0", greys)).tolist() == [[10, 20, 10], [20, 10, 20]]
+    assert media.decode(_bmp(4, 3, -1, b"\x12\x30\0\0", colours)).tolist() == [[[4, 5, 6], [7, 8, 9], [10, 11, 12]]]
+    assert media.decode(_bmp(8, 4, 2, b"\x03\x01\0\0\0\x03\x01\x02\x03\0\0\x01", colours, 1))[:, :, 0].tolist() == [[4, 7, 10, 1], [4, 4, 4, 1]]
+    assert media.decode(_bmp(4, 4, 1, b"\x04\x12\0\x01", colours, 2))[:, :, 0].tolist() == [[4, 7, 4, 7]]
+    assert media.decode(_bmp(16, 1, 1, b"\x1f\x7c\0\0")).tolist() == [[[255, 0, 255]]]
+    fields = np.array([0xFF, 0xFF00, 0xFF0000], dtype="<u4").tobytes()
+    assert media.decode(_bmp(32, 1, 1, b"\x01\x02\x03\x04", packing=3, masks=fields)).tolist() == [[[1, 2, 3]]]
+
+
+def test_damaged_images_are_told(spark, tmp_path):
+    good = media.encode_netpbm(np.zeros((2, 64), dtype=np.uint8))
+    raws = [good, good[:-1], b"P2 2 1 255 1 x", b"P5 1 1 0 a", b"BM", _bmp(2, 1, 1, b"\0" * 4), _bmp(8, 1, 1, b"\x09\0\0\0", b"\0" * 8), b"GIF89a", b"", None]
+    rows = media.media_features(spark.createDataFrame([(i, 0, r) for i, r in enumerate(raws)], "doc_id long, n_bytes long, media binary"), str(tmp_path)).collect()
+    assert len(rows) == len(raws) and {r.doc_id for r in rows if r.error is None} == {0}
+    assert all(r.payload_sha256 is None and r.tile_row is None for r in rows if r.error)
+
+
 def test_area_resize_is_the_mean_of_what_is_below():
     image = np.random.default_rng(2).integers(0, 256, (12, 18)).astype(float)
     small = media.area_resize(image, 4, 6)
