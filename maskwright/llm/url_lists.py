@@ -4,8 +4,10 @@ List entries say that a host or domain was added or removed on a day.  The
 latest entry at or before a capture decides whether the pattern was active
 then.  Captures and entries of a key are sorted together by time and every
 capture takes over the last entry before it, so a key with many entries costs
-no more than their number; captures are salted, entries repeated once per
-salt, so a host with a third of all captures is spread over tasks.
+no more than their number; a key's captures
+are dealt over as many salts as its share of all captures asks for, and its
+entries repeated once per salt, so a host with a third of all captures is spread
+over tasks and one with few stays in one.
 """
 
 from __future__ import annotations
@@ -13,19 +15,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SALTS = 8
+from .scratch import materialise
+
+#: parts of all captures that one salt of a key holds, for each partition of a shuffle
+SHARE = 2
+#: keys with more than one salt are broadcast up to this many, else joined by shuffle
+BROADCAST_KEYS = 100_000
+_IPV4 = r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$"
 
 
 def url_host(url: Column) -> Column:
-    """Lower-case host of an absolute URL; null where there is none."""
-    host = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
+    """Lower-case host of an absolute URL, an IPv6 address in its brackets; null where there is none."""
+    host = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?(\[[0-9A-Fa-f:.]+\]|[^/?#:]+)", 1))
     return F.when(host != "", host)
 
 
 def host_suffixes(host: Column) -> Column:
-    """The host and its parent domains of two labels or more."""
+    """The host and its parent domains of two labels or more; an address has no parents."""
     labels = F.split(host, r"\.")
-    last = F.greatest(F.lit(1), F.size(labels) - 1)
+    last = F.when(host.startswith("[") | host.rlike(_IPV4), 1).otherwise(F.greatest(F.lit(1), F.size(labels) - 1))
     return F.transform(F.sequence(F.lit(1), last), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
 
 
@@ -46,7 +54,8 @@ def filter_captures(captures: DataFrame, entries: DataFrame, id_col: str = "page
 
     The pattern is the longest active one among the host and its parents.
     Captures without a host or a time, and all captures of an empty list, are
-    not blocked.  Repeated rows are judged each; extra columns are ignored.
+    not blocked.  A null id is an id like any other.  An address is a host
+    without parents.  Repeated rows are judged each; extra columns are ignored.
     """
     base = captures.select(F.col(id_col).alias("id"), url_host(F.col(url_col)).alias("host"), F.col(time_col).alias("fetched"))
     keyed = base.where("host is not null and fetched is not null").distinct()
@@ -55,25 +64,36 @@ def filter_captures(captures: DataFrame, entries: DataFrame, id_col: str = "page
     # an interval is two events: what holds from its start, and nothing from its end
     starts = spans.select(F.col("pattern").alias("key"), F.col("valid_from").alias("day"), F.lit(1).alias("turn"), "category")
     ends = spans.where("valid_to is not null").select(F.col("pattern").alias("key"), F.col("valid_to").alias("day"), F.lit(0).alias("turn"), F.lit(None).cast("string").alias("category"))
-    events = starts.unionByName(ends).select(
+    hot = _salts(looked)
+    events = starts.unionByName(ends).join(hot, "key", "left").select(
         "key", "day", "turn", F.lit(None).cast("long").alias("id"), F.lit(None).cast("string").alias("host"), F.struct("category").alias("entry"),
-        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("salts", F.lit(1)) - 1)).alias("salt"),
     )
-    asked = looked.select(
+    asked = looked.join(hot, "key", "left").select(
         "key", "day", F.lit(2).alias("turn"), F.col("id").cast("long").alias("id"), "host", F.lit(None).cast("struct<category:string>").alias("entry"),
-        F.pmod(F.xxhash64("id", "day"), F.lit(SALTS)).cast("int").alias("salt"),
+        F.pmod(F.xxhash64("id", "host", "day"), F.coalesce("salts", F.lit(1))).alias("salt"),
     )
     w = Window.partitionBy("key", "salt").orderBy("day", "turn").rowsBetween(Window.unboundedPreceding, 0)
     judged = events.unionByName(asked).withColumn("entry", F.last("entry", ignorenulls=True).over(w)).where("turn = 2 and entry.category is not null")
     hit = judged.groupBy("id", "host", "day").agg(F.max_by(F.struct("key", "entry.category"), F.length("key")).alias("hit"))
     hit = hit.select(F.col("id").alias("hit_id"), F.col("host").alias("hit_host"), F.col("day").alias("hit_day"), "hit")
-    on = (base["id"] == hit["hit_id"]) & (base["host"] == hit["hit_host"]) & (base["fetched"] == hit["hit_day"])
+    on = base["id"].eqNullSafe(hit["hit_id"]) & (base["host"] == hit["hit_host"]) & (base["fetched"] == hit["hit_day"])
     return base.join(hit, on, "left").select(
         F.col("id").alias(id_col), "host", F.col("fetched").alias(time_col), F.col("hit").isNotNull().alias("blocked"),
         F.col("hit.key").alias("pattern"), F.col("hit.category").alias("category"),
     )
 
 
+def _salts(looked: DataFrame) -> DataFrame:
+    """key, salts: how many parts a key is dealt in, for keys with more than one; a written table of at most SHARE rows a partition."""
+    spark = looked.sparkSession
+    counts = materialise(looked.groupBy("key").agg(F.count("*").alias("n")), "captures")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    part = max(1, total // (SHARE * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    hot = materialise(counts.where(F.col("n") > part).select("key", F.ceil(F.col("n") / part).alias("salts")), "salts")
+    return F.broadcast(hot) if hot.count() <= BROADCAST_KEYS else hot
+
+
 def _hex(h: Column, at: int, n: int) -> Column:
     return F.conv(F.substring(h, at, n), 16, 10).cast("int")
 

@@ -108,3 +108,11 @@ def test_lists_as_of_the_fetch(spark):
     assert Counter(tuple(r) for r in url_lists.filter_captures(frame, lists).collect()) == brute_filter(captures, entries)
     assert url_lists.filter_captures(frame, lists.limit(0)).where("blocked").count() == 0
     assert url_lists.filter_captures(frame.limit(0), lists).count() == 0
+
+
+def test_addresses_and_null_ids(spark):
+    captures = [(None, "http://a.b.org/", DAY), (None, "http://ok.org/", DAY), (1, "http://10.2.3.4/x", DAY), (2, "http://[2001:DB8::1]:8080/x", DAY), (3, "http://9.3.4/", DAY)]
+    lists = [(p, "c", "add", DAY) for p in ("b.org", "3.4", "[2001:db8::1]")]
+    frame = spark.createDataFrame(captures, "page_id long, url string, fetched date")
+    got = {(r.page_id, r.host): r.pattern for r in url_lists.filter_captures(frame, spark.createDataFrame(lists, "pattern string, category string, action string, day date")).collect()}
+    assert got == {(None, "a.b.org"): "b.org", (None, "ok.org"): None, (1, "10.2.3.4"): None, (2, "[2001:db8::1]"): "[2001:db8::1]", (3, "9.3.4"): "3.4"}
