@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import unicodedata
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .scratch import materialise
+
 DIMENSIONS = 1024
 UNKNOWN = "und"
 #: training vectors are added up as whole numbers of this fraction, so that no order of tasks changes a prototype
@@ -118,21 +121,41 @@ def profile(text: str | None, dimensions: int = DIMENSIONS) -> np.ndarray | None
     return total / norm if norm else None
 
 
+def letter_counts(text: str) -> dict[int, int]:
+    """How often each letter, as a lower-case code point, occurs in a text."""
+    mapped = _alphabet().letters(text)
+    points, counts = np.unique(mapped[mapped != _SPACE], return_counts=True)
+    return dict(zip(points.tolist(), counts.tolist()))
+
+
+def _alphabet() -> _Alphabet:
+    if DIMENSIONS not in _state:
+        _state[DIMENSIONS] = (_Alphabet(), _Trigrams(DIMENSIONS))
+    return _state[DIMENSIONS][0]
+
+
+_SUMS = pa.schema([("lang", pa.string()), ("at", pa.int32()), ("v", pa.int64()), ("n", pa.int64())])
+
+
 def _bundle(dimensions: int):
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         sizes: dict[str, int] = {}
+        letters: Counter = Counter()
         for part in source:
             for text, lang in zip(part.column(0), part.column(1).to_pylist()):
                 vector = profile(text.as_py(), dimensions)
                 if vector is not None:
+                    letters.update(letter_counts(text.as_py()))
                     sums[lang] = sums.get(lang, 0) + np.rint(vector * UNIT).astype(np.int64)
                     sizes[lang] = sizes.get(lang, 0) + 1
         for lang, vector in sums.items():
             yield pa.RecordBatch.from_pydict(
                 {"lang": [lang] * dimensions, "at": list(range(dimensions)), "v": vector.tolist(), "n": [sizes[lang]] * dimensions},
-                pa.schema([("lang", pa.string()), ("at", pa.int32()), ("v", pa.int64()), ("n", pa.int64())]),
+                _SUMS,
             )
+        # letters have no language: what they are common in is not what they are asked for
+        yield pa.RecordBatch.from_pydict({"lang": [None] * len(letters), "at": list(letters), "v": list(letters.values()), "n": [0] * len(letters)}, _SUMS)
 
     return run
 
@@ -140,14 +163,19 @@ def _bundle(dimensions: int):
 class Prototypes:
     """Language names and their centred unit vectors: languages x dimensions numbers, whatever the corpus."""
 
-    def __init__(self, langs: list[str], vectors: np.ndarray):
-        self.langs = langs
+    def __init__(self, langs: list[str], vectors: np.ndarray, letters: frozenset[int] = frozenset()):
+        self.langs, self.letters = langs, letters
         unit = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12) if len(langs) else vectors
         self.common = unit.mean(axis=0) if len(langs) > 1 else np.zeros(unit.shape[1], dtype=np.float64)
         centred = unit - self.common
         self.unit = (centred / np.maximum(np.linalg.norm(centred, axis=1, keepdims=True), 1e-12)).astype(np.float32)
         self.common = self.common.astype(np.float32)
 
+    def known_share(self, text: str) -> float:
+        """Share of a text's letters that the training texts have."""
+        counts = letter_counts(text)
+        return sum(n for c, n in counts.items() if c in self.letters) / max(1, sum(counts.values()))
+
     def predict(self, text: str | None) -> tuple[str, float]:
         vector = profile(text, self.common.shape[0])
         if vector is None or not self.langs:
@@ -158,6 +186,8 @@ class Prototypes:
         return self.langs[best], min(1.0, max(0.0, float(cosines[best])))
 
 
+#: letters rarer than this in the training texts are strays in them
+LEAST_SHARE = 1e-5
 #: languages a model may have; their prototypes are this many times DIMENSIONS numbers at most
 MAX_LANGUAGES = 4096
 
@@ -172,8 +202,11 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", dimen
     if rows.select(lang_col).distinct().limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     sums = rows.mapInArrow(_bundle(dimensions), "lang string, at int, v long, n long").groupBy("lang", "at").agg(F.sum("v").alias("v"))
-    table = sums.groupBy("lang").agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "v"))), lambda x: x["v"]).alias("v")).orderBy("lang").collect()
-    return Prototypes([r["lang"] for r in table], np.array([r["v"] for r in table], dtype=np.float64).reshape(len(table), dimensions))
+    sums = materialise(sums, "language-sums")
+    counts = {r["at"]: r["v"] for r in sums.where("lang is null").select("at", "v").collect()}  # a row a letter
+    letters = frozenset(c for c, n in counts.items() if n >= LEAST_SHARE * sum(counts.values()))
+    table = sums.where("lang is not null").groupBy("lang").agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "v"))), lambda x: x["v"]).alias("v")).orderBy("lang").collect()
+    return Prototypes([r["lang"] for r in table], np.array([r["v"] for r in table], dtype=np.float64).reshape(len(table), dimensions), letters)
 
 
 def _predict(model: Prototypes):
@@ -212,12 +245,14 @@ def identify(docs: DataFrame, model: Prototypes, id_col: str = "doc_id", text_co
 def accepted(docs: DataFrame, model: Prototypes, min_score: float, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, whose text has letters and is at least ``min_score`` like some language.
 
-    Null and empty texts go; a model without languages accepts nothing.
+    At least half of its letters must be letters the training texts have: texts
+    in another script are somewhat like some language by chance.  Null and empty
+    texts go; a model without languages accepts nothing.
     """
 
     @F.arrow_udf("boolean")
     def passes(texts: pa.Array) -> pa.Array:
-        found = (model.predict(t.as_py()) for t in texts)
-        return pa.array([lang != UNKNOWN and score >= min_score for lang, score in found], pa.bool_())
+        found = ((t.as_py(), *model.predict(t.as_py())) for t in texts)
+        return pa.array([lang != UNKNOWN and score >= min_score and model.known_share(t) >= 0.5 for t, lang, score in found], pa.bool_())
 
     return docs.where(passes(F.col(text_col)))
