@@ -33,12 +33,36 @@ GENERIC = (
 
 
 def apply_rules(text: Column, rules: tuple[IdentifierRule, ...] = GENERIC) -> tuple[Column, Column]:
-    """Masked text and a map kind -> number of masked values; each rule sees what the ones before left."""
-    counts = []
+    """The fields of :func:`masked`; where both are wanted, select the struct and take them from it."""
+    state = masked(text, rules)
+    return state["text"], state["counts"]
+
+
+def masked(text: Column, rules: tuple[IdentifierRule, ...] = GENERIC) -> Column:
+    """Struct of the masked ``text`` and ``counts``, kind -> number of masked values; each rule sees what the ones before left.
+
+    A rule's step is a lambda over the state of the one before: its argument is
+    a value, which the optimiser can't replace by the expression it came from, so
+    a text is read once a rule to count, and once more where there is something
+    to mask.
+    """
+    state = F.struct(text.alias("text"), F.array().cast("array<bigint>").alias("counts"))
     for rule in rules:
-        counts += [F.lit(rule.kind), F.regexp_count(text, F.lit(rule.pattern)).cast("long")]
-        text = F.regexp_replace(text, rule.pattern, "$1" + rule.mask)
-    return text, F.create_map(*counts)
+        counted = then(state, lambda s: F.struct(s["text"].alias("text"), s["counts"].alias("counts"), F.regexp_count(s["text"], F.lit(rule.pattern)).cast("long").alias("n")))
+        state = then(
+            counted,
+            lambda s: F.struct(
+                F.when(s["n"] > 0, F.regexp_replace(s["text"], rule.pattern, "$1" + rule.mask)).otherwise(s["text"]).alias("text"),
+                F.concat(s["counts"], F.array(s["n"])).alias("counts"),
+            ),
+        )
+    kinds = F.array(*[F.lit(r.kind) for r in rules])
+    return then(state, lambda s: F.struct(s["text"].alias("text"), F.map_from_arrays(kinds, s["counts"]).alias("counts")))
+
+
+def then(state: Column, step) -> Column:
+    """``step`` of the value of ``state``, which is evaluated once."""
+    return F.get(F.transform(F.array(state), step), F.lit(0))
 
 
 def leak_counts(text: Column, rules: tuple[IdentifierRule, ...] = GENERIC) -> Column:

@@ -83,30 +83,66 @@ def cited_ids(value) -> list[str]:
     return []
 
 
-def role_errors(output: dict, role: str, known_ids: set[str], sources: list[str], holding: str | None = None) -> list[str]:
-    """What is wrong with a generated role, empty if nothing (V1)."""
-    errors = []
-    if output.get("role") != role:
-        errors.append("wrong_role")
-    if output.get("new_evidence_claimed"):
-        errors.append("new_evidence_claimed")
-    trace = output.get("reasoning_trace") or []
-    if not trace:
-        errors.append("missing_trace")
+#: what a role has to fill in, and where in its brief every entry has to cite evidence
+ROLE_BRIEFS = {
+    "prosecutor": ("prosecution_brief", ("theory_of_case", "facts_asserted", "evidence_arguments")),
+    "defense": ("defense_brief", ("admissions", "disputes", "evidence_arguments")),
+    "judge": ("decision", ("issue_findings", "response_to_prosecution", "response_to_defense", "rationale")),
+}
+
+
+def _trace_errors(trace, sources: list[str]):
+    if not isinstance(trace, list) or not trace:
+        yield "missing_trace"
+        return
     for step in trace:
+        step = step if isinstance(step, dict) else {}
         if not step.get("evidence_ids"):
-            errors.append("step_without_evidence")
-        snippets = step.get("support_snippets") or []
-        if not snippets:
-            errors.append("step_without_snippet")
+            yield "step_without_evidence"
+        snippets = step.get("support_snippets")
+        if not isinstance(snippets, list) or not snippets:
+            yield "step_without_snippet"
+            continue
         for snippet in snippets:
-            if len(fold(snippet)) < LEAST_QUOTE or not any(contains_folded(s, snippet) for s in sources):
-                errors.append("snippet_not_in_sources")
-    if set(cited_ids(output)) - known_ids:
-        errors.append("unknown_evidence_id")
-    if any(h.get("asserted_as_fact") for h in output.get("hypotheticals") or []):
+            if not isinstance(snippet, str) or len(snippet.strip()) < LEAST_QUOTE:
+                yield "invalid_snippet"
+            elif not any(contains_folded(s, snippet.strip()) for s in sources):
+                yield "snippet_not_in_sources"
+
+
+def _brief_errors(brief: dict, parts: tuple[str, ...]):
+    for part in parts:
+        entries = [brief.get(part)] if part == "theory_of_case" else brief.get(part)
+        if not isinstance(entries, list):
+            yield "brief_part_is_no_list"
+        elif any(not isinstance(e, dict) or not e.get("evidence_ids") for e in entries):
+            yield "brief_without_evidence"
+
+
+def role_errors(output: dict, role: str, known_ids: set[str], sources: list[str], holding: str | None = None) -> list[str]:
+    """What is wrong with a generated role, each kind once, in the order of the checks; empty if nothing (V1).
+
+    A role names itself, fills in its issues, trace and brief, claims no new
+    evidence, quotes what it was shown, cites evidence it was given and cites
+    some.  A hypothetical of the defense says that it is not asserted; the
+    judge's holding is the given one.
+    """
+    if not isinstance(output, dict):
+        return ["wrong_role"]
+    brief_name, parts = ROLE_BRIEFS[role]
+    errors = [] if output.get("role") == role else ["wrong_role"]
+    errors += [f"missing_{field}" for field in ("issues", brief_name) if not output.get(field)]
+    if output.get("new_evidence_claimed") != []:
+        errors.append("new_evidence_claimed")
+    errors += _trace_errors(output.get("reasoning_trace"), sources)
+    brief = output.get(brief_name)
+    errors += _brief_errors(brief if isinstance(brief, dict) else {}, parts)
+    cited = set(cited_ids(output))
+    errors += ["unknown_evidence_id"] * bool(cited - known_ids) + ["no_evidence_cited"] * (not cited)
+    guesses = output.get("hypotheticals") or [] if role == "defense" else []
+    if any(not isinstance(h, dict) or h.get("is_asserted_fact") is not False for h in guesses):
         errors.append("hypothetical_asserted")
-    if holding is not None and (output.get("decision") or {}).get("holding") != holding:
+    if role == "judge" and (brief if isinstance(brief, dict) else {}).get("target_holding") != holding:
         errors.append("holding_mismatch")
     return list(dict.fromkeys(errors))
 

@@ -52,22 +52,29 @@ def explode_counts(df: DataFrame, counts: str, keys: list[str]) -> DataFrame:
     return df.select(*keys, F.explode(counts).alias("kind", "n")).groupBy(*keys, "kind").agg(F.sum("n").alias("n_masked"))
 
 
+#: values a step of percentile_floor counts apart
+BINS = 4096
+
+
 def percentile_floor(df: DataFrame, value: str, share: float) -> int | None:
     """Nearest-rank percentile: the value at index floor(share * (n - 1)) of the sorted ones.
 
-    Counted from a histogram of the values, so no task has to sort them all.
+    Whole numbers.  Counted from a histogram of the values in bins, then in bins
+    of the bin the value is in, so no task has to sort them all.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n")).first()[0]
+    counts = df.where(F.col(value).isNotNull()).groupBy(F.col(value).cast("long").alias("v")).agg(F.count("*").alias("n"))
+    low, high, total = counts.agg(F.min("v"), F.max("v"), F.sum("n")).first()
     if not total:
         return None
     rank = int(share * (total - 1))
-    # walk down to the value by halving its range; each step is one aggregate over the histogram
-    low, high = counts.agg(F.min(value), F.max(value)).first()
-    while low < high:
-        middle = (low + high) // 2
-        below = counts.where(F.col(value) <= middle).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-        low, high = (low, middle) if below > rank else (middle + 1, high)
+    while low < high:  # 4096 bins a step: one step for a range up to that, two up to 16 million
+        width = -(-(high - low + 1) // BINS)
+        bins = counts.where(F.col("v").between(low, high)).groupBy(F.floor((F.col("v") - low) / width).alias("b")).agg(F.sum("n").alias("n"))
+        for b, n in sorted(map(tuple, bins.collect())):
+            if rank < n:
+                low, high = low + b * width, min(high, low + (b + 1) * width - 1)
+                break
+            rank -= n
     return low
 
 

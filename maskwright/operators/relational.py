@@ -86,19 +86,20 @@ def exactly_one_link(links: DataFrame, targets: DataFrame, source: str, target:
     return usable.groupBy(source).agg(F.min(target).alias(target), F.count("*").alias("n")).where("n = 1").drop("n")
 
 
-def _ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    return df.withColumn("__rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("__rank = 1").drop("__rank")
-
-
 def first_wins(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    """The earliest row of each key."""
-    return _ranked(df, keys, [F.col(order).asc()])
+    """The earliest row of each key; map-side combined like :func:`last_wins`."""
+    rest = [c for c in df.columns if c not in keys]
+    picked = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(F.col(order), *rest)).alias("__row"))
+    return picked.select(*keys, "__row.*")
 
 
 def last_wins(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    """The latest row of each key; map-side combined, so a hot key costs one row a task."""
+    """The latest row of each key; map-side combined, so a hot key costs one row a task.
+
+    Of rows equal in ``order`` the one with the greatest other values wins.
+    """
     rest = [c for c in df.columns if c not in keys]
-    picked = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col(order)).alias("__row"))
+    picked = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(F.col(order), *rest)).alias("__row"))
     return picked.select(*keys, "__row.*")
 
 
@@ -161,25 +162,41 @@ def unique_and_ambiguous(mentions: DataFrame, mention: str, owner: str) -> DataF
     return found.select(mention, "n_owners", F.when(F.col("n_owners") == 1, F.col("__one")).alias(owner), (F.col("n_owners") > 1).alias("ambiguous"))
 
 
-def contains_pairs(texts: DataFrame, quotes: DataFrame, text: str, quote: str, rare_words: int = 3) -> DataFrame:
+def contains_pairs(texts: DataFrame, quotes: DataFrame, text: str, quote: str, id_col: str | None = None, quote_id: str | None = None, longest: int = 3) -> DataFrame:
     """Every (text row, quote row) where the quote is in the text, without a nested loop.
 
-    A quote is looked up by the word triple after its first word - its ends may
-    be parts of words - and only texts that have the triple are searched.
-    Quotes of fewer than five words have no such triple; those are compared
-    with all texts, as the few that they are.
+    A quote's ends may be parts of words, so it is looked up by whole words
+    inside it: the ``longest`` after its first, or the fewer it has.  Only (id,
+    gram) leaves a text, for grams that some quote has; the pairs found are
+    joined back to texts and quotes and searched.  A quote without a whole word
+    inside is looked up by a piece of three characters in the same way, or of as
+    many as it has; an empty or blank one is in every text and is not looked up:
+    it has no pairs.  Ids - by default the first other column - must be distinct.
     """
+    id_col = id_col or next(c for c in texts.columns if c != text)
+    quote_id = quote_id or next(c for c in quotes.columns if c != quote)
     words = lambda c: F.filter(F.split(F.col(c), r"\s+"), lambda w: w != "")
-    triple = F.xxhash64(*[F.get("__words", F.lit(i)) for i in range(1, rare_words + 1)])
-    asked = quotes.withColumn("__words", words(quote)).withColumn("__gram", F.when(F.size("__words") >= rare_words + 2, triple)).drop("__words")
-    n = F.greatest(F.lit(0), F.size("__words") - rare_words + 1)
-    shifted = F.arrays_zip(*[F.slice("__words", i + 1, n).alias(f"w{i}") for i in range(rare_words)])
-    grams = F.array_distinct(F.transform(shifted, lambda x: F.xxhash64(*[x[f"w{i}"] for i in range(rare_words)])))
-    dealt = texts.withColumn("__words", words(text)).withColumn("__gram", F.explode(grams)).drop("__words")
-    found = dealt.join(asked.where("__gram is not null"), "__gram").where(F.contains(F.col(text), F.col(quote)))
-    short = asked.where("__gram is null")
-    rest = texts.join(short, F.contains(F.col(text), F.col(quote)))
-    return found.drop("__gram").unionByName(rest.drop("__gram"))
+    inner = F.greatest(F.lit(0), F.size("__w") - 2)
+    size = F.when(inner > 0, F.least(inner, F.lit(longest))).otherwise(-F.least(F.length(F.trim(quote)), F.lit(3)))
+    piece = F.substring(F.trim(quote), F.lit(1), -F.col("__n"))
+    gram = F.when(F.col("__n") > 0, F.xxhash64(F.lit("w"), F.array_join(F.slice("__w", F.lit(2), F.col("__n")), " "))).otherwise(F.xxhash64(F.lit("c"), piece))
+    asked = quotes.withColumn("__w", words(quote)).withColumn("__n", size).where("__n <> 0").select(F.col(quote_id), "__n", gram.alias("__gram"))
+    sizes = sorted(r["__n"] for r in asked.select("__n").distinct().collect())  # six values at most
+    if not sizes:
+        return texts.join(quotes.limit(0), F.lit(True)).limit(0)
+
+    def grams(n: int) -> Column:
+        if n < 0:
+            ends = F.greatest(F.lit(0), F.length(text) + n + 1)
+            return F.transform(F.when(ends > 0, F.sequence(F.lit(1), ends)).otherwise(F.array().cast("array<int>")), lambda i: F.xxhash64(F.lit("c"), F.substring(F.col(text), i, F.lit(-n))))
+        many = F.greatest(F.lit(0), F.size("__w") - n + 1)
+        shifted = F.arrays_zip(*[F.slice("__w", F.lit(i + 1), many).alias(f"w{i}") for i in range(n)])
+        return F.transform(shifted, lambda x: F.xxhash64(F.lit("w"), F.concat_ws(" ", *[x[f"w{i}"] for i in range(n)])))
+
+    all_grams = F.array_distinct(F.concat(*[grams(n) for n in sizes]))
+    dealt = texts.withColumn("__w", words(text)).select(F.col(id_col), F.explode(all_grams).alias("__gram"))
+    met = dealt.join(asked.select("__gram", quote_id), "__gram").select(id_col, quote_id).distinct()
+    return met.join(texts, id_col).join(quotes, quote_id).where(F.contains(F.col(text), F.col(quote)))
 
 
 def map_merge(left: Column | str, right: Column | str) -> Column:

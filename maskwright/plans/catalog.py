@@ -49,8 +49,8 @@ _MASKED, _COUNTS = _sql_mask("t")
 
 
 def _masked(docs: DataFrame) -> DataFrame:
-    text, counts = ids.apply_rules(F.coalesce("text", F.lit("")))
-    return docs.select("doc_id", "source", F.col("text"), text.alias("masked"), counts.alias("counts"))
+    ruled = docs.select("doc_id", "source", "text", ids.masked(F.coalesce("text", F.lit(""))).alias("ruled"))
+    return ruled.select("doc_id", "source", "text", F.col("ruled.text").alias("masked"), "ruled.counts")
 
 
 @query(
@@ -83,8 +83,10 @@ _LEAKS = " + ".join(f"len(regexp_extract_all(m, '{r.pattern.replace(chr(39), chr
 )
 def leak_manifest(spark, sf_dir):
     total = lambda m: F.aggregate(F.map_values(m), F.lit(0).cast("long"), lambda a, x: a + x)
-    masked = _masked(table(spark, sf_dir, "documents"))
-    scanned = masked.select("source", total(F.col("counts")).alias("n"), total(ids.leak_counts(F.col("masked"))).alias("leaks"))
+    # one lambda more, so that the masked text is made once for both
+    of = lambda s: F.struct(total(s["counts"]).alias("n"), total(ids.leak_counts(s["text"])).alias("leaks"))
+    docs = table(spark, sf_dir, "documents")
+    scanned = docs.select("source", ids.then(ids.masked(F.coalesce("text", F.lit(""))), of).alias("s")).select("source", "s.*")
     return scanned.groupBy("source").agg(
         F.count("*").alias("n_docs"), F.sum("n").alias("n_masked"), F.count_if(F.col("leaks") > 0).alias("n_leaking"), F.sum("leaks").alias("n_leaks")
     )
@@ -251,7 +253,7 @@ def two_left_joins_stats(spark, sf_dir):
 def quote_containment(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     items = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("quote"))
-    return rel.contains_pairs(docs, items, "text", "quote").select("doc_id", "item_id")
+    return rel.contains_pairs(docs, items, "text", "quote", "doc_id", "item_id").select("doc_id", "item_id")
 
 
 @query(
@@ -314,7 +316,7 @@ def latest_checkpoint(spark, sf_dir):
 @query("SELECT digest, doc_id, source FROM (SELECT md5(text) AS digest, doc_id, source, row_number() OVER (PARTITION BY md5(text) ORDER BY doc_id) AS rn FROM documents) WHERE rn = 1")
 def first_wins(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select(F.md5("text").alias("digest"), "doc_id", "source")
-    return docs.groupBy("digest").agg(F.min_by(F.struct("doc_id", "source"), "doc_id").alias("r")).select("digest", "r.*")
+    return rel.first_wins(docs, ["digest"], "doc_id").select("digest", "doc_id", "source")
 
 
 @query(

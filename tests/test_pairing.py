@@ -2,6 +2,8 @@
 
 import copy
 
+import json
+
 import pytest
 
 from maskwright.functions import json_pointer as jp
@@ -74,24 +76,52 @@ def test_quotes():
     assert grounding.repair_snippets(["無關"], [SOURCE]) == (["無關"], [])
 
 
-def role(**more):
-    base = {"role": "judge", "reasoning_trace": [{"evidence_ids": ["E1"], "support_snippets": ["隨即離去"]}], "decision": {"holding": "有罪"}, "new_evidence_claimed": []}
-    return base | more
+def role(name="judge", **more):
+    cite = [{"evidence_ids": ["E1"]}]
+    briefs = {
+        "judge": {"decision": {"target_holding": "有罪", "issue_findings": cite, "response_to_prosecution": cite, "response_to_defense": cite, "rationale": cite}},
+        "defense": {"defense_brief": {"admissions": [], "disputes": cite, "evidence_arguments": cite}, "hypotheticals": [{"is_asserted_fact": False}]},
+        "prosecutor": {"prosecution_brief": {"theory_of_case": cite[0], "facts_asserted": cite, "evidence_arguments": cite}},
+    }
+    base = {"role": name, "issues": ["i"], "reasoning_trace": [{"evidence_ids": ["E1"], "support_snippets": ["隨即離去"]}], "new_evidence_claimed": []}
+    return base | briefs[name] | more
+
+
+def without(name, *path):
+    output = json.loads(json.dumps(role(name)))
+    at = output
+    for key in path[:-1]:
+        at = at[key]
+    del at[path[-1]]
+    return output
 
 
 @pytest.mark.parametrize(
-    "output, error",
+    "name, output, errors",
     [
-        (role(), None),
-        (role(reasoning_trace=[{"evidence_ids": ["E9"], "support_snippets": ["隨即離去"]}]), "unknown_evidence_id"),
-        (role(new_evidence_claimed=["x"]), "new_evidence_claimed"),
-        (role(decision={"holding": "無罪"}), "holding_mismatch"),
-        (role(hypotheticals=[{"asserted_as_fact": True}]), "hypothetical_asserted"),
-        (role(reasoning_trace=[{"evidence_ids": ["E1"], "support_snippets": ["不在其中的話"]}]), "snippet_not_in_sources"),
+        ("judge", role(), []),
+        ("defense", role("defense"), []),
+        ("prosecutor", role("prosecutor"), []),
+        ("defense", role("judge"), ["wrong_role", "missing_defense_brief", "brief_part_is_no_list"]),
+        ("judge", role(reasoning_trace=[{"evidence_ids": ["E9"], "support_snippets": ["隨即離去"]}]), ["unknown_evidence_id"]),
+        ("judge", role(reasoning_trace=[]), ["missing_trace"]),
+        ("judge", role(reasoning_trace=[{}]), ["step_without_evidence", "step_without_snippet"]),
+        ("judge", role(reasoning_trace=[{"evidence_ids": ["E1"], "support_snippets": ["隨"]}]), ["invalid_snippet"]),
+        ("judge", role(new_evidence_claimed=["x"]), ["new_evidence_claimed"]),
+        ("judge", without("judge", "new_evidence_claimed"), ["new_evidence_claimed"]),
+        ("judge", without("judge", "issues"), ["missing_issues"]),
+        ("judge", without("judge", "decision", "target_holding"), ["holding_mismatch"]),
+        ("judge", without("judge", "decision", "rationale"), ["brief_part_is_no_list"]),
+        ("prosecutor", without("prosecutor", "prosecution_brief", "theory_of_case"), ["brief_without_evidence"]),
+        ("defense", role("defense", hypotheticals=[{"is_asserted_fact": True}]), ["hypothetical_asserted"]),
+        ("defense", role("defense", hypotheticals=[{}]), ["hypothetical_asserted"]),
+        ("judge", role(hypotheticals=[{"is_asserted_fact": True}]), []),
+        ("judge", role(reasoning_trace=[{"evidence_ids": ["E1"], "support_snippets": ["不在其中的話"]}]), ["snippet_not_in_sources"]),
+        ("judge", ["no object"], ["wrong_role"]),
     ],
 )
-def test_roles(output, error):
-    assert grounding.role_errors(output, "judge", {"E1"}, [SOURCE], "有罪") == ([error] if error else [])
+def test_roles(name, output, errors):
+    assert grounding.role_errors(output, name, {"E1"}, [SOURCE], "有罪" if name == "judge" else None) == errors
 
 
 def test_legal_rules_move():
