@@ -9,10 +9,11 @@
    before anything else is sent.  Regions of at most REGION rows are compared
    whole.  Larger ones go deeper, each in a depth of its own: their rows are
    sorted by the order, range-partitioned so that no task sees a whole region,
-   and linked with their longest-common-prefix neighbours; a region that these
-   links make one clump is finished, any other is divided by two further pairs
-   of values, independent of one another, so that it becomes two finer
-   divisions of itself.  No row is left out of a region or forgotten in it.
+   and linked with their longest-common-prefix neighbours.  A region that these
+   links make one clump is finished, and so is one with a few strays besides a
+   clump, which join it; any other is divided by two further pairs of values,
+   independent of one another, so that it becomes two finer divisions of
+   itself.  No row is left out of a region or forgotten in it.
    A link of similarity s is met below a region with the probability q that
    solves q = s^2 (1 - (1 - q)^2) however deep the region has to go: at 0.85
    a link is missed by all 16 trees with a probability of 7e-6 where regions
@@ -23,8 +24,9 @@
 4. *Confirmation.*  Clumps of bounded size are settled in one task each from
    the full sets, all of them.  In a larger one all members are first compared
    with its medoid; regions of the forest that then have more than one
-   component are settled from full sets, deeper ones after their neighbours
-   were confirmed.
+   component are settled from full sets: small ones whole, dense ones with a
+   main component and a few strays in blocks of rows together with all strays,
+   the others divided as above.
 
 Nulls and empty texts have an empty set: ``n_shingles`` 0, own component, kept.
 """
@@ -47,6 +49,8 @@ from .textkernel import U64, shingle_set
 TREES, MIN_DEPTH, HASHES = 16, 4, 96
 #: a dense region is divided in two ways, each by so many further values, at most LEVELS times
 WAYS, STEP, LEVELS = 2, 2, 12
+#: neighbours are linked and components found anew every so many divisions
+RELABEL = 4
 #: rows of a region compared whole
 REGION = 512
 #: neighbours in a dense region's order that a row is compared with
@@ -143,7 +147,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
 
 
 def _compare(floor: float):
-    """(key, node, sketch) sorted by key -> candidates, a spanning forest of each region."""
+    """(key, node, sketch) sorted by key -> a link from each node to the first that candidates connect it with in its region."""
 
     def candidates(rows: list[tuple]) -> Iterator[tuple[int, int]]:
         table = _matrix([s for _, s in rows])
@@ -151,9 +155,10 @@ def _compare(floor: float):
         for i in range(1, len(rows)):
             for j in np.flatnonzero(_share((table[:i] == table[i]).sum(axis=1)) >= floor).tolist():
                 a, b = _find(parent, i), _find(parent, j)
-                if a != b:
-                    parent[max(a, b)] = min(a, b)
-                    yield rows[i][0], rows[j][0]
+                parent[max(a, b)] = min(a, b)
+        for i in range(1, len(rows)):
+            if (root := _find(parent, i)) != i:
+                yield rows[i][0], rows[root][0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple[int, int]] = []
@@ -169,8 +174,12 @@ def _compare(floor: float):
     return run
 
 
-def _neighbours(floor: float):
-    """(key, node, label, sketch) sorted by key and order -> links of near neighbours of different labels, a spanning forest a task."""
+def _neighbours(floor: float, by_label: bool = False):
+    """(key, node, label, sketch) sorted by key and order -> links of near neighbours of different labels, a spanning forest a task.
+
+    ``by_label`` gives the labels that a task's links connect, each with the
+    smallest, instead of the pairs of nodes.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parent: dict[int, int] = {}
@@ -194,9 +203,12 @@ def _neighbours(floor: float):
                     if a != b:
                         parent[max(a, b)] = min(a, b)
                         out.append((int(node[i]), int(node[i - w])))
-            if out:
+            if out and not by_label:
                 yield _link_batch(out)
             tail = tuple(x[-NEIGHBOURS:] for x in (key, node, label, table))
+        stars = [(x, root) for x in parent if (root := _find(parent, x)) != x] if by_label else []
+        if stars:
+            yield _link_batch(stars)
 
     return run
 
@@ -338,17 +350,20 @@ def _forest(
     limits: tuple[int, int],
     settle: Callable[[DataFrame], DataFrame],
     neighbours: Callable[[DataFrame], DataFrame],
+    strays: Callable[[DataFrame], DataFrame],
     rest: Callable[[DataFrame], DataFrame],
 ) -> list[DataFrame]:
     """Links in all regions of ``rows`` (key, tree, node, n_shingles, sketch, sig).
 
     ``labels`` (node, label): what is known to be connected.  ``settle`` links
-    the rows of regions within ``limits`` (rows, shingles), ``neighbours`` those
-    of denser ones to their neighbours; regions of one label are finished.
-    What LEVELS divisions leave is handed to ``rest``.
+    the rows of regions within ``limits`` (rows, shingles).  In denser ones
+    ``neighbours`` links rows to their neighbours; those that are then of one
+    label are finished, those with few rows of other labels than the commonest
+    go to ``strays`` (rows with columns ``main``, the commonest label, and
+    ``alone``), the others are divided.  What LEVELS divisions leave is handed
+    to ``rest``.
     """
     found: list[DataFrame] = []
-    known: list[DataFrame] = []
     rows = rows.withColumn("path", F.lit(0))
     for level in range(LEVELS + 1):
         named = rows.withColumn("label", F.col("node"))
@@ -357,8 +372,7 @@ def _forest(
         sizes = named.groupBy("key").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("mass"), F.min("label").alias("low"), F.max("label").alias("high"))
         dense = (F.col("n") > limits[0]) | (F.col("mass") > limits[1])
         mixed = materialise(sizes.where("low <> high").select("key", dense.alias("dense")), "regions")
-        some = mixed.groupBy("dense").count().collect()
-        n = {r["dense"]: r["count"] for r in some}
+        n = {r["dense"]: r["count"] for r in mixed.groupBy("dense").count().collect()}
         if n.get(False):
             few = mixed.where("not dense").select("key")
             found.append(settle(rows.join(F.broadcast(few) if n[False] <= BROADCAST_KEYS else few, "key", "left_semi")))
@@ -369,15 +383,22 @@ def _forest(
         if level == LEVELS:
             found.append(rest(inner))
             break
-        order = F.substring(F.col("sig"), F.col("tree") * (4 * MIN_DEPTH) + (4 * MIN_DEPTH + 1), F.lit(32))
-        ordered = inner.select("key", "node", "label", "sketch", order.alias("order")).repartitionByRange("key", "order")
-        near = materialise(neighbours(ordered.sortWithinPartitions("key", "order", "node").select("key", "node", "label", "sketch")), "neighbours")
-        if not near.isEmpty():
-            known.append(near)
-            links = near if labels is None else near.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
-            labels = materialise(connected_components(links).select("node", F.col("component").alias("label")), "labels")
-        rows = _finer(inner.drop("label"))
-    return found + known
+        if level % RELABEL == 0:
+            order = F.substring(F.col("sig"), F.col("tree") * (4 * MIN_DEPTH) + (4 * MIN_DEPTH + 1), F.lit(32))
+            ordered = inner.select("key", "node", "label", "sketch", order.alias("order")).repartitionByRange("key", "order")
+            near = materialise(neighbours(ordered.sortWithinPartitions("key", "order", "node").select("key", "node", "label", "sketch")), "neighbours")
+            if not near.isEmpty():
+                found.append(near)
+                links = near if labels is None else near.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
+                labels = materialise(connected_components(links).select("node", F.col("component").alias("label")), "labels")
+                inner = inner.drop("label").join(_small(labels, BROADCAST_KEYS), "node", "left").withColumn("label", F.coalesce("label", "node"))
+        shares = inner.groupBy("key", "label").agg(F.count("*").alias("n"))
+        main = shares.groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("main")).where("main.n < n")
+        main = materialise(main.select("key", F.col("main.label").alias("main"), (F.col("n") - F.col("main.n") <= limits[0] // 4).alias("few")), "main")
+        inner = inner.join(_small(main, BROADCAST_KEYS // 2), "key")
+        found.append(strays(inner.where("few").withColumn("alone", F.col("label") != F.col("main"))))
+        rows = _finer(inner.where("not few").drop("label", "main", "few"))
+    return found
 
 
 def _candidates(unique: DataFrame, floor: float) -> DataFrame:
@@ -387,11 +408,14 @@ def _candidates(unique: DataFrame, floor: float) -> DataFrame:
     def settle(few: DataFrame) -> DataFrame:
         return few.select("key", "node", "sketch").repartition("key").sortWithinPartitions("key", "node").mapInArrow(_compare(floor), _LINKS)
 
-    def rest(inner: DataFrame) -> DataFrame:  # one clump each, so that full sets decide
+    def strays(some: DataFrame) -> DataFrame:  # into the clump, so that full sets decide
+        return some.where("alone").select(F.col("node").alias("a"), F.col("main").alias("b"))
+
+    def rest(inner: DataFrame) -> DataFrame:  # one clump each
         least = materialise(inner.groupBy("key").agg(F.min("node").alias("b")), "least")
         return inner.join(_small(least, BROADCAST_KEYS), "key").select(F.col("node").alias("a"), "b")
 
-    found = _forest(rows, None, (REGION, 1 << 62), settle, lambda ordered: ordered.mapInArrow(_neighbours(floor), _LINKS), rest)
+    found = _forest(rows, None, (REGION, 1 << 62), settle, lambda ordered: ordered.mapInArrow(_neighbours(floor, by_label=True), _LINKS), strays, rest)
     return _all(found) if found else unique.sparkSession.createDataFrame([], _LINKS)
 
 
@@ -436,15 +460,26 @@ def _giant_links(members: DataFrame, percent: int, floor: float) -> DataFrame:
     def neighbours(ordered: DataFrame) -> DataFrame:
         return _pairs(ordered.mapInArrow(_neighbours(floor), _LINKS), sets, percent)
 
+    def blocks(docs: DataFrame) -> DataFrame:
+        return docs.groupBy("key").agg(F.ceil(F.count("*") / 256).alias("blocks"))
+
+    def strays(some: DataFrame) -> DataFrame:
+        """The rows of a region in blocks, each together with all strays."""
+        some = some.select("key", "node", "alone")
+        dealt = some.join(blocks(some), "key")
+        of = F.when(F.col("alone"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array(F.pmod(F.xxhash64("node"), F.col("blocks"))))
+        met = dealt.select("key", "node", F.explode(of).alias("block"))
+        return _settle(met.select(F.xxhash64("key", "block").alias("key"), "node").join(sets, "node"), "key", percent)
+
     def rest(inner: DataFrame) -> DataFrame:
         """The exact way for rows that share 28 values and more and yet have different components: blocks against blocks."""
         docs = inner.select("key", "node").distinct()
-        dealt = docs.join(docs.groupBy("key").agg(F.ceil(F.count("*") / 256).alias("blocks")), "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+        dealt = docs.join(blocks(docs), "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
         met = dealt.select("key", "node", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"), "block")
         met = met.select(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("key"), "node")
         return _settle(met.join(sets, "node"), "key", percent)
 
-    return _all([hung, *_forest(rows, labels, (CLUMP_DOCS, CLUMP_SHINGLES), settle, neighbours, rest)])
+    return _all([hung, *_forest(rows, labels, (CLUMP_DOCS, CLUMP_SHINGLES), settle, neighbours, strays, rest)])
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 85) -> DataFrame:

@@ -24,7 +24,7 @@ SEQUENCE, END_ID = 4096, 2
 #: documents in a group, on average
 GROUP_DOCS = 8192
 #: remembered words per generation and worker
-CACHE_WORDS = 200_000
+CACHE_WORDS = 500_000
 #: characters of texts whose unknown words are encoded together
 PORTION_CHARS = 1_000_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
