@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
 
 import pandas as pd
@@ -693,25 +692,6 @@ def review_history(spark, sf_dir):
 
 # ---- documents, patches, resumed work ----------------------------------------------------------------------------
 
-#: invented documents for the legal rule pack; the driver's tables have no text of its kind
-_LEGAL = [
-    ("MOJ:1", "被告王大同於民國112年3月4日10時20分持用0912345678號行動電話，向告訴人林小甫詐取款項，復有林小甫提供之對話紀錄1份可佐。檢察官郭中明提起公訴。"),
-    ("MOJ:2", "被告A01與被告A02前往大吉股份有限公司(下稱大吉)，車牌號碼AB-1234號，朱OO在場，處有期徒刑三月。"),
-    ("MOJ:3", "臺灣高雄地方法院112年度易字第12號，證人林小甫、陳小乙於警詢證稱（見警卷第3頁）。主 文 被告無罪。理 由 一"),
-    ("MOJ:4", None),
-]
-
-
-@query()
-def legal_deidentify(spark, sf_dir):
-    """The whole rule pack over documents of its kind (E*, M*, N*, Q*)."""
-    from ..operators.documents import deidentify
-
-    out = deidentify(spark.createDataFrame(_LEGAL, "source_id string, raw_text string"))
-    names = F.array_join(F.transform("people", lambda p: F.concat_ws("=", p["canonical_name"], p["alias"])), "|")
-    return out.select("source_id", "text", names.alias("people"), F.size("evidence").cast("long").alias("n_evidence"), "leak_pass", "semantic_pass", "length_ratio")
-
-
 @query()
 def nfkc_normalize(spark, sf_dir):
     """Unicode compatibility folding, for which neither engine has a function."""
@@ -769,28 +749,3 @@ def roles_complete(spark, sf_dir):
     need = F.array(F.lit("user"), F.lit("assistant"))
     grouped = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.count("*").alias("n_turns"), F.collect_set("role").alias("have"))
     return grouped.select("conv_id", "n_turns", (F.size(F.array_except(need, "have")) == 0).alias("complete"))
-
-
-@query()
-def patch_apply(spark, sf_dir):
-    """Patch plans folded over linked records, one case a group (X*)."""
-    record = {"text": "被告甲到場", "evidence": [], "analysis_plan": {"persons": [{"group_id": "g1", "role": "DEFENDANT", "mentions": ["許大明"]}]}}
-    case = {"raw": {"indictment": "許大明到場", "judgment": "許大明到場"}, "indictment": record, "judgment": record, "registry": {"persons": [{"pair_person_id": "P01", "alias": "被告甲", "role": "DEFENDANT", "indictment_mentions": ["許大明"]}], "unique_mentions": {}}}
-    operations = [
-        {"op": "SET_ALIAS", "document": "pair", "pair_person_id": "P01", "alias": "被告丙"},
-        {"op": "MASK_SPAN", "document": "judgment", "field_path": "/text", "old_text": "到場", "replacement": "[略]", "source_quote": "許大明"},
-        {"op": "LINK_PERSON", "document": "judgment", "pair_person_id": "P99", "mentions": ["許大明"], "source_quote": "許大明"},
-    ]
-    rows = [(f"p{n}", json.dumps(case, ensure_ascii=False), json.dumps({"operations": operations[:n]}, ensure_ascii=False)) for n in range(4)]
-
-    def fold(group: pd.DataFrame) -> pd.DataFrame:
-        from ..operators.patching import apply_plan
-
-        out = []
-        for pair_id, case, plan in group.itertuples(index=False):
-            done = apply_plan(json.loads(case), json.loads(plan))
-            out.append((pair_id, done["case"]["judgment"]["text"], "|".join(o["status"] for o in done["operations"])))
-        return pd.DataFrame(out, columns=["pair_id", "text", "statuses"])
-
-    frame = spark.createDataFrame(rows, "pair_id string, record string, plan string")
-    return frame.groupBy("pair_id").applyInPandas(fold, "pair_id string, text string, statuses string")
