@@ -1,6 +1,7 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney bigram model.
 
-All words count.  The VOCABULARY commonest have short numbers, a bounded table
+All words of nine in ten trusted texts count; the tenth is kept out of the
+counts and sets the thresholds.  The VOCABULARY commonest have short numbers, a bounded table
 every task may hold; the others go by their hashes, and their numbers - weight
 of the lower order, continuation probability - are joined by shard as the
 bigrams' are.  ``train`` with a closed vocabulary makes one unknown word of
@@ -36,8 +37,10 @@ CALIBRATION = 10
 QUANTILE = 0.995
 #: pseudo words of average cost added to each text, so that a few words cannot decide
 PRIOR_WORDS = 20
-#: languages with fewer held-out trusted texts use the threshold of all
-LEAST_TEXTS = 30
+#: a language's quantile counts as that of its held-out texts and of so many texts of all languages
+PRIOR_TEXTS = 30
+#: stands for the null id between stages
+NO_ID = -(1 << 63)
 BLOOM_BITS = 26
 #: tasks that fill it; each sends at most 2 ** (BLOOM_BITS - 6) words, so this bounds what is shuffled
 BLOOM_TASKS = 512
@@ -470,10 +473,11 @@ def _add_up(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def perplexities(docs: DataFrame, trained: Trained) -> DataFrame:
-    """``doc_id, n_words, logp`` of every row of ``docs`` (doc_id, text); rows of one id are one document."""
+    """``doc_id, n_words, logp`` of every id of ``docs`` (doc_id, text); rows of one id are one document, those of a null id too."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(trained.model)
-    flow = docs.where("doc_id is not null").mapInArrow(_score_texts(shared), _FLOW)
+    docs = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), docs.columns[1])
+    flow = docs.mapInArrow(_score_texts(shared), _FLOW)
     gains = (
         trained.corrections.unionByName(flow)
         .repartition(trained.model.shards, "shard")
@@ -485,7 +489,8 @@ def perplexities(docs: DataFrame, trained: Trained) -> DataFrame:
     )
     base = docs.mapInArrow(_backed_off(shared), "doc_id long, logp double, n_words long")
     parts = base.unionByName(gains.select("doc_id", F.col("delta").alias("logp"), F.lit(0).cast("long").alias("n_words")))
-    return parts.groupBy("doc_id").agg(F.sum("n_words").alias("n_words"), F.sum("logp").alias("logp"))
+    summed = parts.groupBy("doc_id").agg(F.sum("n_words").alias("n_words"), F.sum("logp").alias("logp"))
+    return summed.withColumn("doc_id", F.when(F.col("doc_id") != NO_ID, F.col("doc_id")))
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, vocabulary: int = VOCABULARY) -> DataFrame:
@@ -493,28 +498,30 @@ def score_quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE
 
     Trusted are documents whose ``labels.quality`` is 1 (and toxic not 1);
     nine in ten of them, by a hash of the id, are counted, the tenth sets each
-    language's threshold.  ``score`` is the cost of a word with PRIOR_WORDS
+    language's threshold: the quantile of its own texts, drawn towards that of
+    all texts as if it had PRIOR_TEXTS of those as well, at every size alike.  ``score`` is the cost of a word with PRIOR_WORDS
     average words added; ``keep`` is score <= threshold.  Without words the
     perplexity is null and the text is not kept; a null language is ``und``;
-    without trusted text nothing is rejected.  Repeated ids are one document;
-    extra columns are ignored.
+    without trusted text nothing is rejected.  Repeated ids are one document,
+    and so are all rows of a null id; extra columns are ignored.
     """
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce("lang", F.lit("und")).alias("lang"))
+    narrow = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), "text", F.coalesce("lang", F.lit("und")).alias("lang"))
     trusted = labels.where("quality = 1 and coalesce(toxic, 0) <> 1").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
     trusted = F.broadcast(trusted) if labels.count() <= BROADCAST_LABELS else trusted
     held_out = F.pmod(F.xxhash64("doc_id"), F.lit(CALIBRATION)) == 0
     trained = train(narrow.join(trusted, "doc_id", "left_semi").where(~held_out).select("text"), vocabulary, open_vocabulary=True)
     found = perplexities(narrow.select("doc_id", "text"), trained)
-    langs = narrow.groupBy("doc_id").agg(F.min("lang").alias("lang"))
+    langs = narrow.groupBy(F.when(F.col("doc_id") != NO_ID, F.col("doc_id")).alias("doc_id")).agg(F.min("lang").alias("lang"))
     found = materialise(langs.join(found, langs["doc_id"].eqNullSafe(found["doc_id"])).select(langs["doc_id"], "lang", "n_words", "logp"), "perplexity")
     checked = found.join(trusted, "doc_id", "left_semi").where(held_out & (F.col("n_words") > 0))
     mean = checked.agg((-F.sum("logp") / F.sum("n_words")).alias("m")).first()["m"]
     cost = (-F.col("logp") + PRIOR_WORDS * F.lit(mean or 0.0)) / (F.col("n_words") + PRIOR_WORDS)
     percent = F.percentile_approx(cost, quantile, 100_000)
-    per_lang = checked.groupBy("lang").agg(percent.alias("t"), F.count("*").alias("n")).where(F.col("n") >= LEAST_TEXTS).select("lang", "t")
-    overall = checked.agg(percent.alias("t")).first()["t"]
+    per_lang = checked.groupBy("lang").agg(percent.alias("t"), F.count("*").alias("n")).select("lang", "t", F.col("n").alias("texts"))
+    overall = F.lit(checked.agg(percent.alias("t")).first()["t"]).cast("double")
     joined = found.join(per_lang, "lang", "left")
-    threshold = F.coalesce("t", F.lit(overall).cast("double"))
+    own = F.coalesce("texts", F.lit(0))
+    threshold = (own * F.coalesce("t", F.lit(0.0)) + PRIOR_TEXTS * overall) / (own + PRIOR_TEXTS)
     return joined.select(
         "doc_id", "lang", "n_words", F.when(F.col("n_words") > 0, F.exp(-F.col("logp") / F.col("n_words"))).alias("perplexity"),
         cost.alias("score"), threshold.alias("threshold"),

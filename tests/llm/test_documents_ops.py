@@ -521,6 +521,26 @@ def test_quality(spark, corpus, awkward, nothing):
     assert kneser_ney.score_quality(nothing, labels).count() == 0
 
 
+def test_thresholds_by_hand(spark, corpus):
+    """Costs, quantiles and their shrinkage from the perplexities; rows of a null id are scored whole."""
+    frame, _, docs, _ = corpus
+    labels = spark.createDataFrame([(i, 1, 0) for i, _, _ in docs[:220]], "doc_id long, quality int, toxic int")
+    odd = frame.unionByName(spark.createDataFrame([(None, docs[0][1], None, None, None)], frame.schema))
+    got = {r.doc_id: r for r in kneser_ney.score_quality(odd, labels, quantile=0.9).collect()}
+    assert got[None].perplexity == pytest.approx(got[0].perplexity) and got[None].lang == "und" and len(got) == len(docs) + 1
+    held = {r.doc_id for r in spark.range(220).where("pmod(xxhash64(id), 10) = 0").withColumnRenamed("id", "doc_id").collect()}
+    logp = {i: -r.n_words * np.log(r.perplexity) for i, r in got.items() if r.n_words}
+    mean = -sum(logp[i] for i in held) / sum(got[i].n_words for i in held)
+    cost = {i: (-logp[i] + 20 * mean) / (got[i].n_words + 20) for i in logp}
+    quantile = lambda ids: sorted(cost[i] for i in ids)[int(np.ceil(0.9 * len(ids))) - 1]
+    for i, r in got.items():
+        own = [k for k in held if got[k].lang == r.lang]
+        want = ((len(own) * quantile(own) if own else 0) + 30 * quantile(held)) / (len(own) + 30)
+        assert r.threshold == pytest.approx(want, rel=1e-5)
+        if r.n_words:
+            assert r.score == pytest.approx(cost[i]) and r.keep == (r.score <= r.threshold)
+
+
 # ---- 10 decontamination
 
 
