@@ -6,6 +6,7 @@ spelling serves Spark, pandas and SQL.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -84,3 +85,15 @@ def replace_longest_first(text: Column, literals: dict[str, str]) -> Column:
     for literal in sorted(literals, key=len, reverse=True):
         text = F.replace(text, F.lit(literal), F.lit(literals[literal]))
     return text
+
+
+def highlight_spans(text: Column, terms: list[str]) -> Column:
+    """Array of (start, end) code point spans of any of the terms, longer ones first, none overlapping."""
+    pattern = "|".join(re.sub(r"([^A-Za-z0-9_\u0080-\U0010ffff])", r"\\\1", t) for t in sorted(set(terms), key=lambda t: (-len(t), t)) if t)
+    if not pattern:
+        return F.array().cast("array<struct<start:int,end:int>>")
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    gaps = F.transform(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)), F.length)
+    sizes = F.transform(found, F.length)
+    before = lambda lengths, i: F.aggregate(F.slice(lengths, F.lit(1), i), F.lit(0), lambda a, x: a + x)
+    return F.transform(sizes, lambda n, i: F.struct((before(gaps, i + 1) + before(sizes, i)).alias("start"), (before(gaps, i + 1) + before(sizes, i + 1)).alias("end")))

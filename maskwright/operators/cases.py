@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -100,3 +101,34 @@ def parse_role(answers: DataFrame, column: str = "answer") -> DataFrame:
         .when(types, "unknown_claim_type")
     )
     return answers.withColumns({"parsed": row, "parse_error": error})
+
+
+def evidence_keys(explicit: Column, category: Column, name: Column) -> Column:
+    """Key by which evidence of two documents is the same: the given one, else category and content; blank if neither says anything."""
+
+    @F.pandas_udf("string")
+    def content(values: pd.Series) -> pd.Series:
+        from ..functions.legal_zh import content_key
+
+        return values.map(content_key)
+
+    given, key = non_blank(explicit), content(name)
+    return F.when(given.isNotNull(), F.concat(F.lit("explicit:"), given)).when(key != "", F.concat(F.lit("content:"), content(category), F.lit(":"), key)).otherwise("")
+
+
+def longer_evidence(current: Column, prior: Column) -> tuple[Column, Column]:
+    """The evidence list to keep and where it is from: an earlier reviewed one only if it is longer."""
+    keep_prior = F.coalesce(F.size(prior), F.lit(0)) > F.coalesce(F.size(current), F.lit(0))
+    return F.when(keep_prior, prior).otherwise(current), F.when(keep_prior, "previous_human_reviewed_best").otherwise("hybrid_analysis")
+
+
+def reaudit_cases(patched: DataFrame, indictments: DataFrame, judgments: DataFrame) -> DataFrame:
+    """Patched copies with the raw texts of both their documents, ready to be audited again.
+
+    ``patched``: pair_id, judgment_internal_id, linked_indictment_doc_id and the
+    copies.  ``indictments``: doc_id, text.  ``judgments``: judgment_internal_id,
+    text, null as empty.  A copy without its indictment or judgment has no case.
+    """
+    first = indictments.select(F.col("doc_id").alias("linked_indictment_doc_id"), F.coalesce("text", F.lit("")).alias("raw_indictment"))
+    second = judgments.select("judgment_internal_id", F.coalesce("text", F.lit("")).alias("raw_judgment"))
+    return patched.join(first, "linked_indictment_doc_id").join(second, "judgment_internal_id")

@@ -84,3 +84,16 @@ def history_latest(history: DataFrame, key: str, order: str, n: int = 20) -> Dat
 
     w = Window.partitionBy(key).orderBy(F.desc(order))
     return history.withColumn("recency", F.row_number().over(w)).where(F.col("recency") <= n)
+
+
+def append_history(history: DataFrame, saved: DataFrame, order: str, number: str = "id") -> DataFrame:
+    """The history with what was saved since; entries are never changed, new ones numbered on in their order.
+
+    Numbers follow each other, so one task numbers a batch of saved rows: those
+    of people's reviews between two runs, not a table.
+    """
+    from pyspark.sql import Window
+
+    last = history.agg(F.coalesce(F.max(number), F.lit(0)).alias("__last"))
+    numbered = saved.crossJoin(F.broadcast(last)).withColumn(number, F.col("__last") + F.row_number().over(Window.orderBy(order)))
+    return history.unionByName(numbered.select(history.columns))

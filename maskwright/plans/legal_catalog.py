@@ -313,3 +313,87 @@ def patch_apply(spark, sf_dir):
         yield i, done["case"]["judgment"]["text"], "|".join(o["status"] for o in done["operations"])
 
     return _each(_documents(spark, sf_dir, k="k", n1="n1"), patched, "id long, text string, statuses string")
+
+
+# ---- evidence, history, review -----------------------------------------------------------------------------------
+
+_THING = "substr('手機帳冊現金', cast(l_partkey % 3 as int) * 2 + 1, 2)"
+
+
+@query(
+    f"""WITH a AS (SELECT l_orderkey AS pair, {_THING} AS key, 'indictment' AS src FROM lineitem UNION ALL SELECT l_orderkey, CASE WHEN l_linenumber = 4 THEN 'given' ELSE {_THING} END, 'judgment' FROM lineitem)
+    SELECT pair, key, array_to_string(list_sort(list(DISTINCT src)), '|') AS provenance, count(*)::BIGINT AS n_source_records FROM a GROUP BY 1, 2"""
+)
+def evidence_content_union(spark, sf_dir):
+    """Evidence named in different words, merged by content."""
+    from ..operators.cases import evidence_keys
+    from ..operators.relational import union_with_provenance
+
+    items = table(spark, sf_dir, "lineitem")
+    place = F.expr("l_linenumber * 1000000000000 + l_partkey * 1000000 + l_suppkey * 100 + bigint(l_quantity)").alias("ord")
+    counted = F.expr(f"concat({_THING}, ' ', cast(cast(l_quantity as int) as string), '支')")
+    filed = F.expr(f"concat({_THING}, '（卷內可佐）', '１', '件')")
+    given = F.when(F.col("l_linenumber") == 4, " given ")
+    left = items.select(F.col("l_orderkey").alias("pair"), place, counted.alias("name"), F.lit(None).cast("string").alias("given"))
+    right = items.select(F.col("l_orderkey").alias("pair"), place, filed.alias("name"), given.alias("given"))
+    keyed = {k: v.withColumn("key", evidence_keys(F.col("given"), F.lit("物"), F.col("name"))) for k, v in (("indictment", left), ("judgment", right))}
+    merged = union_with_provenance(keyed, F.col("key"), ["key"], scope=["pair"])
+    return merged.select("pair", F.element_at(F.split("key", ":"), -1).alias("key"), "provenance", "n_source_records")
+
+
+@query(
+    """WITH n AS (SELECT l_orderkey, count(*) FILTER (WHERE l_linenumber <= 2)::BIGINT AS now, count(*) FILTER (WHERE l_linenumber > 2)::BIGINT AS before FROM lineitem GROUP BY 1)
+    SELECT l_orderkey, greatest(now, before) AS n_kept, CASE WHEN before > now THEN 'previous_human_reviewed_best' ELSE 'hybrid_analysis' END AS evidence_source FROM n"""
+)
+def prior_evidence(spark, sf_dir):
+    """An earlier evidence list stays where it is the longer one."""
+    from ..operators.cases import longer_evidence
+
+    part = lambda when: F.collect_list(F.when(when, F.col("l_partkey")))
+    lists = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(part(F.col("l_linenumber") <= 2).alias("now"), part(F.col("l_linenumber") > 2).alias("before"))
+    kept, source = longer_evidence(F.col("now"), F.col("before"))
+    return lists.select("l_orderkey", F.size(kept).cast("long").alias("n_kept"), source.alias("evidence_source"))
+
+
+@query(
+    """WITH h AS (SELECT event_id AS id, user_id, event_type FROM events WHERE event_id % 500 <> 0)
+    SELECT * FROM h UNION ALL SELECT (SELECT max(id) FROM h) + row_number() OVER (ORDER BY event_id) AS id, user_id, event_type FROM events WHERE event_id % 500 = 0"""
+)
+def history_append(spark, sf_dir):
+    """Saved reviews numbered on at the end of the history."""
+    from ..operators.review import append_history
+
+    events = table(spark, sf_dir, "events")
+    return append_history(events.where("event_id % 500 <> 0").select(F.col("event_id").alias("id"), "user_id", "event_type"), events.where("event_id % 500 = 0"), "event_id")
+
+
+@query(
+    """SELECT o_orderkey AS pair_id, md5(c_name) AS raw_indictment_md5, length(d.text)::BIGINT AS n_judgment FROM orders
+    JOIN customer ON o_custkey = c_custkey JOIN documents d ON d.doc_id = o_orderkey WHERE d.text IS NOT NULL"""
+)
+def reaudit_cases(spark, sf_dir):
+    """Patched copies joined with the raw texts of both documents."""
+    from ..operators import cases
+
+    patched = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("pair_id"), F.col("o_orderkey").alias("judgment_internal_id"), F.col("o_custkey").alias("linked_indictment_doc_id"))
+    indictments = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("doc_id"), F.col("c_name").alias("text"))
+    judgments = table(spark, sf_dir, "documents").where("text is not null").select(F.col("doc_id").alias("judgment_internal_id"), "text")
+    found = cases.reaudit_cases(patched, indictments, judgments)
+    return found.select("pair_id", F.md5("raw_indictment").alias("raw_indictment_md5"), F.length("raw_judgment").cast("long").alias("n_judgment"))
+
+
+_TERMS = ["the", "them", "th", "a.", "é"]
+_TERM_SQL = "them|the|a\\.|th|é"
+
+
+@query(
+    f"""WITH t AS (SELECT conv_id, turn, text, regexp_extract_all(text, '{_TERM_SQL}') AS f, string_split_regex(text, '{_TERM_SQL}') AS g FROM conversations WHERE text IS NOT NULL)
+    SELECT conv_id, turn, array_to_string(list_transform(range(1, len(f) + 1), lambda i: (list_sum(list_transform(g[1:i], lambda x: len(x))) + coalesce(list_sum(list_transform(f[1:i - 1], lambda x: len(x))), 0))::BIGINT
+      || '-' || (list_sum(list_transform(g[1:i], lambda x: len(x))) + list_sum(list_transform(f[1:i], lambda x: len(x))))::BIGINT), ',') AS spans FROM t"""
+)
+def highlight_spans(spark, sf_dir):
+    """Where a reviewer's terms are highlighted."""
+    from ..functions.identifiers import highlight_spans as spans
+
+    joined = F.array_join(F.transform(spans(F.col("text"), _TERMS), lambda x: F.concat_ws("-", x["start"].cast("string"), x["end"].cast("string"))), ",")
+    return table(spark, sf_dir, "conversations").where("text is not null").select("conv_id", "turn", joined.alias("spans"))

@@ -175,3 +175,24 @@ def test_resuming_does_each_row_once(spark, tmp_path):
     assert rows(left) == [(8, 16)]
     tries = spark.createDataFrame([("a", 1, "x"), ("a", 2, None), ("b", 1, "x"), ("b", 3, "y")], "k string, ord int, error string")
     assert rows(incremental.dead_letters(tries, "k", "ord").select("k", "error")) == [("b", "y")]
+
+
+def test_highlights_are_regex_safe(spark):
+    from maskwright.functions.identifiers import highlight_spans
+
+    df = spark.createDataFrame([("a+b a+b+c (x) é",), ("",), (None,)], "t string")
+    got = [r.s for r in df.select(highlight_spans(F.col("t"), ["a+b", "a+b+c", "(x)", "é", ""]).alias("s")).collect()]
+    assert [tuple(x) for x in got[0]] == [(0, 3), (4, 9), (10, 13), (14, 15)] and not got[1] and not got[2]
+
+
+def test_growing_checkpoint(spark, tmp_path):
+    from maskwright.streaming.incremental import sync_checkpoint
+
+    def sync():
+        return sorted(tuple(r) for r in sync_checkpoint(spark, str(tmp_path / "in"), "k string, n int, v string", str(tmp_path / "state"), str(tmp_path / "log"), "k", "n").collect())
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text('{"k": "x", "n": 1, "v": "old"}\n{"k": "y", "n": 1, "v": "only"}\n')
+    assert sync() == [("x", 1, "old"), ("y", 1, "only")]
+    (tmp_path / "in" / "b.json").write_text('{"k": "x", "n": 2, "v": "new"}\n{"k": "y", "n": 0, "v": "late"}\n')
+    assert sync() == [("x", 2, "new"), ("y", 1, "only")] == sync()
