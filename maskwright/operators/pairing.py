@@ -65,6 +65,7 @@ def augmented(registry: dict, persons: list[dict]) -> dict:
 
 
 def is_safe_mention(mention: str) -> bool:
+    """Whether a mention identifies nobody."""
     return SAFE_MENTION.fullmatch(mention) is not None
 
 

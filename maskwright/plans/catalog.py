@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 import pandas as pd
@@ -749,3 +751,71 @@ def roles_complete(spark, sf_dir):
     need = F.array(F.lit("user"), F.lit("assistant"))
     grouped = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.count("*").alias("n_turns"), F.collect_set("role").alias("have"))
     return grouped.select("conv_id", "n_turns", (F.size(F.array_except(need, "have")) == 0).alias("complete"))
+
+
+# ---- files -------------------------------------------------------------------------------------------------------
+
+
+def _shared(spark, label: str) -> str:
+    """A fresh folder that all executors share: below the checkpoint folder, else, on one machine, a temporary one."""
+    key = "spark.checkpoint.dir"
+    root = spark.sparkContext.getConf().get(key) or spark.conf.get(key, None)
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"{key} must name a folder that all executors share")
+    return f"{root or 'file://' + tempfile.mkdtemp(prefix='maskwright-')}/{label}-{uuid.uuid4().hex}"
+
+
+@query("SELECT doc_id, lang, source, CASE WHEN text IS NULL THEN NULL ELSE md5(text) END AS digest FROM documents")
+def jsonl_round_trip(spark, sf_dir):
+    """Documents written as JSON Lines and read back, nulls and line ends inside texts included."""
+    from ..sources.jsonl import read_jsonl, write_jsonl
+
+    docs, place = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"), _shared(spark, "jsonl")
+    write_jsonl(docs, place)
+    return read_jsonl(spark, place, docs.schema).select("doc_id", "lang", "source", F.md5("text").alias("digest"))
+
+
+@query("SELECT count(*) FILTER (WHERE event_id % 10 <> 0)::BIGINT AS n_good, count(*) FILTER (WHERE event_id % 10 = 0)::BIGINT AS n_bad FROM events")
+def jsonl_quarantine(spark, sf_dir):
+    """Lines that are no object are set aside with their file (A3)."""
+    from ..sources.jsonl import read_jsonl_quarantined
+
+    place = _shared(spark, "lines")
+    line = F.when(F.col("event_id") % 10 == 0, F.concat(F.lit('["'), F.col("event_id").cast("string"))).otherwise(F.to_json(F.struct("event_id", "event_type")))
+    table(spark, sf_dir, "events").select(line.alias("value")).write.text(place)
+    good, bad = read_jsonl_quarantined(spark, place, "event_id long, event_type string")
+    return good.agg(F.count("event_id").alias("n_good")).crossJoin(bad.agg(F.count("path").alias("n_bad")))
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey % 3 = 0")
+def snapshot_round_trip(spark, sf_dir):
+    """A keyed snapshot of the rows an order lists."""
+    from ..sources.jsonl import read_jsonl, write_snapshot
+
+    orders, place = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), _shared(spark, "snapshot")
+    wanted = orders.where("o_orderkey % 3 = 0").select("o_orderkey", F.xxhash64("o_orderkey").alias("ord"))
+    write_snapshot(orders, place, wanted, "o_orderkey")
+    return read_jsonl(spark, place, orders.schema)
+
+
+@query("SELECT c_custkey, c_name, c_mktsegment FROM customer")
+def csv_round_trip(spark, sf_dir):
+    """CSV with a header whose first name carries the byte order mark."""
+    from ..sources.jsonl import write_csv
+
+    place = _shared(spark, "csv")
+    write_csv(table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment"), place)
+    return spark.read.csv(place, header=True, schema="c_custkey long, c_name string, c_mktsegment string", enforceSchema=True)
+
+
+@query("SELECT user_id, max(event_id) AS event_id FROM events GROUP BY 1")
+def checkpoint_sync(spark, sf_dir):
+    """A folder of JSON Lines that has grown between two syncs, as a table of the latest rows."""
+    from ..sources.jsonl import write_jsonl
+    from ..streaming.incremental import sync_checkpoint
+
+    events, place = table(spark, sf_dir, "events").select("user_id", "event_id"), _shared(spark, "sync")
+    for half in (0, 1):
+        write_jsonl(events.where(F.col("event_id") % 2 == half), f"{place}/in", mode="append")
+        found = sync_checkpoint(spark, f"{place}/in", events.schema, f"{place}/state", f"{place}/log", "user_id", "event_id")
+    return found

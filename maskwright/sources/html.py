@@ -66,7 +66,7 @@ def _lines(parts: list[str]) -> str:
 
 
 def read_html(html: str, preferred: tuple[str, ...] = PREFERRED_IDS) -> tuple[str, str]:
-    """Title and visible text; a preferred container, where there is one, is all the text."""
+    """Title and visible text; a preferred container, where there is one, is all the text."""
     reader = _Reader(preferred)
     reader.feed(html)
     reader.close()
