@@ -135,10 +135,10 @@ class BlobLedger:
         wanted = addressed.groupBy("blob").agg(F.min(F.struct("path", "h")).alias("first")).select("blob", "first", F.explode(masks).alias("p"))
         wanted = wanted.select("blob", "first", "p.*")
         unseen = wanted.join(self.read().select("blob", "rule_version"), ["blob", "rule_version"], "left_anti")
-        todo = unseen.groupBy("blob", "first").agg(F.sum("bit").alias("mask")).select(F.col("first.path").alias("p"), F.col("first.h").alias("q"), "mask")
+        todo = unseen.groupBy("blob", "first").agg(F.sum("bit").alias("mask")).select(F.xxhash64("first.path").alias("p"), F.col("first.h").alias("q"), "mask")
         todo = materialise(todo, "unseen")
         todo = F.broadcast(todo) if todo.count() <= BROADCAST_BLOBS else todo
-        fresh = source.join(todo, source["path"].eqNullSafe(todo["p"]) & (F.xxhash64("text") == todo["q"])).select("text", "mask")
+        fresh = source.join(todo, (F.xxhash64("path") == todo["p"]) & (F.xxhash64("text") == todo["q"])).select("text", "mask")
         found = [
             F.when(F.col("mask").bitwiseAND(1 << i) != 0, F.struct(F.lit(p.version).alias("rule_version"), scan(F.col("text"), p).alias("findings")))
             for i, p in enumerate(packs)
