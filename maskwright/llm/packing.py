@@ -23,8 +23,8 @@ from .scratch import materialise
 SEQUENCE, END_ID = 4096, 2
 #: documents in a group, on average
 GROUP_DOCS = 8192
-#: remembered words per generation and worker
-CACHE_WORDS = 500_000
+#: remembered words per generation and worker, of about 200 bytes each; more save time, fewer memory
+CACHE_WORDS = 400_000
 #: characters of texts whose unknown words are encoded together
 PORTION_CHARS = 1_000_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -39,18 +39,19 @@ class WordCache(dict):
     together.  A text with the spelling of a special token is encoded as a whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, size: int | None = None):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         super().__init__()
+        self.size = size or CACHE_WORDS
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.older: dict[bytes, bytes] = {}
 
     def _learn(self, words: set[bytes]) -> None:
         """Make sure that all ``words`` are known."""
-        if len(self) >= CACHE_WORDS:
+        if len(self) >= self.size:
             self.older = dict(self)
             self.clear()
         marked, new = [], set()
@@ -99,20 +100,20 @@ def _portions(texts: pa.Array) -> Iterator[list[str | None]]:
         yield part
 
 
-_caches: dict[str, WordCache] = {}
+_caches: dict[tuple[str, int | None], WordCache] = {}
 
 
-def word_cache(path: str) -> WordCache:
-    if path not in _caches:
-        _caches[path] = WordCache(path)
-    return _caches[path]
+def word_cache(path: str, size: int | None = None) -> WordCache:
+    if (path, size) not in _caches:
+        _caches[path, size] = WordCache(path, size)
+    return _caches[path, size]
 
 
-def _pieces(path: str, size: int, end_id: int):
+def _pieces(path: str, size: int, end_id: int, cache_words: int | None):
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = word_cache(path)
+        cache = word_cache(path, cache_words)
         for part in source:
             out: tuple[list, ...] = ([], [], [], [], [])
             encoded = (ids for texts in _portions(part.column(1)) for ids in cache.encode_all(texts))
@@ -187,6 +188,7 @@ def pack_sequences(
     size: int = SEQUENCE,
     end_id: int = END_ID,
     group_docs: int = GROUP_DOCS,
+    cache_words: int | None = None,
 ) -> DataFrame:
     """Pieces of all documents and the sequence each lies in.
 
@@ -197,7 +199,7 @@ def pack_sequences(
     Repeated rows are packed as often as they occur; extra columns are ignored.
     """
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    pieces = materialise(narrow.mapInArrow(_pieces(tokenizer_path, size, end_id), PIECES), "pieces")
+    pieces = materialise(narrow.mapInArrow(_pieces(tokenizer_path, size, end_id, cache_words), PIECES), "pieces")
     groups = max(1, -(-pieces.where("start = 0").count() // group_docs))
     dealt = pieces.withColumn("grp", F.pmod(F.xxhash64("doc_id"), F.lit(groups)).cast("long"))
     return dealt.groupBy("grp").applyInArrow(_pack(size), PIECES + ", sequence_id long, offset long")
