@@ -24,6 +24,8 @@ from maskwright.session import ship
 MIN_LANGUAGE_SCORE = 0.05
 #: share of shingles, in percent, from which two documents are near-duplicates
 NEAR_PERCENT = 80
+#: words a worker remembers while packing: its memory still holds what the stages before left there
+CACHE_WORDS = 100_000
 #: documents to drop are broadcast up to this many (16 bytes each), else joined by shuffle
 BROADCAST_IDS = 1_000_000
 
@@ -72,7 +74,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What is left, in sequences of 4096 ids."""
     ship(spark)
-    return packing.pack_sequences(docs, tokenizer_path())
+    return packing.pack_sequences(docs, tokenizer_path(), cache_words=CACHE_WORDS)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
