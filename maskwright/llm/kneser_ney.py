@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from .scratch import materialise, remove
 from .textkernel import U64, WHITESPACE, mix, word_hashes
 
+#: words with a number; more would save disk and cost memory in every task
 VOCABULARY = 200_000
 #: share of trusted documents kept out of the counts, for thresholds
 CALIBRATION = 10
@@ -120,7 +121,7 @@ def _tallied(keys_of):
 
 
 def _count_pairs(shared):
-    """Count bigrams, up to two million words at a time: key, left and right (0 where the key tells them), count."""
+    """Count bigrams, up to two million words at a time: key of those of numbers, else 0, left and right of the others, and the count."""
 
     def tally(lefts: list[np.ndarray], rights: list[np.ndarray]) -> pa.RecordBatch:
         left, right = np.concatenate(lefts), np.concatenate(rights)
@@ -131,6 +132,7 @@ def _count_pairs(shared):
         n = np.diff(np.append(first, len(k)))
         k, order = k[first], order[first]
         left, right = (np.where(k >= RARE, x[order], U64(0)) for x in (left, right))
+        k = np.where(k >= RARE, U64(0), k)  # the words tell it
         return pa.RecordBatch.from_arrays([*(pa.array(x.view(np.int64)) for x in (k, left, right)), pa.array(n, pa.int64())], ["k", "l", "r", "n"])
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,6 +244,24 @@ def _word_keys(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(keys_of_rare(w, role).view(np.int64))], ["k"])
 
 
+def _least_count(words: DataFrame, vocabulary: int) -> int:
+    """The count from which on there are at most ``vocabulary`` words."""
+    total, least = 0, None
+    for n, many in sorted(map(tuple, words.groupBy("n").agg(F.count("*")).collect()), reverse=True):  # different counts: few, as their sum is the corpus
+        total += many
+        if total > vocabulary:
+            return least if least is not None else n + 1
+        least = n
+    return 1
+
+
+def _pair_keys(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(k, l, r) -> keys of bigrams."""
+    for part in source:
+        k, left, right = (part.column(c).to_numpy().view(U64) for c in range(3))
+        yield pa.RecordBatch.from_arrays([pa.array(np.where(k == 0, keys_of_pairs(left, right), k).view(np.int64))], ["k"])
+
+
 def train(texts: DataFrame, vocabulary: int = VOCABULARY, open_vocabulary: bool = False) -> Trained:
     """Model of all rows of ``texts`` (one column, text).
 
@@ -251,7 +271,13 @@ def train(texts: DataFrame, vocabulary: int = VOCABULARY, open_vocabulary: bool
     spark = texts.sparkSession
     words = materialise(texts.mapInArrow(_tallied(words_of), "k long, n long").groupBy("k").agg(F.sum("n").alias("n")), "words", compression="zstd")
     types = words.count()
-    top = words.orderBy(F.desc("n"), "k").limit(vocabulary).select("k").toArrow().column("k").to_numpy()
+    if types <= vocabulary:
+        chosen = words
+    elif open_vocabulary:
+        chosen = words.where(F.col("n") >= _least_count(words, vocabulary))
+    else:
+        chosen = words.orderBy(F.desc("n"), "k").limit(vocabulary)
+    top = chosen.select("k").toArrow().column("k").to_numpy()
     vocab = Vocabulary(top.view(U64), open_vocabulary)
     remove(spark, words.inputFiles()[0].rsplit("/", 1)[0])
     shared = spark.sparkContext.broadcast(vocab)
@@ -261,22 +287,22 @@ def train(texts: DataFrame, vocabulary: int = VOCABULARY, open_vocabulary: bool
     low = {r["n"]: r["m"] for r in bigrams.where("n <= 4").groupBy("n").agg(F.count("*").alias("m")).collect()}
     d = discounts(low)
     size = len(top) + 2
-    left = F.when(F.col("k") >= 0, F.shiftright("k", 20)).otherwise(F.col("l")).alias("w")
-    right = F.when(F.col("k") >= 0, F.col("k").bitwiseAND((1 << 20) - 1)).otherwise(F.col("r")).alias("w")
+    left = F.when(F.col("k") > 0, F.shiftright("k", 20)).otherwise(F.col("l")).alias("w")
+    right = F.when(F.col("k") > 0, F.col("k").bitwiseAND((1 << 20) - 1)).otherwise(F.col("r")).alias("w")
     after = bigrams.groupBy(left).agg(
         F.sum("n").alias("c"), F.count_if(F.col("n") == 1).alias("n1"), F.count_if(F.col("n") == 2).alias("n2"), F.count_if(F.col("n") > 2).alias("n3")
     )
     before = bigrams.groupBy(right).agg(F.count("*").alias("kinds"))
     if open_vocabulary:
         after, before = materialise(after, "after", compression="zstd"), materialise(before, "before", compression="zstd")
-    few = after.where("w >= 0").toArrow().to_pydict()  # at most one row a vocabulary word
-    few_before = before.where("w >= 0").toArrow().to_pydict()
+    few = after.where("w >= 0").toArrow()  # at most one row a vocabulary word
+    few_before = before.where("w >= 0").toArrow()
     mass, backoff = np.zeros(size), np.zeros(size)
-    w, c, *n = (np.array(few[k], dtype=np.int64) for k in ("w", "c", "n1", "n2", "n3"))
+    w, c, *n = (few[k].to_numpy() for k in ("w", "c", "n1", "n2", "n3"))
     mass[w] = c
     backoff[w] = np.log((d[0] * n[0] + d[1] * n[1] + d[2] * n[2]) / c)
     kinds = np.zeros(size)
-    kinds[np.array(few_before["w"], dtype=np.int64)] = few_before["kinds"]
+    kinds[few_before["w"].to_numpy()] = few_before["kinds"].to_numpy()
     same = {i: int((kinds == i).sum()) for i in (1, 2, 3, 4)}
     more, all_kinds, others = int((kinds > 2).sum()), int(kinds.sum()), 0
     rare = None
@@ -298,7 +324,7 @@ def train(texts: DataFrame, vocabulary: int = VOCABULARY, open_vocabulary: bool
     shards = max(1, -(-(total + 2 * others) // SHARD_ROWS))
     bloom = np.zeros((1 << BLOOM_BITS) // 64, dtype=np.int64)
     if total:
-        keys = bigrams.select("k")
+        keys = bigrams.select("k", "l", "r").mapInArrow(_pair_keys, "k long")
         if others:
             keys = keys.unionByName(rare.select("w").mapInArrow(_word_keys, "k long"))
         for r in keys.coalesce(BLOOM_TASKS).mapInArrow(_bloom_words, "at long, word long").groupBy("at").agg(F.bit_or("word").alias("word")).toArrow().to_batches():
@@ -346,12 +372,12 @@ def train(texts: DataFrame, vocabulary: int = VOCABULARY, open_vocabulary: bool
     def correct_rare(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mass, backoff, lower, d, *_ = held.value
 
-        def rows(k, n, l, r, c, n1, n2, n3, kinds) -> Iterator[pa.RecordBatch]:
+        def rows(n, l, r, c, n1, n2, n3, kinds) -> Iterator[pa.RecordBatch]:
             a, b = np.where(l < 0, UNKNOWN, l), np.where(r < 0, UNKNOWN, r)
             back = np.where(l < 0, weight(c, n1, n2, n3), backoff[a])
             low = np.where(r < 0, continued(np.maximum(kinds, 1)), lower[b])
             main = (n - _cut(n, d)) / np.where(l < 0, np.maximum(c, 1), mass[a])
-            yield from send(k.view(U64), np.log(np.exp(back + low) + main) - (back + low))
+            yield from send(keys_of_pairs(l.view(U64), r.view(U64)), np.log(np.exp(back + low) + main) - (back + low))
 
         yield from batched(source, rows)
 
@@ -363,11 +389,11 @@ def train(texts: DataFrame, vocabulary: int = VOCABULARY, open_vocabulary: bool
 
         yield from batched(source, rows)
 
-    corrections = bigrams.where("k >= 0").select("k", "n").mapInArrow(correct, _FLOW)
+    corrections = bigrams.where("k > 0").select("k", "n").mapInArrow(correct, _FLOW)
     if others:
         on_left = rare.select(F.col("w").alias("l"), "c", "n1", "n2", "n3")
         on_right = rare.select(F.col("w").alias("r"), "kinds")
-        wide = bigrams.where("k < 0").join(on_left, "l", "left").join(on_right, "r", "left").select("k", "n", "l", "r", "c", "n1", "n2", "n3", "kinds")
+        wide = bigrams.where("k = 0").join(on_left, "l", "left").join(on_right, "r", "left").select("n", "l", "r", "c", "n1", "n2", "n3", "kinds")
         corrections = corrections.unionByName(wide.mapInArrow(correct_rare, _FLOW))
         corrections = corrections.unionByName(rare.select("w", "kinds", "c", "n1", "n2", "n3").mapInArrow(correct_words, _FLOW))
     return Trained(model, corrections)
