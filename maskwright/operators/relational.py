@@ -5,6 +5,7 @@ Order is always an explicit column; nothing depends on partition order.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -86,10 +87,15 @@ def exactly_one_link(links: DataFrame, targets: DataFrame, source: str, target:
     return usable.groupBy(source).agg(F.min(target).alias(target), F.count("*").alias("n")).where("n = 1").drop("n")
 
 
+def _ties(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    """The columns that have an order, which maps and variants have not."""
+    return [c for c in columns if not re.search(r"\b(?:map<|variant)", df.schema[c].dataType.simpleString())]
+
+
 def first_wins(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """The earliest row of each key; map-side combined like :func:`last_wins`."""
     rest = [c for c in df.columns if c not in keys]
-    picked = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(F.col(order), *rest)).alias("__row"))
+    picked = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(F.col(order), *_ties(df, rest))).alias("__row"))
     return picked.select(*keys, "__row.*")
 
 
@@ -99,7 +105,7 @@ def last_wins(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     Of rows equal in ``order`` the one with the greatest other values wins.
     """
     rest = [c for c in df.columns if c not in keys]
-    picked = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(F.col(order), *rest)).alias("__row"))
+    picked = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(F.col(order), *_ties(df, rest))).alias("__row"))
     return picked.select(*keys, "__row.*")
 
 
