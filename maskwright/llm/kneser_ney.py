@@ -9,10 +9,11 @@ them instead.  Bigram counts stay in the cluster.
 
 A text's log-probability is the sum over its words of the backed-off estimate,
 which needs only per-word numbers (of a word without a number those of a word never met), plus a correction for every bigram the
-model has seen and for every word without a number that it has.  Corrections are joined by shard: model rows and packed bigram
-keys of many documents meet in the task of their shard, model first, and leave
-it as one packed row of sums a chunk of documents.  A fixed-size Bloom filter keeps bigrams the
-model cannot have from being sent.
+model has seen and for every word without a number that it has.  Corrections of the FREQUENT commonest
+bigrams are a bounded table every task holds and are added where the text is read; the others are joined by
+shard: model rows and packed bigram keys of a chunk of documents meet in the task of their shard, model first, and leave
+it as one packed row of the sums of those documents that have any.  A chunk's ids are sent once.  A fixed-size Bloom filter
+keeps bigrams the model cannot have from being sent.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import materialise, remove
+from .scratch import materialise, remove, shuffles_removed
 from .textkernel import U64, WHITESPACE, mix, word_hashes
 
 #: words with a number; more would save disk and cost memory in every task
@@ -43,10 +44,16 @@ PRIOR_TEXTS = 30
 #: stands for the null id between stages
 NO_ID = -(1 << 63)
 BLOOM_BITS = 26
-#: tasks that fill it; each sends at most 2 ** (BLOOM_BITS - 6) words, so this bounds what is shuffled
+#: tasks that fill it; each sends at most 2 ** (BLOOM_BITS - 3) bytes, compressed, so this bounds what is shuffled
 BLOOM_TASKS = 512
+BLOOM_BLOCKS = 64
 SHARD_ROWS = 1_000_000
-CHUNK_DOCS = 128
+#: bigrams whose corrections every task holds, 12 bytes each
+FREQUENT = 1 << 20
+#: keys looked up at a time; a chunk ends with those that bring it to so many keys to send, or with so many documents
+SIFTED_KEYS = 200_000
+CHUNK_KEYS = 400_000
+CHUNK_DOCS = 1 << 16
 BROADCAST_LABELS = 2_000_000
 #: white space, full stop and comma
 SEPARATORS = bytes(0 if i in b".," else WHITESPACE[i] for i in range(256))
@@ -90,10 +97,10 @@ class Vocabulary:
         right = self.numbers_of(words_of(text))
         return (np.concatenate(([U64(START)], right[:-1])) if len(right) else right), right
 
-    def keys(self, text: str | None) -> np.ndarray:
-        """Keys of all corrections a text may have: its bigrams', and those of its words without a number."""
-        left, right = self.pairs(text)
-        return np.concatenate((keys_of_pairs(left, right), keys_of_rare(left[left >= RARE], _AS_LEFT), keys_of_rare(right[right >= RARE], _AS_RIGHT)))
+
+def keys_of_corrections(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Keys of all corrections a text may have: its bigrams', and those of its words without a number."""
+    return np.concatenate((keys_of_pairs(left, right), keys_of_rare(left[left >= RARE], _AS_LEFT), keys_of_rare(right[right >= RARE], _AS_RIGHT)))
 
 
 def _tally(keys: list[np.ndarray]) -> pa.RecordBatch:
@@ -154,11 +161,13 @@ def _count_pairs(shared):
 
 @dataclass
 class Model:
-    """What tasks hold: per-word numbers of the vocabulary, and a Bloom filter of fixed size."""
+    """What tasks hold: per-word numbers of the vocabulary, corrections of common bigrams, and a Bloom filter of fixed size."""
 
     vocabulary: Vocabulary
     backoff: np.ndarray  # log weight of the lower order after each word
     lower: np.ndarray  # log continuation probability of each word
+    frequent: np.ndarray  # sorted keys of common bigrams
+    gains: np.ndarray  # their corrections
     bloom: np.ndarray
     shards: int
 
@@ -183,9 +192,11 @@ def _shard(keys: np.ndarray, shards: int) -> np.ndarray:
     return (mix(keys) >> U64(33)) % U64(shards)
 
 
-#: kind 0: model keys (docs: their corrections as float32); kind 1: keys of a chunk of documents
-_FLOW = "shard int, kind int, docs binary, sizes binary, keys binary, repeats binary"
-_KEY_BYTES = 8
+#: kind 0: model keys, values: their corrections as float32; kind 1: distinct keys of a chunk of documents, how many
+#: documents have each (sizes), which (owners) and, of those that have one more than once, place and count (values);
+#: kind 2: a chunk's document ids (owners), words (sizes) and log-probabilities so far (values)
+_FLOW = "shard int, kind int, chunk binary, keys binary, sizes binary, owners binary, values binary"
+_SUMS = "chunk binary, docs binary, sizes binary, owners binary, sums binary"
 
 
 def _flow(shard: int, kind: int, *parts: bytes) -> pa.RecordBatch:
@@ -193,17 +204,24 @@ def _flow(shard: int, kind: int, *parts: bytes) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _FLOW.split(", ")])
 
 
-def _pack(keys: np.ndarray) -> bytes:
-    """Keys by byte planes, compressed: word numbers follow frequency, so the upper planes are zeros but for hashed keys."""
-    planes = np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_KEY_BYTES].T)
+def _pack(values: np.ndarray) -> bytes:
+    """Values by byte planes, compressed."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T)
     return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
 
 
-def _unpack(raw: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), dtype=np.uint8).reshape(_KEY_BYTES, -1)
-    wide = np.zeros((planes.shape[1], 8), dtype=np.uint8)
-    wide[:, :_KEY_BYTES] = planes.T
-    return wide.reshape(-1).view("<i8")
+def _unpack(raw: bytes, kind: str) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), dtype=np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
+
+
+def _pack_sorted(keys: np.ndarray) -> bytes:
+    """Sorted keys by their differences."""
+    return _pack(np.diff(keys, prepend=U64(0)).astype("<u8"))
+
+
+def _unpack_sorted(raw: bytes) -> np.ndarray:
+    return np.cumsum(_unpack(raw, "<u8"), dtype=U64)
 
 
 def _by_shard(keys: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -222,15 +240,26 @@ def _bloom_slots(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (h & mask).astype(np.int64), (h >> U64(32) & mask).astype(np.int64)
 
 
-def _bloom_words(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Set 64-bit words of the filter, one row per touched word and task."""
+def _bloom_parts(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's filter, compressed in blocks."""
     bits = np.zeros(1 << BLOOM_BITS, dtype=bool)
     for part in source:
         for slots in _bloom_slots(part.column(0).to_numpy().view(U64)):
             bits[slots] = True
-    words = np.packbits(bits, bitorder="little").view(np.int64)
-    at = np.flatnonzero(words)
-    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(words[at], pa.int64())], ["at", "word"])
+    blocks = np.packbits(bits, bitorder="little").reshape(BLOOM_BLOCKS, -1)
+    at = np.flatnonzero(blocks.any(axis=1))
+    packed = [zstandard.ZstdCompressor(level=3).compress(blocks[i].tobytes()) for i in at]
+    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(packed, pa.binary())], ["block", "bits"])
+
+
+def _bloom_union(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of all tasks -> the filter's blocks."""
+    found: dict[int, np.ndarray] = {}
+    for part in source:
+        for block, packed in zip(*(c.to_pylist() for c in part.columns)):
+            bits = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), dtype=np.uint8)
+            found[block] = found[block] | bits if block in found else bits
+    yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array([b.tobytes() for b in found.values()], pa.binary())], ["block", "bits"])
 
 
 def _cut(n: np.ndarray, d: tuple[float, float, float]) -> np.ndarray:
@@ -245,7 +274,7 @@ def _word_keys(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _least_count(words: DataFrame, vocabulary: int) -> int:
-    """The count from which on there are at most ``vocabulary`` words."""
+    """The count from which on there are at most ``vocabulary`` words, or other rows with an ``n``."""
     total, least = 0, None
     for n, many in sorted(map(tuple, words.groupBy("n").agg(F.count("*")).collect()), reverse=True):  # different counts: few, as their sum is the corpus
         total += many
@@ -269,7 +298,8 @@ def train(texts: DataFrame, vocabulary: int = VOCABULARY, open_vocabulary: bool
     ``open_vocabulary`` words like the others, whose numbers stay in the cluster.
     """
     spark = texts.sparkSession
-    words = materialise(texts.mapInArrow(_tallied(words_of), "k long, n long").groupBy("k").agg(F.sum("n").alias("n")), "words", compression="zstd")
+    with shuffles_removed(spark):
+        words = materialise(texts.mapInArrow(_tallied(words_of), "k long, n long").groupBy("k").agg(F.sum("n").alias("n")), "words", compression="zstd")
     types = words.count()
     if types <= vocabulary:
         chosen = words
@@ -277,12 +307,14 @@ def train(texts: DataFrame, vocabulary: int = VOCABULARY, open_vocabulary: bool
         chosen = words.where(F.col("n") >= _least_count(words, vocabulary))
     else:
         chosen = words.orderBy(F.desc("n"), "k").limit(vocabulary)
-    top = chosen.select("k").toArrow().column("k").to_numpy()
+    top, often = (c.to_numpy() for c in chosen.select("k", "n").toArrow().columns)
+    top = top[np.lexsort((top, -often))]  # numbers follow frequency, so that common keys are small
     vocab = Vocabulary(top.view(U64), open_vocabulary)
     remove(spark, words.inputFiles()[0].rsplit("/", 1)[0])
     shared = spark.sparkContext.broadcast(vocab)
     pairs = texts.mapInArrow(_count_pairs(shared), "k long, l long, r long, n long")
-    bigrams = materialise(pairs.groupBy("k", "l", "r").agg(F.sum("n").alias("n")), "bigrams", compression="zstd")
+    with shuffles_removed(spark):
+        bigrams = materialise(pairs.groupBy("k", "l", "r").agg(F.sum("n").alias("n")), "bigrams", compression="zstd")
     total = bigrams.count()
     low = {r["n"]: r["m"] for r in bigrams.where("n <= 4").groupBy("n").agg(F.count("*").alias("m")).collect()}
     d = discounts(low)
@@ -294,7 +326,8 @@ def train(texts: DataFrame, vocabulary: int = VOCABULARY, open_vocabulary: bool
     )
     before = bigrams.groupBy(right).agg(F.count("*").alias("kinds"))
     if open_vocabulary:
-        after, before = materialise(after, "after", compression="zstd"), materialise(before, "before", compression="zstd")
+        with shuffles_removed(spark):
+            after, before = materialise(after, "after", compression="zstd"), materialise(before, "before", compression="zstd")
     few = after.where("w >= 0").toArrow()  # at most one row a vocabulary word
     few_before = before.where("w >= 0").toArrow()
     mass, backoff = np.zeros(size), np.zeros(size)
@@ -307,7 +340,11 @@ def train(texts: DataFrame, vocabulary: int = VOCABULARY, open_vocabulary: bool
     more, all_kinds, others = int((kinds > 2).sum()), int(kinds.sum()), 0
     rare = None
     if open_vocabulary:
-        rare = materialise(before.where("w < 0").join(after.where("w < 0"), "w", "left"), "rare", compression="zstd")
+        with shuffles_removed(spark):
+            rare = materialise(before.where("w < 0").join(after.where("w < 0"), "w", "left"), "rare", compression="zstd")
+        for table in (after, before):
+            for file in table.inputFiles()[:1]:
+                remove(spark, file.rsplit("/", 1)[0])
         counted = rare.agg(
             *(F.count_if(F.col("kinds") == i).alias(f"k{i}") for i in same), F.count_if(F.col("kinds") > 2).alias("more"),
             F.coalesce(F.sum("kinds"), F.lit(0)).alias("all"), F.count("*").alias("words"),
@@ -321,15 +358,35 @@ def train(texts: DataFrame, vocabulary: int = VOCABULARY, open_vocabulary: bool
     spread = 1.0 if open_vocabulary else 1 / (max(types - len(top), 0) + 1)
     lower[UNKNOWN] *= spread
     lower = np.log(np.maximum(lower, 1e-300))
-    shards = max(1, -(-(total + 2 * others) // SHARD_ROWS))
-    bloom = np.zeros((1 << BLOOM_BITS) // 64, dtype=np.int64)
-    if total:
-        keys = bigrams.select("k", "l", "r").mapInArrow(_pair_keys, "k long")
+
+    def of_numbers(k: np.ndarray, n: np.ndarray, numbers) -> np.ndarray:
+        """Corrections of bigrams of words with numbers."""
+        mass, backoff, lower, d, spread = numbers
+        a, b = k >> 20, k & (1 << 20) - 1
+        base = np.exp(backoff[a] + lower[b])
+        main = (n - _cut(n, d)) / mass[a]
+        main = np.where(b == UNKNOWN, main * spread, main)
+        return np.log(base + main) - (backoff[a] + lower[b])
+
+    numbered = bigrams.where("k > 0")
+    least = _least_count(numbered, FREQUENT)
+    frequent, often = (c.to_numpy() for c in numbered.where(F.col("n") >= least).select("k", "n").toArrow().columns)
+    order = np.argsort(frequent)
+    frequent, often = frequent[order], often[order]
+    gains = of_numbers(frequent, often, (mass, backoff, lower, d, spread)).astype("<f4")
+    sent = total - len(frequent)
+    shards = max(1, -(-(sent + 2 * others) // SHARD_ROWS))
+    bloom = np.zeros((BLOOM_BLOCKS, (1 << BLOOM_BITS) // 8 // BLOOM_BLOCKS), dtype=np.uint8)
+    if sent:
+        keys = bigrams.where((F.col("k") == 0) | (F.col("n") < least)).select("k", "l", "r").mapInArrow(_pair_keys, "k long")
         if others:
             keys = keys.unionByName(rare.select("w").mapInArrow(_word_keys, "k long"))
-        for r in keys.coalesce(BLOOM_TASKS).mapInArrow(_bloom_words, "at long, word long").groupBy("at").agg(F.bit_or("word").alias("word")).toArrow().to_batches():
-            bloom[r.column(0).to_numpy()] = r.column(1).to_numpy()
-    model = Model(vocab, backoff, lower, bloom, shards)
+        parts = keys.coalesce(BLOOM_TASKS).mapInArrow(_bloom_parts, "block long, bits binary").repartition("block")
+        with shuffles_removed(spark):
+            blocks = parts.mapInArrow(_bloom_union, "block long, bits binary").toArrow()
+        for block, bits in zip(*(c.to_pylist() for c in blocks.columns)):
+            bloom[block] = np.frombuffer(bits, dtype=np.uint8)
+    model = Model(vocab, backoff, lower, frequent.view(U64), gains, bloom.reshape(-1), shards)
     held = spark.sparkContext.broadcast((mass, backoff, lower, d, e, gamma, all_kinds, spread, shards))
 
     def batched(source: Iterator[pa.RecordBatch], rows) -> Iterator[pa.RecordBatch]:
@@ -345,18 +402,16 @@ def train(texts: DataFrame, vocabulary: int = VOCABULARY, open_vocabulary: bool
             yield from rows(*(np.concatenate(x) for x in zip(*keep)))
 
     def send(keys: np.ndarray, delta: np.ndarray) -> Iterator[pa.RecordBatch]:
+        order = np.argsort(keys)
+        keys, delta = keys[order], delta[order].astype("<f4")
         for s, here in _by_shard(keys, held.value[-1]):
-            yield _flow(s, 0, delta[here].astype("<f4").tobytes(), b"", _pack(keys[here]), b"")
+            yield _flow(s, 0, b"", _pack_sorted(keys[here]), b"", b"", _pack(delta[here]))
 
     def correct(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mass, backoff, lower, d, _, _, _, spread, _ = held.value
 
         def rows(k: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-            a, b = k >> 20, k & (1 << 20) - 1
-            base = np.exp(backoff[a] + lower[b])
-            main = (n - _cut(n, d)) / mass[a]
-            main = np.where(b == UNKNOWN, main * spread, main)
-            yield from send(k.view(U64), np.log(base + main) - (backoff[a] + lower[b]))
+            yield from send(k.view(U64), of_numbers(k, n, (mass, backoff, lower, d, spread)))
 
         yield from batched(source, rows)
 
@@ -389,7 +444,7 @@ def train(texts: DataFrame, vocabulary: int = VOCABULARY, open_vocabulary: bool
 
         yield from batched(source, rows)
 
-    corrections = bigrams.where("k > 0").select("k", "n").mapInArrow(correct, _FLOW)
+    corrections = numbered.where(F.col("n") < least).select("k", "n").mapInArrow(correct, _FLOW)
     if others:
         on_left = rare.select(F.col("w").alias("l"), "c", "n1", "n2", "n3")
         on_right = rare.select(F.col("w").alias("r"), "kinds")
@@ -400,100 +455,122 @@ def train(texts: DataFrame, vocabulary: int = VOCABULARY, open_vocabulary: bool
 
 
 def _score_texts(shared):
-    """(doc_id, text) -> bigram keys that may be in the model, packed by shard."""
+    """(doc_id, text) -> what is known of a chunk's log-probabilities, and keys that may be in the model packed by shard."""
+
+    def sift(model: Model, sums: list[float], keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Adds the common bigrams of the last documents to their sums; other keys that may be in the model, and whose they are."""
+        start = len(sums) - len(keys)
+        key, owner = np.concatenate(keys), np.repeat(np.arange(start, len(sums), dtype="<u2"), [len(k) for k in keys])
+        if len(model.frequent):
+            place = np.minimum(np.searchsorted(model.frequent, key), len(model.frequent) - 1)
+            here = model.frequent[place] == key
+            known = np.bincount(owner[here] - start, weights=model.gains[place[here]], minlength=len(keys))
+            sums[start:] = (np.array(sums[start:]) + known).tolist()
+            key, owner = key[~here], owner[~here]
+        one, two = ((model.bloom[slots >> 3] >> (slots & 7).astype(np.uint8) & 1).astype(bool) for slots in _bloom_slots(key))
+        return key[one & two], owner[one & two]
+
+    def send(model: Model, docs: list[int], words: list[int], sums: list[float], kept: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        ids = np.array(docs, dtype="<i8").tobytes()
+        chunk = xxhash.xxh3_128_digest(ids)
+        yield _flow(int.from_bytes(chunk[:4]) % model.shards, 2, chunk, b"", np.array(words, dtype="<u4").tobytes(), ids, np.array(sums, dtype="<f8").tobytes())
+        key, owner = (np.concatenate(x) for x in zip(*kept))
+        if not len(key):
+            return
+        order = np.argsort(key, kind="stable")
+        key, owner = key[order], owner[order]
+        first = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (owner[1:] != owner[:-1]))))
+        n = np.diff(np.append(first, len(key)))
+        key, owner = key[first], owner[first]
+        for s, mine in _by_shard(key, model.shards):
+            k, many = key[mine], n[mine]
+            start = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
+            sizes = np.diff(np.append(start, len(k)))
+            more = np.flatnonzero(many > 1)  # most counts are one and are not sent
+            repeats = np.concatenate((more, many[more])).astype("<u4")
+            yield _flow(s, 1, chunk, _pack_sorted(k[start]), _pack(sizes.astype("<u4")), _pack(owner[mine]), repeats.tobytes())
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
-        bits = np.unpackbits(model.bloom.view(np.uint8), bitorder="little").view(bool)
+        docs, words, sums, keys, kept, size = [], [], [], [], [], 0
         for part in source:
-            for at in range(0, part.num_rows, CHUNK_DOCS):
-                here = part.slice(at, CHUNK_DOCS)
-                docs, owners, keys, counts = here.column(0).to_numpy(zero_copy_only=False).astype("<i8"), [], [], []
-                for i, text in enumerate(here.column(1)):
-                    found = np.sort(model.vocabulary.keys(text.as_py()))
-                    if not len(found):
-                        continue
-                    first = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
-                    n = np.diff(np.append(first, len(found)))
-                    found = found[first]
-                    one, two = _bloom_slots(found)
-                    may = bits[one] & bits[two]
-                    owners.append(np.full(int(may.sum()), i))
-                    keys.append(found[may])
-                    counts.append(n[may])
-                if not keys:
-                    continue
-                owner, key, n = np.concatenate(owners), np.concatenate(keys), np.concatenate(counts)
-                for s, mine in _by_shard(key, model.shards):
-                    sizes = np.bincount(owner[mine], minlength=len(docs)).astype("<u4")
-                    more = np.flatnonzero(n[mine] > 1)  # most counts are one and are not sent
-                    repeats = np.stack((more, n[mine][more])).astype("<u4")
-                    yield _flow(s, 1, docs.tobytes(), sizes.tobytes(), _pack(key[mine]), repeats.tobytes())
-
-    return run
-
-
-def _backed_off(shared):
-    """(doc_id, text) -> words and log-probability by lower orders only."""
-
-    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Model = shared.value
-        for part in source:
-            sums, sizes = [], []
-            for text in part.column(1):
-                left, right = (np.where(x >= RARE, U64(UNKNOWN), x).view(np.int64) for x in model.vocabulary.pairs(text.as_py()))
+            for doc, text in zip(part.column(0).to_pylist(), part.column(1)):
+                left, right = model.vocabulary.pairs(text.as_py())
+                keys.append(keys_of_corrections(left, right))
+                left, right = (np.where(x >= RARE, U64(UNKNOWN), x).view(np.int64) for x in (left, right))
+                docs.append(doc)
+                words.append(len(right))
                 sums.append(float((model.backoff[left] + model.lower[right]).sum()))
-                sizes.append(len(right))
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sums, pa.float64()), pa.array(sizes, pa.int64())], ["doc_id", "logp", "n_words"])
+                size += len(keys[-1])
+                if size >= SIFTED_KEYS or len(docs) == CHUNK_DOCS:
+                    kept.append(sift(model, sums, keys))
+                    keys, size = [], 0
+                    if len(docs) == CHUNK_DOCS or sum(len(k) for k, _ in kept) >= CHUNK_KEYS:
+                        yield from send(model, docs, words, sums, kept)
+                        docs, words, sums, kept = [], [], [], []
+        if keys:
+            kept.append(sift(model, sums, keys))
+        if docs:
+            yield from send(model, docs, words, sums, kept)
 
     return run
 
 
 def _join_shard(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by shard, model first: sums of corrections for each chunk of documents."""
+    """Rows sorted by shard, model first: sums of corrections of the documents of each chunk that have any."""
     shard, table, keys, deltas = None, None, [], []
     for part in source:
-        out: tuple[list, ...] = ([], [], [])
-        for here, kind, docs, sizes, packed, repeats in zip(*(c.to_pylist() for c in part.columns)):
+        out: list[tuple] = []
+        for here, kind, chunk, packed, sizes, owners, values in zip(*(c.to_pylist() for c in part.columns)):
             if here != shard:
                 shard, table, keys, deltas = here, None, [], []
             if kind == 0:
-                keys.append(_unpack(packed))
-                deltas.append(np.frombuffer(docs, dtype="<f4"))
+                keys.append(_unpack_sorted(packed))
+                deltas.append(_unpack(values, "<f4"))
+            elif kind == 2:
+                out.append((chunk, owners, sizes, b"", values))
             elif keys:
                 if table is None:
                     k = np.concatenate(keys)
                     order = np.argsort(k)
                     table = (k[order], np.concatenate(deltas)[order].astype(np.float64))
-                found = _unpack(packed)
-                counts = np.ones(len(found))
-                at, n = np.frombuffer(repeats, dtype="<u4").reshape(2, -1)
-                counts[at] = n
+                    keys, deltas = [k[:0]], []
+                found = _unpack_sorted(packed)
                 place = np.minimum(np.searchsorted(table[0], found), len(table[0]) - 1)
-                gain = np.where(table[0][place] == found, table[1][place] * counts, 0.0)
-                ids = np.frombuffer(docs, dtype="<i8")
-                owner = np.repeat(np.arange(len(ids)), np.frombuffer(sizes, dtype="<u4"))
-                sums = np.bincount(owner, weights=gain, minlength=len(ids))
-                for column, value in zip(out, (xxhash.xxh3_64_intdigest(docs) - (1 << 63), docs, sums.tobytes())):
-                    column.append(value)
-        if out[0]:
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.binary())], ["chunk", "docs", "sums"])
+                gain = np.repeat(np.where(table[0][place] == found, table[1][place], 0.0), _unpack(sizes, "<u4"))
+                at, n = np.frombuffer(values, dtype="<u4").reshape(2, -1)
+                gain[at] *= n
+                owner = _unpack(owners, "<u2")
+                sums = np.bincount(owner, weights=gain)
+                some = np.flatnonzero(sums)
+                out.append((chunk, b"", b"", some.astype("<u2").tobytes(), sums[some].astype("<f8").tobytes()))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*out)], [c.split()[0] for c in _SUMS.split(", ")])
 
 
 def _add_up(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by chunk, one a shard: the sum of corrections of each document, once a chunk."""
-    held, total = None, None
+    """Rows sorted by chunk: words and log-probability of each of its documents."""
+    held, ids = None, np.empty(0, dtype="<i8")
+    total, words = np.zeros(CHUNK_DOCS), np.zeros(CHUNK_DOCS, dtype=np.int64)
 
     def done() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.frombuffer(held, dtype="<i8")), pa.array(total)], ["doc_id", "delta"])
+        columns = (x[: len(ids)].copy() for x in (ids, words, total))
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["doc_id", "n_words", "logp"])
 
     for part in source:
-        for docs, sums in zip(part.column(1).to_pylist(), part.column(2).to_pylist()):
-            if docs != held:
+        for chunk, docs, sizes, owners, sums in zip(*(c.to_pylist() for c in part.columns)):
+            if chunk != held:
                 if held is not None:
                     yield done()
-                held, total = docs, 0.0
-            total = total + np.frombuffer(sums, dtype="<f8")
+                held = chunk
+                total[:], words[:] = 0.0, 0
+            sums = np.frombuffer(sums, dtype="<f8")
+            if docs:  # chunks of the same ids, as of null ones, are one
+                ids = np.frombuffer(docs, dtype="<i8")
+                total[: len(ids)] += sums
+                words[: len(ids)] += np.frombuffer(sizes, dtype="<u4")
+            else:
+                total[np.frombuffer(owners, dtype="<u2")] += sums
     if held is not None:
         yield done()
 
@@ -504,17 +581,15 @@ def perplexities(docs: DataFrame, trained: Trained) -> DataFrame:
     shared = spark.sparkContext.broadcast(trained.model)
     docs = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), docs.columns[1])
     flow = docs.mapInArrow(_score_texts(shared), _FLOW)
-    gains = (
+    parts = (
         trained.corrections.unionByName(flow)
         .repartition(trained.model.shards, "shard")
         .sortWithinPartitions("shard", "kind")
-        .mapInArrow(_join_shard, "chunk long, docs binary, sums binary")
+        .mapInArrow(_join_shard, _SUMS)
         .repartition("chunk")
-        .sortWithinPartitions("chunk", "docs")
-        .mapInArrow(_add_up, "doc_id long, delta double")
+        .sortWithinPartitions("chunk")
+        .mapInArrow(_add_up, "doc_id long, n_words long, logp double")
     )
-    base = docs.mapInArrow(_backed_off(shared), "doc_id long, logp double, n_words long")
-    parts = base.unionByName(gains.select("doc_id", F.col("delta").alias("logp"), F.lit(0).cast("long").alias("n_words")))
     summed = parts.groupBy("doc_id").agg(F.sum("n_words").alias("n_words"), F.sum("logp").alias("logp"))
     return summed.withColumn("doc_id", F.when(F.col("doc_id") != NO_ID, F.col("doc_id")))
 

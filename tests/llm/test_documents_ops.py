@@ -500,6 +500,46 @@ def test_words_beyond_the_vocabulary_are_no_unknown_word(spark, corpus, monkeypa
         assert got[i][0] == n and got[i][1] == pytest.approx(logp, abs=1e-3)
 
 
+@pytest.mark.parametrize("frequent", [0, 40, 1 << 20])
+def test_common_bigrams_change_nothing(spark, corpus, monkeypatch, frequent):
+    """However many corrections tasks hold, and wherever chunks end, scores are those of the whole model."""
+    for name, value in (("SHARD_ROWS", 500), ("FREQUENT", frequent), ("SIFTED_KEYS", 200), ("CHUNK_KEYS", 300)):
+        monkeypatch.setattr(kneser_ney, name, value)
+    docs = [(i, t) for i, t, _ in corpus[2]][:60] + [(900, ""), (901, None), (None, corpus[2][0][1]), (None, "")]
+    texts = [t for _, t in docs[:40]]
+    trained = kneser_ney.train(spark.createDataFrame([(t,) for t in texts], "text string"), 50, open_vocabulary=True)
+    got = {r.doc_id: (r.n_words, r.logp) for r in kneser_ney.perplexities(spark.createDataFrame(docs, "doc_id long, text string"), trained).collect()}
+    brute = brute_kneser_ney(texts, docs[:62], 1_000_000)
+    assert len(got) == 63 and got[None] == pytest.approx(got[0])
+    for i, (n, logp) in brute.items():
+        assert got[i][0] == n and got[i][1] == pytest.approx(logp, abs=1e-3)
+
+
+def test_common_bigrams_are_not_sent(spark):
+    """The flow to the shards has less than a byte a word where all bigrams are common."""
+    words = [f"w{k}" for k in range(40)]
+    docs = spark.createDataFrame([(i, " ".join(words[(i * k + k * k) % 40] for k in range(500))) for i in range(300)], "doc_id long, text string").coalesce(1)
+    trained = kneser_ney.train(docs.select("text"), open_vocabulary=True)
+    flow = trained.corrections.unionByName(docs.mapInArrow(kneser_ney._score_texts(spark.sparkContext.broadcast(trained.model)), kneser_ney._FLOW))
+    assert sum(len(x) for r in flow.collect() for x in r if isinstance(x, (bytes, bytearray))) < 300 * 500
+
+
+def test_finished_shuffles_leave_the_disk(spark):
+    import time
+
+    from maskwright.llm.scratch import materialise, shuffles_removed
+
+    files = lambda: {f for f in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n") if "shuffle_" in f}
+    before = files()
+    with shuffles_removed(spark):
+        table = materialise(spark.range(10_000).selectExpr("id % 100 AS k").groupBy("k").count(), "counts")
+    until = time.time() + 20
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before and table.count() == 100
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
+
+
 def test_the_query_scores_with_all_words(spark, corpus):
     frame, _, docs, _ = corpus
     labels = spark.createDataFrame([(i, 1, 0) for i, _, _ in docs if i % 2], "doc_id long, quality int, toxic int")
