@@ -9,11 +9,12 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import legal_zh
+from .relational import spread
 
 PERSON = "array<struct<canonical_name:string,roles:array<string>,mentions:array<string>,alias:string,role:string>>"
 ORGANIZATION = "array<struct<canonical_name:string,alias:string,type:string>>"
@@ -28,24 +29,35 @@ RESULT = (
 def _row(source_id: str, text: str | None) -> dict:
     out = legal_zh.deidentify(text or "")
     leak, semantic = out.pop("leakage"), out.pop("semantic")
+    out["mask_counts"] = list(out["mask_counts"].items())
     return {
-        "source_id": source_id, **out, "leak_pass": leak["pass"], "original_mentions": leak["original_mentions"], "regex_hits": leak["regex_hits"],
+        "source_id": source_id, **out, "leak_pass": leak["pass"], "original_mentions": leak["original_mentions"], "regex_hits": list(leak["regex_hits"].items()),
         "residual_role_names": leak["residual_role_names"], "semantic_pass": semantic.pop("pass"), **semantic,
     }
 
 
-def _run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    columns = [c.split()[0] for c in (
-        "source_id normalized_text text people organizations mask_counts volume_citations_removed evidence leak_pass original_mentions regex_hits "
-        "residual_role_names semantic_pass legal_citations_preserved disposition_term_loss length_ratio"
-    ).split()]
+def _arrow_schema() -> pa.Schema:
+    """RESULT for Arrow, which takes the rows as they are; by way of pandas every nested value is converted in Python."""
+    text, texts, counts = pa.string(), pa.list_(pa.string()), pa.map_(pa.string(), pa.int64())
+    items = lambda **fields: pa.list_(pa.struct(list(fields.items())))
+    return pa.schema({
+        "source_id": text, "normalized_text": text, "text": text, "people": items(canonical_name=text, roles=texts, mentions=texts, alias=text, role=text),
+        "organizations": items(canonical_name=text, alias=text, type=text), "mask_counts": counts, "volume_citations_removed": pa.int64(),
+        "evidence": items(evidence_id=text, name=text, content=text, content_status=text, source=text), "leak_pass": pa.bool_(), "original_mentions": texts, "regex_hits": counts,
+        "residual_role_names": texts, "semantic_pass": pa.bool_(), "legal_citations_preserved": pa.bool_(), "disposition_term_loss": texts, "length_ratio": pa.float64(),
+    })
+
+
+def _run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    schema = _arrow_schema()
     for batch in batches:
-        yield pd.DataFrame([_row(i, t) for i, t in zip(batch["source_id"], batch["raw_text"])], columns=columns)
+        ids, texts = (batch.column(name).to_pylist() for name in ("source_id", "raw_text"))
+        yield pa.RecordBatch.from_pylist([_row(i, t) for i, t in zip(ids, texts)], schema=schema)
 
 
 def deidentify(adapted: DataFrame) -> DataFrame:
     """All results for every row of ``source_id, raw_text``; a null text is an empty one."""
-    return adapted.select("source_id", "raw_text").mapInPandas(_run, RESULT)
+    return spread(adapted.select(F.col("source_id").cast("string"), "raw_text")).mapInArrow(_run, RESULT)
 
 
 def with_stable_ids(results: DataFrame, mapping: DataFrame) -> DataFrame:

@@ -12,6 +12,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: tasks a core for work that takes long for a row
+TASKS_PER_CORE = 4
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt evenly to all cores, for steps whose cost is in the rows and not in the bytes.
+
+    A scan makes its tasks by bytes and Parquet row groups: millions of short
+    rows, or a file of one group, end up in a task or two.
+    """
+    return df.repartition(TASKS_PER_CORE * max(1, df.sparkSession.sparkContext.defaultParallelism))
+
+
 def non_blank(column: Column | str) -> Column:
     """The trimmed value, null where nothing is left."""
     value = F.trim(F.col(column) if isinstance(column, str) else column)

@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.relational import spread
 from .catalog import query, table
 
 
@@ -69,7 +70,7 @@ def _each(frame: DataFrame, f: Callable[..., Iterator[tuple]], schema: str) -> D
         for batch in batches:
             yield pd.DataFrame([out for row in batch.itertuples(index=False) for out in f(*row)], columns=names)
 
-    return frame.mapInPandas(run, schema)
+    return spread(frame).mapInPandas(run, schema)
 
 
 def _case(values: dict[int, str], other: str = "NULL") -> str:
