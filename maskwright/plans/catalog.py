@@ -719,7 +719,7 @@ def fuzzy_quote_repair(spark, sf_dir):
 
         return pd.Series([closest_quote(s, [t]) for s, t in zip(snippets, texts)])
 
-    return asked.select("doc_id", "item_id", repaired("changed", "text").alias("repaired"))
+    return rel.spread(asked.select("doc_id", "item_id", "changed", "text")).select("doc_id", "item_id", repaired("changed", "text").alias("repaired"))
 
 
 @query("SELECT event_id, value * 2 AS result FROM events WHERE event_id % 3 <> 0")

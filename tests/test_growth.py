@@ -45,3 +45,18 @@ def test_words_are_replaced_as_by_an_alternation():
     for text in ("", "王大華", "王大大華華", "甲大華王", "王王大甲華"):
         assert zh.replace_words(text, table) == re.sub("王大華|王大|大華|華|甲", lambda m: table[m[0]], text)
     assert zh.replace_words("ab", {"": "-"}) == "-a-b-"
+
+
+def test_few_stretches_are_compared_in_full(monkeypatch):
+    from difflib import SequenceMatcher
+
+    from maskwright.operators.grounding import closest_quote
+
+    tried = []
+    set_seq1 = SequenceMatcher.set_seq1
+    monkeypatch.setattr(SequenceMatcher, "set_seq1", lambda self, a: tried.append(a) or set_seq1(self, a))
+    filler = " ".join(f"there were then {i} other things of the other kind" for i in range(200))
+    quote = "the thing that there was then was none of the other kind at all"
+    text = f"{filler}. So {quote}, {filler}"
+    assert closest_quote(quote[:20] + "#" + quote[21:], [filler, text]) == quote
+    assert len(tried) < 200  # all stretches with a piece in common are some 50,000
