@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,21 +17,35 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class IdentifierRule:
-    """``pattern`` has the text before the identifier in group 1; ``mask`` replaces the rest."""
+    """``pattern`` has the text before the identifier in group 1; ``mask`` replaces the rest.
+
+    A match has one word of each tuple of ``needs`` and a match of ``hint`` in
+    it: what is cheap to look for, so that the pattern itself, which tries every
+    place of a text, is only run where it can find something.
+    """
 
     kind: str
     pattern: str
     mask: str
+    needs: tuple[tuple[str, ...], ...] = ()
+    hint: str | None = None
+
+    def count(self, text: Column) -> Column:
+        """Matches in a text; null for a null one."""
+        tests = [reduce(or_, [F.contains(text, F.lit(w)) for w in words]) for words in self.needs]
+        tests += [F.rlike(text, F.lit(self.hint))] if self.hint else []
+        found = F.regexp_count(text, F.lit(self.pattern)).cast("long")
+        return F.when(~reduce(and_, tests), F.lit(0).cast("long")).otherwise(found) if tests else found
 
 
 GENERIC = (
-    IdentifierRule("SECRET", r"()\b(?:password|passwd|secret|token|api_?key)[ ]*[:=][ ]*[\"']?[A-Za-z0-9+/_.=-]{6,}[\"']?", "[secret]"),
-    IdentifierRule("EMAIL", r"()[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "[email]"),
-    IdentifierRule("URL", r"()(?:https?://|www\.)[A-Za-z0-9][A-Za-z0-9._~:/?#\[\]@!$&'()*+,;=%-]*", "[url]"),
-    IdentifierRule("IP", r"(^|[^0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}\b", "[ip]"),
-    IdentifierRule("CARD", r"()\b[0-9]{16}\b", "[card]"),
-    IdentifierRule("PHONE", r"()(?:\+[0-9]{1,2} )?\([0-9]{3}\) [0-9]{3}-[0-9]{4}\b", "[phone]"),
-    IdentifierRule("PLATE", r"(^|[^A-Za-z0-9-])[A-Z0-9]{2,4}-[A-Z0-9]{2,4}\b", "[plate]"),
+    IdentifierRule("SECRET", r"()\b(?:password|passwd|secret|token|api_?key)[ ]*[:=][ ]*[\"']?[A-Za-z0-9+/_.=-]{6,}[\"']?", "[secret]", ((":", "="), ("password", "passwd", "secret", "token", "api_key", "apikey"))),
+    IdentifierRule("EMAIL", r"()[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "[email]", (("@",),)),
+    IdentifierRule("URL", r"()(?:https?://|www\.)[A-Za-z0-9][A-Za-z0-9._~:/?#\[\]@!$&'()*+,;=%-]*", "[url]", (("://", "www."),)),
+    IdentifierRule("IP", r"(^|[^0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}\b", "[ip]", hint=r"[0-9]\.[0-9]"),
+    IdentifierRule("CARD", r"()\b[0-9]{16}\b", "[card]", hint="[0-9]{16}"),
+    IdentifierRule("PHONE", r"()(?:\+[0-9]{1,2} )?\([0-9]{3}\) [0-9]{3}-[0-9]{4}\b", "[phone]", ((") ",),)),
+    IdentifierRule("PLATE", r"(^|[^A-Za-z0-9-])[A-Z0-9]{2,4}-[A-Z0-9]{2,4}\b", "[plate]", (("-",),), "[A-Z0-9]-[A-Z0-9]"),
 )
 
 
@@ -44,12 +60,12 @@ def masked(text: Column, rules: tuple[IdentifierRule, ...] = GENERIC) -> Column:
 
     A rule's step is a lambda over the state of the one before: its argument is
     a value, which the optimiser can't replace by the expression it came from, so
-    a text is read once a rule to count, and once more where there is something
-    to mask.
+    a text is read once a rule to count, where the rule's words are in it, and
+    once more where there is something to mask.
     """
     state = F.struct(text.alias("text"), F.array().cast("array<bigint>").alias("counts"))
     for rule in rules:
-        counted = then(state, lambda s: F.struct(s["text"].alias("text"), s["counts"].alias("counts"), F.regexp_count(s["text"], F.lit(rule.pattern)).cast("long").alias("n")))
+        counted = then(state, lambda s: F.struct(s["text"].alias("text"), s["counts"].alias("counts"), rule.count(s["text"]).alias("n")))
         state = then(
             counted,
             lambda s: F.struct(
@@ -68,7 +84,7 @@ def then(state: Column, step) -> Column:
 
 def leak_counts(text: Column, rules: tuple[IdentifierRule, ...] = GENERIC) -> Column:
     """Map kind -> hits that are still in a text (Q1)."""
-    return F.create_map(*[x for r in rules for x in (F.lit(r.kind), F.regexp_count(text, F.lit(r.pattern)).cast("long"))])
+    return F.create_map(*[x for r in rules for x in (F.lit(r.kind), r.count(text))])
 
 
 def squeeze(text: Column) -> Column:

@@ -85,9 +85,12 @@ _LEAKS = " + ".join(f"len(regexp_extract_all(m, '{r.pattern.replace(chr(39), chr
 def leak_manifest(spark, sf_dir):
     total = lambda m: F.aggregate(F.map_values(m), F.lit(0).cast("long"), lambda a, x: a + x)
     # one lambda more, so that the masked text is made once for both
-    of = lambda s: F.struct(total(s["counts"]).alias("n"), total(ids.leak_counts(s["text"])).alias("leaks"))
+    # and where no rule found anything, every rule has seen this very text
+    leaks = lambda s: F.when(s["n"] == 0, F.lit(0).cast("long")).otherwise(total(ids.leak_counts(s["text"])))
+    summed = lambda s: F.struct(s["text"].alias("text"), total(s["counts"]).alias("n"))
+    of = lambda s: F.struct(s["n"].alias("n"), leaks(s).alias("leaks"))
     docs = table(spark, sf_dir, "documents")
-    scanned = docs.select("source", ids.then(ids.masked(F.coalesce("text", F.lit(""))), of).alias("s")).select("source", "s.*")
+    scanned = docs.select("source", ids.then(ids.then(ids.masked(F.coalesce("text", F.lit(""))), summed), of).alias("s")).select("source", "s.*")
     return scanned.groupBy("source").agg(
         F.count("*").alias("n_docs"), F.sum("n").alias("n_masked"), F.count_if(F.col("leaks") > 0).alias("n_leaking"), F.sum("leaks").alias("n_leaks")
     )

@@ -60,3 +60,33 @@ def test_few_stretches_are_compared_in_full(monkeypatch):
     text = f"{filler}. So {quote}, {filler}"
     assert closest_quote(quote[:20] + "#" + quote[21:], [filler, text]) == quote
     assert len(tried) < 200  # all stretches with a piece in common are some 50,000
+
+
+AWKWARD = (
+    None, "", "no identifier at all", "password: abcdefgh", "api_key=abc123XYZ and token = \"abcdef\"", "secret abcdef", "a.b@c.org,@,x@y", "see www.a.b/c https://x http://", "1.2.3.4 and 10.0.0.1.5, 1.2",
+    "4111111111111111 41111111111111112", "+1 (555) 123-4567 (555) 1234567", "AB-1234, ab-12, A-B, --AB-CD", "token=ab@c.org www.x-y.zz 1.2.3.4-AB-12", "é@ü.org Ａ-Ｂ １.２.３.４",
+)
+
+
+def test_a_rule_finds_the_same_with_and_without_its_words(spark):
+    from dataclasses import replace
+
+    from pyspark.sql import functions as F
+
+    from maskwright.functions import identifiers as ids
+
+    bare = tuple(replace(r, needs=(), hint=None) for r in ids.GENERIC)
+    df = spark.createDataFrame([(t,) for t in AWKWARD], "t string")
+    for text in (F.col("t"), F.coalesce("t", F.lit(""))):
+        for row in df.select("t", ids.masked(text).alias("a"), ids.masked(text, bare).alias("b"), ids.leak_counts(text).alias("c"), ids.leak_counts(text, bare).alias("d")).collect():
+            assert row.a == row.b and row.c == row.d, row.t
+
+
+def test_rules_are_tried_where_their_words_are(spark):
+    from maskwright.plans import catalog
+
+    from tests.test_catalog import SF_DIR
+
+    for name in ("leak_manifest",):
+        plan = catalog.QUERIES[name](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString().lower()
+        assert "contains(" in plan and "rlike" in plan
