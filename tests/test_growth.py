@@ -87,6 +87,6 @@ def test_rules_are_tried_where_their_words_are(spark):
 
     from tests.test_catalog import SF_DIR
 
-    for name in ("leak_manifest",):
+    for name in ("leak_manifest", "mask_identifiers"):
         plan = catalog.QUERIES[name](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString().lower()
         assert "contains(" in plan and "rlike" in plan
