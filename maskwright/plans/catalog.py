@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -371,21 +373,29 @@ def evidence_union(spark, sf_dir):
     return rel.union_with_provenance({"indictment": left, "judgment": right}, key, ["name"], "E%03d", ["pair"])
 
 
+#: bytes of no ASCII letter or digit; none of those stands within a character of several bytes
+_NO_CONTENT = bytes(b for b in range(256) if not (b < 128 and chr(b).isalnum()))
+_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
+
+
+def _content_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """SHA-256 of each text's letters and digits in lower case, one read a text; rows without any are left out."""
+    for batch in batches:
+        contents = (t and t.translate(_LOWER, _NO_CONTENT) for t in batch.column("text").to_pylist())
+        keys = pa.array([hashlib.sha256(c).digest() if c else None for c in contents], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column("src"), batch.column("first_id"), keys], ["src", "first_id", "key"]).filter(keys.is_valid())
+
+
 @query(
     """SELECT array_to_string(list_sort(list(DISTINCT src)), '|') AS provenance, count(*)::BIGINT AS n_source_records, min(id)::BIGINT AS first_id FROM (
       SELECT 'document' AS src, doc_id AS id, lower(regexp_replace(text, '[^0-9A-Za-z]+', '', 'g')) AS key FROM documents
       UNION ALL SELECT 'item', item_id, lower(regexp_replace(text, '[^0-9A-Za-z]+', '', 'g')) FROM benchmark WHERE text IS NOT NULL) WHERE key <> '' GROUP BY key"""
 )
 def fact_union(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("ord"), "text")
-    items = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("ord"), "text")
-    digest = F.lower(F.regexp_replace("text", "[^0-9A-Za-z]+", ""))
-    both = {"document": docs.select("ord", F.when(digest != "", F.sha2(digest, 256)).alias("key"), F.col("ord").alias("first_id")), "item": items.select("ord", F.when(digest != "", F.sha2(digest, 256)).alias("key"), F.col("ord").alias("first_id"))}
-    both = {k: v.where("key is not null") for k, v in both.items()}
-    tagged = None
-    for name, part in both.items():
-        part = part.withColumn("src", F.lit(name))
-        tagged = part if tagged is None else tagged.unionByName(part)
+    """Texts of two tables merged by their letters and digits."""
+    part = lambda name, source, key: table(spark, sf_dir, name).select(F.lit(source).alias("src"), F.col(key).cast("long").alias("first_id"), F.col("text").cast("binary").alias("text"))
+    both = part("documents", "document", "doc_id").unionByName(part("benchmark", "item", "item_id"))
+    tagged = both.mapInArrow(_content_digests, "src string, first_id long, key binary")
     return tagged.groupBy("key").agg(F.array_join(F.array_sort(F.collect_set("src")), "|").alias("provenance"), F.count("*").alias("n_source_records"), F.min("first_id").alias("first_id")).drop("key")
 
 

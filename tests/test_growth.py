@@ -90,3 +90,15 @@ def test_rules_are_tried_where_their_words_are(spark):
     for name in ("leak_manifest", "mask_identifiers"):
         plan = catalog.QUERIES[name](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString().lower()
         assert "contains(" in plan and "rlike" in plan
+
+
+def test_a_text_is_read_once_for_its_content(spark, tmp_path):
+    from maskwright.plans import catalog
+
+    plan = catalog.QUERIES["fact_union"]
+    texts = ["Ab, c1!", "aB c１1", "a.b.c.1", "É—", "", None, "zz"]
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(7, "ABC1"), (8, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    found = plan(spark, str(tmp_path))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace(") <= 2
+    assert sorted(map(tuple, found.select("provenance", "n_source_records", "first_id").collect())) == [("document", 1, 6), ("document|item", 4, 0)]
