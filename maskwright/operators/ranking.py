@@ -48,8 +48,12 @@ def histogram(df: DataFrame, value: str, count: str = "n") -> DataFrame:
 
 
 def explode_counts(df: DataFrame, counts: str, keys: list[str]) -> DataFrame:
-    """Sum of count maps by kind."""
-    return df.select(*keys, F.explode(counts).alias("kind", "n")).groupBy(*keys, "kind").agg(F.sum("n").alias("n_masked"))
+    """Sum of count maps by kind.
+
+    An outer explode, as for an inner one the optimiser filters by the map's
+    size, and makes the maps twice for that.
+    """
+    return df.select(*keys, F.explode_outer(counts).alias("kind", "n")).where("kind is not null").groupBy(*keys, "kind").agg(F.sum("n").alias("n_masked"))
 
 
 #: values a step of percentile_floor counts apart

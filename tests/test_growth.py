@@ -102,3 +102,18 @@ def test_a_text_is_read_once_for_its_content(spark, tmp_path):
     found = plan(spark, str(tmp_path))
     assert found._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace(") <= 2
     assert sorted(map(tuple, found.select("provenance", "n_source_records", "first_id").collect())) == [("document", 1, 6), ("document|item", 4, 0)]
+
+
+def test_count_maps_are_made_once(spark):
+    from pyspark.sql import functions as F
+
+    from maskwright.operators.ranking import explode_counts
+    from maskwright.plans import catalog
+
+    from tests.test_catalog import SF_DIR
+
+    plan = catalog.QUERIES["mask_counts_manifest"](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("[A-Za-z0-9.-]+\\.[A-Za-z]{2,}") <= 2  # to count and to mask
+    maps = spark.createDataFrame([("a", {"x": 1, "y": 0}), ("a", {"x": 2}), ("b", {}), ("c", None)], "s string, m map<string,bigint>")
+    assert sorted(map(tuple, explode_counts(maps, "m", ["s"]).collect())) == [("a", "x", 3), ("a", "y", 0)]
+    assert sorted(map(tuple, explode_counts(maps.withColumn("m", F.col("m")), "m", []).collect())) == [("x", 3), ("y", 0)]
