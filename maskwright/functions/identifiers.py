@@ -7,10 +7,12 @@ spelling serves Spark, pandas and SQL.
 from __future__ import annotations
 
 import re
+from array import array
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_, or_
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -105,11 +107,21 @@ def replace_longest_first(text: Column, literals: dict[str, str]) -> Column:
 
 def highlight_spans(text: Column, terms: list[str]) -> Column:
     """Array of (start, end) code point spans of any of the terms, longer ones first, none overlapping."""
-    pattern = "|".join(re.sub(r"([^A-Za-z0-9_\u0080-\U0010ffff])", r"\\\1", t) for t in sorted(set(terms), key=lambda t: (-len(t), t)) if t)
+    pattern = "|".join(re.escape(t) for t in sorted(set(terms), key=lambda t: (-len(t), t)) if t)
     if not pattern:
         return F.array().cast("array<struct<start:int,end:int>>")
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.transform(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)), F.length)
-    sizes = F.transform(found, F.length)
-    before = lambda lengths, i: F.aggregate(F.slice(lengths, F.lit(1), i), F.lit(0), lambda a, x: a + x)
-    return F.transform(sizes, lambda n, i: F.struct((before(gaps, i + 1) + before(sizes, i)).alias("start"), (before(gaps, i + 1) + before(sizes, i + 1)).alias("end")))
+
+    @F.arrow_udf("array<struct<start:int,end:int>>")
+    def spans(texts: pa.Array) -> pa.Array:
+        # one search a text; sums over what the engine's own functions find read the text again for every span
+        find = re.compile(pattern).finditer
+        starts, ends, offsets = array("i"), array("i"), array("i", [0])
+        for text in texts.to_pylist():
+            for match in find(text or ""):
+                starts.append(match.start())
+                ends.append(match.end())
+            offsets.append(len(starts))
+        found = pa.StructArray.from_arrays([pa.array(starts, pa.int32()), pa.array(ends, pa.int32())], ["start", "end"])
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), found, mask=texts.is_null())
+
+    return spans(text)

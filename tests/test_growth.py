@@ -117,3 +117,16 @@ def test_count_maps_are_made_once(spark):
     maps = spark.createDataFrame([("a", {"x": 1, "y": 0}), ("a", {"x": 2}), ("b", {}), ("c", None)], "s string, m map<string,bigint>")
     assert sorted(map(tuple, explode_counts(maps, "m", ["s"]).collect())) == [("a", "x", 3), ("a", "y", 0)]
     assert sorted(map(tuple, explode_counts(maps.withColumn("m", F.col("m")), "m", []).collect())) == [("x", 3), ("y", 0)]
+
+
+def test_a_text_is_searched_once_for_its_highlights(spark):
+    from pyspark.sql import functions as F
+
+    from maskwright.functions.identifiers import highlight_spans
+
+    texts = [None, "", "aéa+b 𝒳aa", "a" * 5000]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", highlight_spans(F.col("t"), ["a", "a+b", "é", ""]).alias("s"))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(" not in plan
+    got = [None if r.s is None else [tuple(x) for x in r.s] for r in df.orderBy("i").collect()]
+    assert got == [None, [], [(0, 1), (1, 2), (2, 5), (7, 8), (8, 9)], [(k, k + 1) for k in range(5000)]]
