@@ -128,7 +128,9 @@ _CITATION = r"(?i)licensed under the [A-Z]+|[0-9]+ words|all rights reserved"
 def semantic_check(spark, sf_dir):
     masked = _masked(table(spark, sf_dir, "documents")).select("doc_id", F.coalesce("text", F.lit("")).alias("t"), F.col("masked").alias("m"))
     cited = lambda c: F.array_sort(F.regexp_extract_all(c, F.lit(_CITATION), F.lit(0)))
-    same = cited("t") == cited("m")
+    # a text in which nothing is masked has all its citations
+    masked = masked.withColumn("same", F.when(F.col("t") == F.col("m"), F.lit(True)).otherwise(cited("t") == cited("m")))
+    same = F.col("same")
     return masked.select(
         "doc_id", same.alias("citations_preserved"), F.round(F.length("m") / F.greatest(F.lit(1), F.length("t")), 4).alias("length_ratio"),
         (same & (F.length("m") >= 0.45 * F.length("t"))).alias("passed"),

@@ -130,3 +130,12 @@ def test_a_text_is_searched_once_for_its_highlights(spark):
     assert "split(" not in plan
     got = [None if r.s is None else [tuple(x) for x in r.s] for r in df.orderBy("i").collect()]
     assert got == [None, [], [(0, 1), (1, 2), (2, 5), (7, 8), (8, 9)], [(k, k + 1) for k in range(5000)]]
+
+
+def test_citations_are_looked_for_once_a_text(spark):
+    from maskwright.plans import catalog
+
+    from tests.test_catalog import SF_DIR
+
+    plan = catalog.QUERIES["semantic_check"](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("licensed under the") <= 2  # before and after masking
