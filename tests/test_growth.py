@@ -139,3 +139,20 @@ def test_citations_are_looked_for_once_a_text(spark):
 
     plan = catalog.QUERIES["semantic_check"](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("licensed under the") <= 2  # before and after masking
+
+
+def test_replacing_literals_compiles_no_pattern(compiled):
+    from maskwright.operators.cleaning import replace_literals
+
+    for i in range(20):
+        assert replace_literals({"a": [f"王{i}到場"]}, {f"王{i}": "被告甲"}) == ({"a": ["被告甲到場"]}, 1)
+    assert not compiled
+
+
+@pytest.mark.parametrize("name", ["legal_render", "record_cleaning", "legal_masking"])
+def test_rule_pack_queries_use_all_cores(spark, name):
+    from maskwright.plans import legal_catalog
+
+    from tests.test_catalog import SF_DIR
+
+    assert legal_catalog.query and getattr(legal_catalog, name)(spark, SF_DIR).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
